@@ -32,8 +32,10 @@ def hash_prefix(key: str, seed: int = 0) -> Column:
 
     Depends on the value of the key only, so it survives repartitioning and
     task retries. Hex digits of equal length sort like the numbers they spell.
+    A null key has a hash too, so that no row falls through.
     """
-    return F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), 1, 8)
+    text = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    return F.substring(F.md5(F.concat(F.lit(f"{seed}:"), text)), 1, 8)
 
 
 def hash_bound(share: float) -> str | None:

@@ -31,13 +31,13 @@ def stratified_sample_by_key(
 
 def random_split(df: DataFrame, weights: Sequence[float], seed: int) -> list[DataFrame]:
     """Disjoint parts that together hold every row."""
-    return df.randomSplit(list(weights), seed=seed)
+    return df.randomSplit([float(w) for w in weights], seed=seed)
 
 
 def split_by_key(
     df: DataFrame, weights: Sequence[float], key: str, seed: int = 0
 ) -> list[DataFrame]:
-    """The same kind of split, decided by a hash of the key, which must not be null."""
+    """The same kind of split, decided by a hash of the key."""
     total, used, parts = sum(weights), 0.0, []
     for w in weights:
         lower, used = used, used + w
