@@ -7,33 +7,11 @@ gets null member columns; one whose account is listed twice comes out twice.
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import BinaryType, StringType
+
+from paywarden.operators.sizing import BROADCAST_BYTES, hot_keys, measured_bytes
 
 KEY = "nameOrig"
-BROADCAST_BYTES = 64 << 20
-HOT_SHARE = 0.001
 SALTS = 64
-_SALT = "_salt"
-
-
-def measured_bytes(df: DataFrame) -> int:
-    """Size of a frame from one aggregate over it: the bytes of its strings,
-    8 per other value, 16 per row."""
-    per_row = F.lit(16)
-    for f in df.schema.fields:
-        wide = isinstance(f.dataType, (StringType, BinaryType))
-        per_row = per_row + (F.coalesce(F.octet_length(f.name), F.lit(0)) if wide else F.lit(8))
-    return df.agg(F.sum(per_row.cast("bigint")).alias("bytes")).first()["bytes"] or 0
-
-
-def hot_keys(df: DataFrame, key: str = KEY, share: float = HOT_SHARE) -> list[str]:
-    """Keys that hold at least `share` of the rows of a batch frame.
-
-    At most 1/share keys can qualify, which bounds the list.
-    """
-    counts = df.filter(F.col(key).isNotNull()).groupBy(key).count()
-    least = max(1.0, share * df.count())
-    return [r[key] for r in counts.filter(F.col("count") >= least).select(key).collect()]
 
 
 def join_members(
@@ -53,35 +31,62 @@ def join_members(
         return transactions.join(F.broadcast(members), KEY, "left")
     if history is None and not transactions.isStreaming:
         history = transactions
-    hot = [] if history is None else hot_keys(history)
-    return salted_left_join(transactions, members, hot)
+    hot = [] if history is None else hot_keys(history, KEY)
+    return salted_left_join(transactions, members, hot, hot_keys(members, KEY))
 
 
 def salted_left_join(
-    transactions: DataFrame, members: DataFrame, hot: Sequence[str] = (), salts: int = SALTS
+    transactions: DataFrame,
+    members: DataFrame,
+    hot: Sequence[str] = (),
+    crowded: Sequence[str] = (),
+    salts: int = SALTS,
 ) -> DataFrame:
-    """The same join by shuffle, with the rows of hot keys spread.
-
-    The rows of a hot account are dealt to `salts` groups by a hash of the whole
-    row (a retried task deals them the same way), and its member rows are copied
-    to each of these groups. All other member rows are copied nowhere. Rows
-    without an account match nothing, so their group does not matter and they
-    are spread as well. Which keys count as hot affects speed only.
+    """The same join by shuffle, with large groups spread over several tasks.
+
+    `hot` accounts have many transactions. These are dealt to `salts` groups, and
+    the members of the account are copied to each group.
+    `crowded` accounts are listed many times. Their member rows are dealt to
+    `salts` groups, and the transactions of the account are copied to each. A
+    group may lack a partner, but not all can, as the account is listed: the
+    unmatched copies are left out.
+    Transactions without account match nothing, so they are dealt out as well.
+
+    Rows are dealt by a hash of all their values, so that a retried task deals
+    them the same way. Which accounts are named affects the speed only, but
+    every crowded one must be in the list.
     """
-    spread = F.pmod(F.xxhash64(*transactions.columns), F.lit(salts)).cast("int")
-    left = transactions.withColumn(
-        _SALT, F.when(F.col(KEY).isNull() | _among(hot), spread).otherwise(F.lit(0))
+    left = (
+        transactions.withColumn(
+            "_deal", _dealt(_among(hot) | F.col(KEY).isNull(), transactions.columns, salts)
+        )
+        .withColumn("_seat", _copies(_among(crowded), salts))
     )
-    right = members.withColumn(
-        _SALT,
-        F.explode(
-            F.when(_among(hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-                F.array(F.lit(0))
-            )
-        ),
+    right = (
+        members.filter(F.col(KEY).isNotNull())
+        .withColumn("_seat", _dealt(_among(crowded), members.columns, salts))
+        .withColumn("_deal", _copies(_among(hot), salts))
+        .withColumn("_listed", F.lit(True))
     )
-    return left.join(right, [KEY, _SALT], "left").drop(_SALT)
+    return (
+        left.join(right, [KEY, "_deal", "_seat"], "left")
+        .filter(F.col("_listed").isNotNull() | ~_among(crowded))
+        .drop("_deal", "_seat", "_listed")
+    )
+
+
+def _among(keys: Sequence[str]) -> Column:
+    """Whether the account is one of `keys`; false for none."""
+    return F.coalesce(F.col(KEY).isin(list(keys)), F.lit(False)) if keys else F.lit(False)
+
+
+def _dealt(where: Column, columns: Sequence[str], salts: int) -> Column:
+    """A group number by hash, or 0 outside of `where`."""
+    number = F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int")
+    return F.when(where, number).otherwise(F.lit(0))
 
 
-def _among(hot: Sequence[str]) -> Column:
-    return F.col(KEY).isin(list(hot)) if hot else F.lit(False)
+def _copies(where: Column, salts: int) -> Column:
+    """One row per group number, or the row once with 0 outside of `where`."""
+    every = F.sequence(F.lit(0), F.lit(salts - 1))
+    return F.explode(F.when(where, every).otherwise(F.array(F.lit(0))))

@@ -2,6 +2,8 @@
 
 from pyspark.sql import DataFrame, functions as F
 
+from paywarden.operators.sizing import BROADCAST_BYTES, measured_bytes
+
 MONEY = "decimal(18,2)"  # summed as decimal: the order of addition cannot matter
 TOTAL = "decimal(28,2)"
 
@@ -33,22 +35,30 @@ def quarter_revenue(
     order_customer: str,
     customer: str,
     department: str,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Gross revenue per department and quarter; a customer belongs to a department.
 
-    Orders are summed per customer and quarter before the join. A customer with
-    very many orders is then a few rows, so the join has no hot key.
+    Customers that measure at most `broadcast_bytes` are broadcast, and orders
+    are summed per department inside each task. Otherwise orders are first
+    summed per customer and quarter: a customer with very many orders is then a
+    few rows, so the join by shuffle has no hot key.
     """
-    per_customer = orders.groupBy(
-        F.col(order_customer).alias(customer),
+    departments = customers.select(F.col(customer).alias("_customer"), F.col(department).alias("department"))
+    keyed = orders.select(
+        F.col(order_customer).alias("_customer"),
         F.year(at).alias("year"),
         F.quarter(at).alias("quarter"),
-    ).agg(F.sum(F.col(amount).cast(MONEY)).alias("revenue"), F.count("*").alias("n"))
+        F.col(amount).cast(MONEY).alias("revenue"),
+        F.lit(1).cast("bigint").alias("orders"),
+    )
+    totals = [F.sum(c).alias(c) for c in ("revenue", "orders")]
+    if measured_bytes(departments) <= broadcast_bytes:
+        joined = keyed.join(F.broadcast(departments), "_customer")
+    else:
+        joined = keyed.groupBy("_customer", "year", "quarter").agg(*totals).join(departments, "_customer")
     return (
-        per_customer.join(customers.select(customer, department), customer)
-        .groupBy("year", "quarter", F.col(department).alias("department"))
-        .agg(
-            F.sum("revenue").cast(TOTAL).alias("revenue"),
-            F.sum("n").alias("orders"),
-        )
+        joined.groupBy("year", "quarter", "department")
+        .agg(*totals)
+        .withColumn("revenue", F.col("revenue").cast(TOTAL))
     )

@@ -14,8 +14,9 @@ from pyspark.sql.types import StructType
 
 from paywarden.functions import notification as note
 from paywarden.layout import Layout
-from paywarden.operators.enrich import BROADCAST_BYTES, join_members
+from paywarden.operators.enrich import join_members
 from paywarden.operators.hops import parse_records, refine, to_bronze
+from paywarden.operators.sizing import BROADCAST_BYTES
 from paywarden.schemas import BRONZE, RECORD
 from paywarden.sources.readers import Admission, stream_table, stream_text
 from paywarden.streaming.runner import AVAILABLE_NOW, start_hop

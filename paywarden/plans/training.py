@@ -5,16 +5,16 @@ from dataclasses import dataclass, field
 from functools import reduce
 from operator import or_
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, RFormula, StringIndexer, VectorAssembler
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, functions as F
 
 from paywarden.operators.prepare import LABEL, columns_by_kind
 from paywarden.operators.profile import is_missing
+from paywarden.operators.sizing import kept
 
 # Class fractions of the training and of the export sample, seeds,
 # split weights, and the parameter grid.
@@ -90,44 +90,55 @@ def stage_featuriser(df: DataFrame, label: str = LABEL) -> Pipeline:
 
 
 def fit(train: DataFrame, tuning: Tuning | None = Tuning()) -> Trained:
-    """Featurise once, then fit.
+    """Learn the features, then fit the model, or the whole grid.
 
-    The features are kept (spilling to disk) while the folds read them, so the
-    input is scanned and prepared once and not once per fold and grid point.
+    The training rows are read several times: for the categories, for the
+    features, and by each fold. They and their features are therefore kept, in
+    memory as far as it goes and else on disk, and the source is scanned once.
     Without tuning the first grid values are used.
     """
     strings, _ = columns_by_kind(train)
-    known = categories(train, strings)
-    featuriser = formula_featuriser().fit(train)
-    features = featuriser.transform(train).select(LABEL, "features")
-    features = features.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        lr = LogisticRegression(labelCol=LABEL, featuresCol="features")
-        if tuning is None:
-            lr = lr.setRegParam(REG_PARAMS[0]).setElasticNetParam(ELASTIC_NET_PARAMS[0])
-            return Trained(PipelineModel([featuriser, lr.fit(features)]), known)
-        grid = (
-            ParamGridBuilder()
-            .addGrid(lr.regParam, list(tuning.reg_params))
-            .addGrid(lr.elasticNetParam, list(tuning.elastic_net_params))
-            .build()
-        )
-        validator = CrossValidator(
-            estimator=lr,
-            estimatorParamMaps=grid,
-            evaluator=MulticlassClassificationEvaluator(labelCol=LABEL, metricName=tuning.metric),
-            numFolds=tuning.folds,
-            parallelism=tuning.parallelism,
-            seed=tuning.seed,
-        )
-        chosen = validator.fit(features)
-        results = [
-            (point[lr.regParam], point[lr.elasticNetParam], float(mean))
-            for point, mean in zip(grid, chosen.avgMetrics)
-        ]
-        return Trained(PipelineModel([featuriser, chosen]), known, results)
-    finally:
-        features.unpersist()
+    with kept(train):
+        known = categories(train, strings) if strings else {}
+        featuriser = formula_featuriser().fit(train)
+        with kept(featuriser.transform(train).select(LABEL, "features")) as features:
+            if tuning is None:
+                model, results = _regression(REG_PARAMS[0], ELASTIC_NET_PARAMS[0]).fit(features), []
+            else:
+                model, results = _tuned(features, tuning)
+    return Trained(PipelineModel([featuriser, model]), known, results)
+
+
+def _regression(reg: float = 0.0, elastic_net: float = 0.0) -> LogisticRegression:
+    return LogisticRegression(
+        labelCol=LABEL, featuresCol="features", regParam=reg, elasticNetParam=elastic_net
+    )
+
+
+def _tuned(
+    features: DataFrame, tuning: Tuning
+) -> tuple[CrossValidatorModel, list[tuple[float, float, float]]]:
+    """Cross-validate the grid; the best point is fitted again on all rows."""
+    lr = _regression()
+    grid = (
+        ParamGridBuilder()
+        .addGrid(lr.regParam, list(tuning.reg_params))
+        .addGrid(lr.elasticNetParam, list(tuning.elastic_net_params))
+        .build()
+    )
+    validator = CrossValidator(
+        estimator=lr,
+        estimatorParamMaps=grid,
+        evaluator=MulticlassClassificationEvaluator(labelCol=LABEL, metricName=tuning.metric),
+        numFolds=tuning.folds,
+        parallelism=tuning.parallelism,
+        seed=tuning.seed,
+    )
+    model = validator.fit(features)
+    return model, [
+        (point[lr.regParam], point[lr.elasticNetParam], float(mean))
+        for point, mean in zip(grid, model.avgMetrics)
+    ]
 
 
 def unscorable(df: DataFrame, known: dict[str, list[str]], features: Sequence[str]) -> Column:
@@ -140,14 +151,11 @@ def unscorable(df: DataFrame, known: dict[str, list[str]], features: Sequence[st
 def metrics(scored: DataFrame) -> dict[str, float]:
     """Accuracy, area under ROC and area under precision-recall of scored rows."""
     needed = scored.select(LABEL, "rawPrediction", "prediction")
-    needed = needed.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        accuracy = MulticlassClassificationEvaluator(labelCol=LABEL, metricName="accuracy")
-        area = BinaryClassificationEvaluator(labelCol=LABEL)
+    accuracy = MulticlassClassificationEvaluator(labelCol=LABEL, metricName="accuracy")
+    area = BinaryClassificationEvaluator(labelCol=LABEL)
+    with kept(needed):
         return {
             "accuracy": accuracy.evaluate(needed),
             "areaUnderROC": area.setMetricName("areaUnderROC").evaluate(needed),
             "areaUnderPR": area.setMetricName("areaUnderPR").evaluate(needed),
         }
-    finally:
-        needed.unpersist()

@@ -389,6 +389,29 @@ def train_score(spark, sf_dir):
     return plain(fitted.model.transform(test), KEY, LABEL)
 
 
+SKIPPED = "step IS NULL OR type IS NULL OR amount IS NULL OR isnan(amount) OR transaction IS NULL"
+
+
+def model_on_holed(spark: SparkSession, sf_dir: str) -> tuple[training.Trained, DataFrame]:
+    rows = holed(spark, sf_dir)
+    return training.fit(rows.drop(KEY), tuning=None), rows
+
+
+@query(f"SELECT event_id FROM ({HOLED} FROM (SELECT {LABELLED} FROM transactions)) WHERE NOT ({SKIPPED})")
+def scored_rows(spark, sf_dir):
+    """What a model scores out of rows with missing values."""
+    fitted, rows = model_on_holed(spark, sf_dir)
+    return fitted.model.transform(rows).select(KEY)
+
+
+@query(f"SELECT event_id FROM ({HOLED} FROM (SELECT {LABELLED} FROM transactions)) WHERE {SKIPPED}")
+def skipped_rows(spark, sf_dir):
+    """What it leaves out, found without it."""
+    fitted, rows = model_on_holed(spark, sf_dir)
+    features = [c for c in rows.columns if c not in (KEY, LABEL)]
+    return rows.filter(training.unscorable(rows, fitted.categories, features)).select(KEY)
+
+
 @query()
 def tuned_grid(spark, sf_dir):
     """Mean accuracy of every grid point over the balanced training sample."""
@@ -519,11 +542,13 @@ def gold_weekly_sales(spark, sf_dir):
     return gold.weekly_sales(lines, "l_shipdate", "l_suppkey", "l_extendedprice")
 
 
-@query("""SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(quarter(o_orderdate) AS INTEGER) AS quarter,
+REVENUE = """SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(quarter(o_orderdate) AS INTEGER) AS quarter,
        c_mktsegment AS department,
        CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS revenue, count(*) AS orders
-FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2, 3""")
-def gold_quarter_revenue(spark, sf_dir):
+FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2, 3"""
+
+
+def revenue(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     return gold.quarter_revenue(
         table(spark, sf_dir, "orders"),
         table(spark, sf_dir, "customer"),
@@ -532,9 +557,21 @@ def gold_quarter_revenue(spark, sf_dir):
         order_customer="o_custkey",
         customer="c_custkey",
         department="c_mktsegment",
+        **options,
     )
 
 
+@query(REVENUE)
+def gold_quarter_revenue(spark, sf_dir):
+    return revenue(spark, sf_dir)
+
+
+@query(REVENUE)
+def gold_quarter_revenue_shuffled(spark, sf_dir):
+    """The report for customers that are too large to broadcast."""
+    return revenue(spark, sf_dir, broadcast_bytes=0)
+
+
 # --- streams ----------------------------------------------------------------------
 
 
@@ -642,6 +679,9 @@ def sql_views(spark, sf_dir):
         FROM batch_transactions_enriched""")
 
 
+MODEL_OUTPUT = ("features", "rawPrediction", "probability", "prediction", "notify_user")
+
+
 def scored_pipeline(spark: SparkSession, sf_dir: str) -> Pipeline:
     """A model trained on the table, then all hops with it."""
     fitted, _ = trained(spark, sf_dir)
@@ -660,6 +700,16 @@ def stream_score(spark, sf_dir):
     )
 
 
+@query(f"""WITH enriched AS ({ENRICHED})
+SELECT *, true AS told_apart FROM enriched""")
+def stream_score_rows(spark, sf_dir):
+    """Scoring and notifying a stream loses no row, and the status follows the prediction."""
+    notified = read_table(spark, scored_pipeline(spark, sf_dir).layout.notified)
+    told_apart = (F.col("notify_user") == note.SENT) == (F.col("prediction") == 1)
+    enriched = [c for c in notified.columns if c not in MODEL_OUTPUT]
+    return notified.select(*enriched, told_apart.alias("told_apart"))
+
+
 @query()
 def stream_alerts(spark, sf_dir):
     """The alert outbox at the end of the hops."""

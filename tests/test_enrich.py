@@ -1,7 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from paywarden.operators.enrich import hot_keys, join_members, measured_bytes, salted_left_join
+from paywarden.operators.enrich import join_members, salted_left_join
+from paywarden.operators.sizing import hot_keys, measured_bytes
 from paywarden.schemas import MEMBERS
 from tests.conftest import plan, rows
 
@@ -44,9 +45,25 @@ def test_every_way_gives_the_brute_force_result(transactions, members):
     assert small.columns == large.columns == ["nameOrig", "id", "userid", "webhook_url"]
     assert rows(small) == want
     assert rows(large) == want
-    for hot in ([], ["C1"], ["C1", "C2", "X2", "never seen"]):
-        for salts in (1, 2, 7):
-            assert rows(salted_left_join(transactions, members, hot, salts)) == want
+    for hot in ([], ["C1"], ["C1", "C2", "X3", "never seen"]):
+        for crowded in ([], ["C2"], ["C1", "C2", "C9"]):
+            for salts in (1, 7):
+                got = salted_left_join(transactions, members, hot, crowded, salts)
+                assert got.columns == small.columns
+                assert rows(got) == want
+
+
+def test_an_account_listed_very_often(spark, transactions):
+    """A third of the member list on one account, and copies of one member row."""
+    often = spark.range(90).select(
+        F.when(F.col("id") % 3 == 0, "C2").otherwise(F.concat(F.lit("Z"), F.col("id").cast("string")))
+        .alias("nameOrig"),
+        F.concat(F.lit("u"), (F.col("id") % 20).cast("string")).alias("userid"),
+        F.lit("w").alias("webhook_url"),
+    )
+    some = transactions.filter("id < 300")
+    assert hot_keys(often, "nameOrig", share=0.3) == ["C2"]
+    assert rows(join_members(some, often, broadcast_bytes=0)) == brute_force(some, often)
 
 
 def test_broadcast_only_below_the_limit(transactions, members):
@@ -66,15 +83,15 @@ def test_measured_bytes_follow_the_strings(spark):
 
 
 def test_hot_keys_hold_their_share(transactions):
-    assert sorted(hot_keys(transactions, share=0.3)) == ["C1", "C2"]
-    assert len(hot_keys(transactions, share=0.001)) <= 1000
+    assert sorted(hot_keys(transactions, "nameOrig", share=0.3)) == ["C1", "C2"]
+    assert len(hot_keys(transactions, "nameOrig", share=0.001)) <= 1000
 
 
 def test_hot_rows_are_spread(transactions, members):
     """The rows of a hot key, and those without key, go to many groups."""
     joined = salted_left_join(transactions, members, ["C1", "C2"], salts=16)
     text = plan(joined)
-    assert "xxhash64" in text and "_salt" in text
+    assert "xxhash64" in text and "_deal" in text
     salt = F.pmod(F.xxhash64("id", "nameOrig"), F.lit(16))
     groups = transactions.groupBy("nameOrig").agg(F.countDistinct(salt).alias("n"))
     spread = {r["nameOrig"]: r["n"] for r in groups.collect()}
