@@ -16,8 +16,8 @@ TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
 def is_fraud(prediction: str | Column = "prediction") -> Column:
-    """True or false, never null: a missing prediction is no alert."""
-    return F.coalesce(_col(prediction) == 1, F.lit(False))
+    """A missing prediction is null here, which neither filters nor alerts."""
+    return _col(prediction) == 1
 
 
 def status(prediction: str | Column = "prediction") -> Column:

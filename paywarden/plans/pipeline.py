@@ -3,8 +3,7 @@ notified -> alert outbox. Each arrow is a query of its own that reads the table
 of the one before, so any of them can be stopped, restarted or moved alone.
 """
 
-import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -17,8 +16,9 @@ from paywarden.layout import Layout
 from paywarden.operators.enrich import join_members
 from paywarden.operators.hops import parse_records, refine, to_bronze
 from paywarden.operators.sizing import BROADCAST_BYTES
-from paywarden.schemas import BRONZE, RECORD
+from paywarden.schemas import BRONZE, RAW, RECORD
 from paywarden.sources.readers import Admission, stream_table, stream_text
+from paywarden.streaming.lifecycle import await_batch
 from paywarden.streaming.runner import AVAILABLE_NOW, start_hop
 
 
@@ -84,53 +84,57 @@ class Pipeline:
         return notify(self.model.transform(self._read(self.layout.enriched, enriched)))
 
     def outbox(self, notified: StructType) -> DataFrame:
-        return outbox(self._read(self.layout.notified, notified), self.key)
+        alerts = outbox(self._read(self.layout.notified, notified), self.key)
+        # Frauds are rare: gather them, or every scan task writes a tiny file.
+        return alerts.hint("rebalance")
 
     def run(self) -> list[StreamingQuery]:
         """Process what is there now, hop after hop, and end."""
-        return self._start(AVAILABLE_NOW, lambda query: query.awaitTermination())
+        queries = self._start(AVAILABLE_NOW, lambda query: query.awaitTermination())
+        queries[-1].awaitTermination()
+        return queries
 
     def start(self, trigger: dict, first_input_seconds: float = 300.0) -> list[StreamingQuery]:
         """Start all hops to run side by side. The next hop is started once the
         one before has written a batch, as its input does not exist earlier."""
-        return self._start(trigger, lambda query: _await_batch(query, first_input_seconds))
+        return self._start(trigger, lambda query: await_batch(query, first_input_seconds))
+
+    def _hops(self) -> Iterator[tuple[str, str, Callable[[StructType], DataFrame]]]:
+        """Label, table path, and the stream given the schema of the hop before."""
+        yield "bronze", self.layout.bronze, lambda _: self.bronze()
+        yield "transactions_parsed", self.layout.parsed, lambda _: self.parsed()
+        yield "transactions_enriched", self.layout.enriched, lambda _: self.enriched()
+        if self.model is not None:
+            yield "transactions_notified", self.layout.notified, self.notified
+            if self.members is not None:
+                yield "alert_outbox", self.layout.outbox, self.outbox
 
     def _start(
         self, trigger: dict, settle: Callable[[StreamingQuery], object]
     ) -> list[StreamingQuery]:
         queries: list[StreamingQuery] = []
-
-        def hop(stream: DataFrame, path: str, label: str, **options) -> StructType:
-            queries.append(
-                start_hop(
+        schema = RAW
+        try:
+            for label, path, stream_of in self._hops():
+                if queries:
+                    settle(queries[-1])
+                stream = stream_of(schema)
+                schema = stream.schema
+                query = start_hop(
                     stream,
                     path,
                     self.layout.checkpoint(label),
                     name=f"{self.name}_{label}",
                     fmt=self.fmt,
                     trigger=trigger,
-                    **options,
+                    partition_by=["dataset"] if label == "bronze" else (),
                 )
-            )
-            settle(queries[-1])
-            return stream.schema
-
-        hop(self.bronze(), self.layout.bronze, "bronze", partition_by=["dataset"])
-        hop(self.parsed(), self.layout.parsed, "transactions_parsed")
-        enriched = hop(self.enriched(), self.layout.enriched, "transactions_enriched")
-        if self.model is not None:
-            notified = hop(self.notified(enriched), self.layout.notified, "transactions_notified")
-            if self.members is not None:
-                hop(self.outbox(notified), self.layout.outbox, "alert_outbox")
+                queries.append(query)
+        except BaseException:
+            for query in queries:
+                query.stop()
+            raise
         return queries
 
     def _read(self, path: str, schema: StructType) -> DataFrame:
         return stream_table(self.spark, path, schema, self.fmt, self.admission)
-
-
-def _await_batch(query: StreamingQuery, seconds: float) -> None:
-    deadline = time.monotonic() + seconds
-    while not any(p.numInputRows > 0 for p in query.recentProgress):
-        if time.monotonic() > deadline or not query.isActive:
-            raise TimeoutError(f"{query.name}: no input was written in {seconds} seconds")
-        query.awaitTermination(0.2)

@@ -95,7 +95,7 @@ def fit(train: DataFrame, tuning: Tuning | None = Tuning()) -> Trained:
     The training rows are read several times: for the categories, for the
     features, and by each fold. They and their features are therefore kept, in
     memory as far as it goes and else on disk, and the source is scanned once.
-    Without tuning the first grid values are used.
+    Without tuning the plain, unpenalised regression is fitted.
     """
     strings, _ = columns_by_kind(train)
     with kept(train):
@@ -103,16 +103,14 @@ def fit(train: DataFrame, tuning: Tuning | None = Tuning()) -> Trained:
         featuriser = formula_featuriser().fit(train)
         with kept(featuriser.transform(train).select(LABEL, "features")) as features:
             if tuning is None:
-                model, results = _regression(REG_PARAMS[0], ELASTIC_NET_PARAMS[0]).fit(features), []
+                model, results = _regression().fit(features), []
             else:
                 model, results = _tuned(features, tuning)
     return Trained(PipelineModel([featuriser, model]), known, results)
 
 
-def _regression(reg: float = 0.0, elastic_net: float = 0.0) -> LogisticRegression:
-    return LogisticRegression(
-        labelCol=LABEL, featuresCol="features", regParam=reg, elasticNetParam=elastic_net
-    )
+def _regression() -> LogisticRegression:
+    return LogisticRegression(labelCol=LABEL, featuresCol="features")
 
 
 def _tuned(

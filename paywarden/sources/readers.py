@@ -29,10 +29,13 @@ class Admission:
         return {}
 
     @staticmethod
-    def cluster_sized(spark: SparkSession, bytes_per_core: int = 512 << 20) -> "Admission":
+    def cluster_sized(
+        spark: SparkSession, bytes_per_core: int = 512 << 20, least: int = 128 << 30
+    ) -> "Admission":
         """Batches of a few input splits per core: enough to keep every core
-        busy, small enough that a lost batch is cheap to repeat."""
-        return Admission(max_bytes=spark.sparkContext.defaultParallelism * bytes_per_core)
+        busy, small enough that a lost batch is cheap to repeat. The floor is for
+        clusters that start with few cores and grow with the work."""
+        return Admission(max_bytes=max(least, spark.sparkContext.defaultParallelism * bytes_per_core))
 
 
 def read_transactions_csv(

@@ -5,6 +5,7 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryProgress
 
 
 def progress_frame(spark: SparkSession, queries: Iterable[StreamingQuery]) -> DataFrame:
@@ -36,35 +37,51 @@ def stop_when_idle(
     check_seconds: float = 10.0,
     clock: Callable[[], float] = time.monotonic,
 ) -> float:
-    """Wait until no query has read a row for more than `idle_seconds`, then stop
+    """Wait until no query has finished a batch for more than `idle_seconds`, then stop
     them all; returns the idle time. Raises if a query fails.
 
     Asks the queries themselves. Listing the source folder instead would cost
     more with every file, and would not know whether the files are processed.
     """
     seen: dict[str, int] = {}
-    last_input = clock()
+    last_batch = clock()
     while any(q.isActive for q in queries):
         for q in queries:
             q.awaitTermination(check_seconds / len(queries))
-        if _any_new_input(queries, seen):
-            last_input = clock()
-        idle = clock() - last_input
+        if _any_new_batch(queries, seen):
+            last_batch = clock()
+        idle = clock() - last_batch
         busy = any(q.isActive and q.status["isTriggerActive"] for q in queries)
         if idle > idle_seconds and not busy:
             # From the source on, so that nothing is read that nobody will take.
             for q in queries:
                 q.stop()
             return idle
-    return clock() - last_input
+    return clock() - last_batch
 
 
-def _any_new_input(queries: list[StreamingQuery], seen: dict[str, int]) -> bool:
-    """Whether a batch with rows was finished since the last call."""
+def await_batch(query: StreamingQuery, seconds: float) -> None:
+    """Wait until a query has written a batch; raises if it ends without one."""
+    deadline = time.monotonic() + seconds
+    while not any(_ran_batch(p) for p in query.recentProgress):
+        if time.monotonic() > deadline or not query.isActive:
+            raise TimeoutError(f"{query.name}: no batch was written in {seconds} seconds")
+        query.awaitTermination(0.2)
+
+
+def _any_new_batch(queries: list[StreamingQuery], seen: dict[str, int]) -> bool:
+    """Whether a batch was finished since the last call."""
     new = False
     for q in queries:
         for p in q.recentProgress:
-            if p.numInputRows > 0 and p.batchId > seen.get(q.id, -1):
+            if _ran_batch(p) and p.batchId > seen.get(q.id, -1):
                 seen[q.id] = p.batchId
                 new = True
     return new
+
+
+def _ran_batch(progress: StreamingQueryProgress) -> bool:
+    """Whether the progress is of a batch, and not of a look at an idle source.
+    The number of rows does not tell: a filter that the scan applies by itself
+    can leave none of a batch."""
+    return "addBatch" in progress.durationMs

@@ -58,3 +58,9 @@ def test_default_time_is_now(scored):
     message = outbox(scored, ["id"]).filter("id = 1").first()["message"]
     stamp = pd.Timestamp(message.rsplit(" at ", 1)[1])
     assert abs((pd.Timestamp.now("UTC").tz_localize(None) - stamp).total_seconds()) < 300
+
+
+def test_alerts_are_picked_out_by_the_scan(spark, scored, layout):
+    scored.write.parquet(layout.notified)
+    text = outbox(spark.read.parquet(layout.notified), ["id"])._jdf.queryExecution().toString()
+    assert "PushedFilters: [IsNotNull(prediction), EqualTo(prediction,1.0)]" in text

@@ -1,10 +1,13 @@
 import math
+from collections import defaultdict
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from paywarden import inputs
 from paywarden.functions.features import hour_of_day, party_pair
+from paywarden.operators import gold
 from paywarden.operators.evaluate import class_report, confusion
 from paywarden.operators.hops import refine
 from paywarden.operators.impute import column_means, column_modes, impute
@@ -119,3 +122,30 @@ def test_pruned_scan_and_pushed_filter(spark, sf):
     text = plan(inputs.table(spark, sf, "events").filter(F.col("value") > 300).select("event_id"))
     assert "PushedFilters: [IsNotNull(value), GreaterThan(value,300.0)]" in text
     assert "ReadSchema: struct<event_id:bigint,value:double>" in text
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_revenue_with_one_dominant_customer(spark, limit):
+    """Against a plain loop: a third of the orders belong to one customer, some to none."""
+    orders = spark.range(600).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 40).alias("cust"),
+        (F.col("id") * 0.01 + 0.1).alias("price"),
+        F.expr("timestamp_ntz '2024-01-01 00:00:00' + make_interval(0, 0, 0, id)").alias("at"),
+    )
+    customers = spark.range(30).select(
+        F.col("id").alias("cust_id"), F.when(F.col("id") % 2 == 0, "even").otherwise("odd").alias("dept")
+    )
+    got = gold.quarter_revenue(
+        orders, customers, at="at", amount="price", order_customer="cust", customer="cust_id",
+        department="dept", broadcast_bytes=limit,
+    )
+    dept = {r["cust_id"]: r["dept"] for r in customers.collect()}
+    want = defaultdict(lambda: [Decimal("0.00"), 0])
+    for cust, price, at in orders.collect():
+        if cust in dept:
+            cell = want[at.year, (at.month + 2) // 3, dept[cust]]
+            cell[0] += Decimal(str(round(price, 2))).quantize(Decimal("0.01"))
+            cell[1] += 1
+    assert rows(got, "year", "quarter", "department", "revenue", "orders") == sorted(
+        ((*k, *v) for k, v in want.items()), key=repr
+    )

@@ -99,6 +99,7 @@ def test_restart_takes_each_row_once(spark, given, members, model, layout):
     run()
     assert rows(read_table(spark, layout.enriched), KEY) == rows(first, KEY)
     early = alerts()
+    assert early
     run()  # nothing new
     assert rows(read_table(spark, layout.enriched), KEY) == rows(first, KEY)
     assert alerts() == early
@@ -106,7 +107,7 @@ def test_restart_takes_each_row_once(spark, given, members, model, layout):
     queries = run()
     assert rows(read_table(spark, layout.notified), KEY) == rows(given, KEY)
     assert queries[0].recentProgress[-1].numInputRows == later.count()
-    assert len(alerts()) == len(set(alerts()))  # no alert twice
+    assert len(alerts()) == len(set(alerts())) > len(early)  # no alert twice
     fraud = read_table(spark, layout.notified).filter("prediction = 1")
     assert alerts() == rows(fraud, KEY)
 
@@ -126,6 +127,24 @@ def test_a_repeated_batch_is_not_seen_twice(spark, given, layout):
     assert rows(read_table(spark, layout.bronze)) == before
 
 
+def test_rare_alerts_are_gathered(spark, given, members, model, layout):
+    """Many input files, few alerts: one output file per batch, not one per task."""
+    land(given, layout, files=6)
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(128 << 20))  # a task per file
+    try:
+        job(spark, layout, members, model=model).run()
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
+    assert data_files(spark, layout.notified) == 6
+    assert data_files(spark, layout.outbox) == 1
+
+
+def data_files(spark, path):
+    """Number of data files of a table."""
+    return len({r[0] for r in read_table(spark, path).select("_metadata.file_path").collect()})
+
+
 def test_blank_and_broken_lines_travel_as_empty_rows(spark, layout):
     lines = spark.createDataFrame([('{"event_id":1,"step":30}',), ("",), ("oops",)], "data STRING")
     lines.write.text(layout.source)
