@@ -8,7 +8,10 @@ from pyspark.sql import SparkSession
 
 from paywarden.layout import Layout
 
+# The modes, the form of a database name, and what it may not hold.
 MODES = ("setup", "reset", "cleanup")
+DATABASE = "{project}_{user}_db"
+ILLEGAL = "[^a-zA-Z0-9]"
 
 
 @dataclass(frozen=True)
@@ -23,8 +26,8 @@ def current_user(spark: SparkSession) -> str:
 
 
 def database_name(project: str, user: str) -> str:
-    """`<project>_<user>_db`, with every character a name may not hold as `_`."""
-    return f"{project}_{re.sub('[^a-zA-Z0-9]', '_', user)}_db"
+    """Name made from project and user, with `_` for what it may not hold."""
+    return DATABASE.format(project=project, user=re.sub(ILLEGAL, "_", user))
 
 
 def prepare_home(spark: SparkSession, base: str, project: str, mode: str = "setup") -> Home:

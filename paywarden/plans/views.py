@@ -1,5 +1,6 @@
 """The hops as temporary views, for users who work in SQL."""
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from paywarden.functions import notification as note
@@ -8,10 +9,16 @@ from paywarden.operators.enrich import join_members
 
 
 def register_views(
-    spark: SparkSession, raw: DataFrame, members: DataFrame | None = None, prefix: str = ""
+    spark: SparkSession,
+    raw: DataFrame,
+    members: DataFrame | None = None,
+    model: PipelineModel | None = None,
+    prefix: str = "",
 ) -> list[str]:
     """Views over a raw text frame, batch or streaming, and the status function.
 
+    With a model there is a view of the scored rows, so that notification reads
+    ``SELECT *, notify_status(prediction, userid, webhook_url) FROM transactions_scored``.
     Views are visible in the whole session: give each pipeline its own prefix.
     """
     bronze = to_bronze(raw)
@@ -26,6 +33,8 @@ def register_views(
     if members is not None:
         frames["members"] = members
         frames["transactions_enriched"] = join_members(refined, members)
+    if model is not None:
+        frames["transactions_scored"] = model.transform(frames.get("transactions_enriched", refined))
     for name, frame in frames.items():
         frame.createOrReplaceTempView(prefix + name)
     note.register_status(spark, f"{prefix}notify_status")

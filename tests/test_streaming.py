@@ -214,18 +214,24 @@ def test_preview_and_console(spark, given, layout):
     assert console.lastProgress.numInputRows == given.count()
 
 
-def test_views_over_a_stream(spark, given, members, layout):
+def test_views_over_a_stream(spark, given, members, model, layout):
     land(given, layout)
-    register_views(spark, stream_text(spark, layout.source), members, prefix="live_")
+    names = register_views(
+        spark, stream_text(spark, layout.source), members, model, prefix="live_"
+    )
+    assert all(spark.table(name).isStreaming == (name != "live_members") for name in names)
     query = spark.sql("""
-        SELECT nameOrig, hour, live_notify_status(1D, userid, webhook_url) AS status
-        FROM live_transactions_enriched""")
+        SELECT nameOrig, hour, prediction,
+               live_notify_status(prediction, userid, webhook_url) AS status
+        FROM live_transactions_scored""")
     assert query.isStreaming
     run_hop(query, layout.enriched, layout.checkpoint("sql"))
     got = read_table(spark, layout.enriched)
     want = refine(parse_records(to_bronze(given.select(F.to_json(F.struct("*")).alias("data")))))
     assert rows(got, "nameOrig", "hour") == rows(want, "nameOrig", "hour")
-    assert [tuple(r) for r in got.select("status").distinct().collect()] == [("Notification sent",)]
+    assert rows(got.select("prediction", "status").distinct()) == [
+        (0.0, "Valid transaction"), (1.0, "Notification sent"),
+    ]
 
 
 def test_freshness(spark, given, layout):
