@@ -55,16 +55,26 @@ def prepare_home(spark: SparkSession, base: str, project: str, mode: str = "setu
     return Home(user, database, Layout(home))
 
 
-def tune_session(
-    spark: SparkSession, input_bytes: int | None = None, partition_bytes: int = 256 << 20
-) -> int:
-    """Set the shuffle width: one partition per core, or more where the input is
-    so large that each would hold over `partition_bytes`. Adaptive execution
-    stays on and merges partitions that turn out small."""
-    width = spark.sparkContext.defaultParallelism
-    if input_bytes:
-        width = max(width, -(-input_bytes // partition_bytes))
-    spark.conf.set("spark.sql.shuffle.partitions", width)
+def tune_session(spark: SparkSession, input_bytes: int = 0) -> int:
+    """Set the shuffle width to one partition per core, or wider for a large
+    input. Adaptive execution stays on and merges partitions that turn out small."""
+    spark.conf.set("spark.sql.shuffle.partitions", spark.sparkContext.defaultParallelism)
     spark.conf.set("spark.sql.adaptive.enabled", True)
     spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", True)
+    return widen_shuffles(spark, input_bytes)
+
+
+def widen_shuffles(
+    spark: SparkSession, input_bytes: int, partition_bytes: int = 1 << 30, most: int = 20_000
+) -> int:
+    """Raise the shuffle width, if it is lower, to one partition per
+    `partition_bytes` of input; adaptive execution can merge partitions but not
+    add any. The driver tracks map tasks times partitions, hence a limit: above
+    it partitions grow, and sorts and aggregates spill.
+    """
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(most, -(-input_bytes // partition_bytes))
+    if wanted > width:
+        spark.conf.set("spark.sql.shuffle.partitions", wanted)
+        return wanted
     return width

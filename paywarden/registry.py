@@ -6,12 +6,13 @@ Queries that write (streams, exports, models) use a new folder below
 """
 
 from collections.abc import Callable
+from functools import wraps
 
-from pyspark.ml import Pipeline as Stages
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paywarden import inputs
+from paywarden.catalog import widen_shuffles
 from paywarden.functions import notification as note
 from paywarden.functions.features import hour_of_day, party_pair
 from paywarden.functions.records import decode_record
@@ -25,7 +26,7 @@ from paywarden.operators.prepare import LABEL, columns_by_kind, label_frame, tra
 from paywarden.plans import training
 from paywarden.plans.pipeline import Pipeline, notify, outbox
 from paywarden.plans.views import register_views
-from paywarden.schemas import BRONZE, FEATURES, MEMBERS, RECORD, TRANSACTIONS
+from paywarden.schemas import BRONZE, FEATURES
 from paywarden.sources.readers import (
     Admission, count_rows, freshness, read_members_csv, read_table, read_transactions_csv,
     stream_table, stream_text,
@@ -44,7 +45,12 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     `transactions` and `members` besides the given ones."""
 
     def register(fn: Query) -> Query:
-        QUERIES[fn.__name__] = fn
+        @wraps(fn)
+        def sized(spark: SparkSession, sf_dir: str) -> DataFrame:
+            widen_shuffles(spark, given_bytes(spark, sf_dir))
+            return fn(spark, sf_dir)
+
+        QUERIES[fn.__name__] = sized
         if sql is not None:
             head = "WITH " + ",\n".join([TRANSACTIONS_SQL, MEMBERS_SQL])
             body = sql.strip()
@@ -56,6 +62,17 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+_GIVEN_BYTES: dict[tuple[str, str], int] = {}
+
+
+def given_bytes(spark: SparkSession, sf_dir: str) -> int:
+    """Size of the given tables, from file status, looked up once per application."""
+    place = (spark.sparkContext.applicationId, sf_dir)
+    if place not in _GIVEN_BYTES:
+        _GIVEN_BYTES[place] = freshness(spark, sf_dir).first()["bytes"]
+    return _GIVEN_BYTES[place]
+
+
 # --- SQL fragments shared by several checks ---------------------------------
 
 REFINED = """step, type, amount, nameOrig, oldbalanceOrg, newbalanceOrig, oldbalanceDest, newbalanceDest,

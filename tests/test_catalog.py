@@ -48,11 +48,15 @@ def test_home_modes(spark, tmp_path):
 
 
 def test_tuning_follows_cores_and_input(spark):
-    before = spark.conf.get("spark.sql.shuffle.partitions")
+    width = lambda: int(spark.conf.get("spark.sql.shuffle.partitions"))
+    before = width()
     try:
         cores = spark.sparkContext.defaultParallelism
-        assert catalog.tune_session(spark) == cores
-        assert catalog.tune_session(spark, input_bytes=100 << 40) == (100 << 40) // (256 << 20)
+        assert catalog.tune_session(spark) == width() == cores
+        assert catalog.tune_session(spark, input_bytes=1 << 40) == width() == 1024
+        assert catalog.tune_session(spark, input_bytes=100 << 40) == 20_000
         assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+        spark.conf.set("spark.sql.shuffle.partitions", 500)
+        assert catalog.widen_shuffles(spark, 1 << 30) == width() == 500  # never narrower
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -1,7 +1,7 @@
 import pytest
 
 from paywarden import inputs
-from paywarden.schemas import FEATURES, MEMBERS, RECORD
+from paywarden.schemas import MEMBERS, RECORD
 from paywarden.sources.readers import (
     count_rows, path_relation, read_members_csv, read_table, read_transactions_csv, stream_table,
 )
