@@ -1,8 +1,9 @@
 """Start one hop: a stream appended to a table, with a checkpoint of its own."""
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 # Take everything there is, in admitted batches, then end.
@@ -25,6 +26,9 @@ def start_hop(
     The file sink records the files of each batch in the table's own log, so a
     batch that is repeated after a failure is seen once by readers. `fmt` may
     name another streaming table format that the cluster provides.
+
+    A task that meets only a few partitions keeps a file open for each, instead
+    of sorting its rows by partition first.
     """
     writer = (
         stream.writeStream.format(fmt)
@@ -36,7 +40,19 @@ def start_hop(
         writer = writer.queryName(name)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    return writer.start(path)
+    # The query takes a copy of the settings when it starts.
+    with _setting(stream.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", "32"):
+        return writer.start(path)
+
+
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def run_hop(stream: DataFrame, path: str, checkpoint: str, **options) -> StreamingQuery:

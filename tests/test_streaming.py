@@ -15,7 +15,7 @@ from paywarden.sources.readers import Admission, freshness, read_table, stream_t
 from paywarden.sources.writers import export_json_lines
 from paywarden.streaming.lifecycle import progress_frame, stop_queries, stop_when_idle
 from paywarden.streaming.runner import CONTINUAL, preview, run_hop, start_hop, to_console
-from tests.conftest import rows
+from tests.conftest import plan, rows
 
 
 @pytest.fixture(scope="module")
@@ -57,6 +57,17 @@ def test_one_file_per_batch(spark, given, layout):
     assert bronze.select("receipt_time").distinct().count() == 3  # one stamp per batch
 
 
+def test_partitioned_table_needs_no_sort(spark, given, layout):
+    land(given, layout)
+    bronze = to_bronze(stream_text(spark, layout.source))
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    run_hop(bronze, layout.bronze, layout.checkpoint("bronze"), partition_by=["dataset"])
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+    pruned = read_table(spark, layout.bronze).filter("dataset = 'transactions'")
+    assert pruned.count() == given.count()
+    assert "PartitionFilters: [isnotnull(dataset" in plan(pruned)
+
+
 def test_bytes_per_batch_and_one_limit_only(spark, given, layout):
     land(given, layout, files=4)
     raw = stream_text(spark, layout.source, Admission(max_bytes=100_000))
