@@ -3,7 +3,7 @@
 Each takes a batch or a streaming frame; a stream gives the same rows.
 """
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
@@ -26,6 +26,14 @@ def to_bronze(raw: DataFrame, dataset: str = TRANSACTIONS) -> DataFrame:
     )
 
 
+def multiplex(raws: Mapping[str, DataFrame]) -> DataFrame:
+    """Raw lines of several datasets as one bronze frame, keyed by their tags.
+
+    One stream must write them all: a file-sink table has a single writer.
+    """
+    return reduce(DataFrame.unionByName, [to_bronze(raw, tag) for tag, raw in raws.items()])
+
+
 def parse_records(
     bronze: DataFrame, schema: StructType = RECORD, dataset: str = TRANSACTIONS
 ) -> DataFrame:

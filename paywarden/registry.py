@@ -47,8 +47,9 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
         @wraps(fn)
         def sized(spark: SparkSession, sf_dir: str) -> DataFrame:
-            widen_shuffles(spark, given_bytes(spark, sf_dir))
-            return fn(spark, sf_dir)
+            given = str(sf_dir).rstrip("/")
+            widen_shuffles(spark, given_bytes(spark, given))
+            return fn(spark, given)
 
         QUERIES[fn.__name__] = sized
         if sql is not None:

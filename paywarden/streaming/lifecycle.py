@@ -51,7 +51,8 @@ def stop_when_idle(
         if _any_new_batch(queries, seen):
             last_batch = clock()
         idle = clock() - last_batch
-        busy = any(q.isActive and q.status["isTriggerActive"] for q in queries)
+        # A batch that takes longer than the wait is not idleness.
+        busy = any(q.isActive and q.status["isDataAvailable"] for q in queries)
         if idle > idle_seconds and not busy:
             # From the source on, so that nothing is read that nobody will take.
             for q in queries:

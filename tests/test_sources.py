@@ -19,6 +19,14 @@ def test_declared_and_inferred_csv_agree(spark, sf, layout):
     assert rows(declared) == rows(inferred) == rows(given)
 
 
+def test_few_columns_of_a_csv(spark, sf, layout):
+    given = inputs.transactions(spark, sf).drop("event_id")
+    export_csv(given, layout.source)
+    scan = read_transactions_csv(spark, layout.source)
+    assert scan.count() == given.count()
+    assert rows(scan, "amount", "type") == rows(given, "amount", "type")
+
+
 def test_reordered_header_fails(spark, layout):
     members = spark.createDataFrame([("C1", "u", "w")], MEMBERS)
     export_csv(members.select("userid", "nameOrig", "webhook_url"), layout.source)

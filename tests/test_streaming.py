@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from paywarden import inputs
 from paywarden.inputs import KEY, KEYED_RECORD
 from paywarden.operators.enrich import join_members
-from paywarden.operators.hops import parse_records, refine, to_bronze
+from paywarden.operators.hops import multiplex, parse_records, refine, to_bronze
 from paywarden.operators.prepare import training_frame
 from paywarden.plans import training
 from paywarden.plans.pipeline import Pipeline, notify
@@ -57,6 +57,21 @@ def test_one_file_per_batch(spark, given, layout):
     assert bronze.select("receipt_time").distinct().count() == 3  # one stamp per batch
 
 
+def test_two_datasets_in_one_table(spark, given, layout):
+    """Each dataset is read back alone, from its own partition."""
+    land(given, layout)
+    other = layout.source + "_invoices"
+    spark.createDataFrame([('{"step":1}',), ('{"step":2}',)], "data STRING").write.text(other)
+    both = multiplex(
+        {"transactions": stream_text(spark, layout.source), "invoices": stream_text(spark, other)}
+    )
+    run_hop(both, layout.bronze, layout.checkpoint("bronze"), partition_by=["dataset"])
+    bronze = read_table(spark, layout.bronze)
+    assert bronze.count() == given.count() + 2
+    assert rows(parse_records(bronze, KEYED_RECORD)) == rows(given)
+    assert rows(parse_records(bronze, dataset="invoices"), "step") == [(1,), (2,)]
+
+
 def test_partitioned_table_needs_no_sort(spark, given, layout):
     land(given, layout)
     bronze = to_bronze(stream_text(spark, layout.source))
@@ -187,6 +202,16 @@ def test_idle_clock_restarts_with_new_input(spark, given, layout):
     assert read_table(spark, layout.bronze).count() == given.count()
 
 
+def test_a_long_batch_is_not_cut_off(spark, layout):
+    spark.range(1).selectExpr("'x' AS data").write.text(layout.source)
+    slow = stream_text(spark, layout.source).withColumn(
+        "slept", F.expr("reflect('java.util.concurrent.locks.LockSupport', 'parkNanos', 5000000000L)")
+    )
+    query = start_hop(slow, layout.bronze, layout.checkpoint("bronze"), trigger=CONTINUAL)
+    stop_when_idle([query], idle_seconds=1, check_seconds=0.2)
+    assert read_table(spark, layout.bronze).count() == 1
+
+
 def test_a_failing_query_is_reported(spark, layout):
     spark.createDataFrame([("x",)], "data STRING").write.text(layout.source)
     broken = stream_text(spark, layout.source).select(F.raise_error(F.lit("broken")).alias("data"))
