@@ -4,14 +4,15 @@ Every transaction is kept. One without a member, or without an account name,
 gets null member columns; one whose account is listed twice comes out twice.
 """
 
-from collections.abc import Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from paywarden.operators.sizing import BROADCAST_BYTES, hot_keys, measured_bytes
+from paywarden.operators.sizing import (
+    BROADCAST_BYTES, group_numbers, hot_keys, measured_bytes,
+)
 
 KEY = "nameOrig"
-SALTS = 64
 
 
 def join_members(
@@ -31,41 +32,43 @@ def join_members(
         return transactions.join(F.broadcast(members), KEY, "left")
     if history is None and not transactions.isStreaming:
         history = transactions
-    hot = [] if history is None else hot_keys(history, KEY)
-    return salted_left_join(transactions, members, hot, hot_keys(members, KEY))
+    width = int(transactions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = {} if history is None else group_numbers(hot_keys(history, KEY), width)
+    crowded = group_numbers(hot_keys(members, KEY), width)
+    return salted_left_join(transactions, members, hot, crowded, width)
 
 
 def salted_left_join(
     transactions: DataFrame,
     members: DataFrame,
-    hot: Sequence[str] = (),
-    crowded: Sequence[str] = (),
-    salts: int = SALTS,
+    hot: Mapping[str, int],
+    crowded: Mapping[str, int],
+    width: int,
 ) -> DataFrame:
     """The same join by shuffle, with large groups spread over several tasks.
 
-    `hot` accounts have many transactions. These are dealt to `salts` groups, and
-    the members of the account are copied to each group.
-    `crowded` accounts are listed many times. Their member rows are dealt to
-    `salts` groups, and the transactions of the account are copied to each. A
-    group may lack a partner, but not all can, as the account is listed: the
-    unmatched copies are left out.
-    Transactions without account match nothing, so they are dealt out as well.
+    `hot` accounts have many transactions: these are dealt to the given number of
+    groups, and the members of the account are copied to each group.
+    `crowded` accounts are listed many times: their member rows are dealt out, and
+    the transactions of the account are copied to each group. A group may lack a
+    partner, but not all can, as the account is listed: the unmatched copies are
+    left out.
+    Transactions without account match nothing and are dealt to `width` groups.
 
     Rows are dealt by a hash of all their values, so that a retried task deals
-    them the same way. Which accounts are named affects the speed only, but
-    every crowded one must be in the list.
+    them the same way. Which accounts are named affects the speed only, as long
+    as the crowded ones are listed.
     """
-    left = (
-        transactions.withColumn(
-            "_deal", _dealt(_among(hot) | F.col(KEY).isNull(), transactions.columns, salts)
-        )
-        .withColumn("_seat", _copies(_among(crowded), salts))
-    )
+    left = transactions.withColumn(
+        "_deal",
+        F.when(F.col(KEY).isNull(), _group(transactions.columns, width)).otherwise(
+            _dealt(hot, transactions.columns)
+        ),
+    ).withColumn("_seat", _copies(crowded))
     right = (
         members.filter(F.col(KEY).isNotNull())
-        .withColumn("_seat", _dealt(_among(crowded), members.columns, salts))
-        .withColumn("_deal", _copies(_among(hot), salts))
+        .withColumn("_seat", _dealt(crowded, members.columns))
+        .withColumn("_deal", _copies(hot))
         .withColumn("_listed", F.lit(True))
     )
     return (
@@ -75,18 +78,32 @@ def salted_left_join(
     )
 
 
-def _among(keys: Sequence[str]) -> Column:
+def _among(keys: Collection[str]) -> Column:
     """Whether the account is one of `keys`; false for none."""
     return F.coalesce(F.col(KEY).isin(list(keys)), F.lit(False)) if keys else F.lit(False)
 
 
-def _dealt(where: Column, columns: Sequence[str], salts: int) -> Column:
-    """A group number by hash, or 0 outside of `where`."""
-    number = F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int")
-    return F.when(where, number).otherwise(F.lit(0))
+def _group(columns: Sequence[str], groups: int) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(groups)).cast("int")
+
+
+def _dealt(spread: Mapping[str, int], columns: Sequence[str]) -> Column:
+    """A group number by hash; 0 for accounts that are not spread."""
+    return _by_groups(spread, lambda n: _group(columns, n), F.lit(0))
+
+
+def _copies(spread: Mapping[str, int]) -> Column:
+    """The row once per group; once, with 0, for accounts that are not spread."""
+    numbers = lambda n: F.sequence(F.lit(0), F.lit(n - 1))
+    return F.explode(_by_groups(spread, numbers, F.array(F.lit(0))))
 
 
-def _copies(where: Column, salts: int) -> Column:
-    """One row per group number, or the row once with 0 outside of `where`."""
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    return F.explode(F.when(where, every).otherwise(F.array(F.lit(0))))
+def _by_groups(
+    spread: Mapping[str, int], value: Callable[[int], Column], default: Column
+) -> Column:
+    """`value` of the number of groups of the account. There are few different
+    numbers, so this is a short chain of set lookups."""
+    case = default
+    for n in sorted(set(spread.values())):
+        case = F.when(_among([k for k, m in spread.items() if m == n]), value(n)).otherwise(case)
+    return case

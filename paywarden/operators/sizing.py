@@ -1,6 +1,7 @@
 """Sizes, measured before they are relied on, and frames that are read twice."""
 
-from collections.abc import Iterator
+import math
+from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
@@ -21,14 +22,20 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.sum(per_row.cast("bigint")).alias("bytes")).first()["bytes"] or 0
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list[str]:
-    """Keys that hold at least `share` of the rows of a batch frame.
-
-    At most 1/share keys can qualify, which bounds the list.
+def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> dict[str, float]:
+    """Keys that hold at least `share` of the rows of a batch frame, with the
+    part they hold. At most 1/share keys can qualify, which bounds the result.
     """
+    rows = df.count()
     counts = df.filter(F.col(key).isNotNull()).groupBy(key).count()
-    least = max(2.0, share * df.count())
-    return [r[key] for r in counts.filter(F.col("count") >= least).select(key).collect()]
+    hot = counts.filter(F.col("count") >= max(2.0, share * rows))
+    return {r[key]: r["count"] / rows for r in hot.collect()}
+
+
+def group_numbers(shares: Mapping[str, float], width: int) -> dict[str, int]:
+    """Over how many groups to spread each key, so that a group is no larger than
+    an even part of `width`: the next power of two, and at least 2."""
+    return {k: max(2, 1 << math.ceil(math.log2(max(1.0, s * width)))) for k, s in shares.items()}
 
 
 @contextmanager

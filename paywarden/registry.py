@@ -8,6 +8,8 @@ Queries that write (streams, exports, models) use a new folder below
 from collections.abc import Callable
 from functools import wraps
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -738,3 +740,21 @@ def stream_score_rows(spark, sf_dir):
 def stream_alerts(spark, sf_dir):
     """The alert outbox at the end of the hops."""
     return read_table(spark, scored_pipeline(spark, sf_dir).layout.outbox)
+
+
+@query(f"""SELECT event_id, userid, webhook_url, webhook_url IS NOT NULL AS deliverable,
+       concat(coalesce(userid, 'None'), ', a fraud transaction is posted in your account') AS message
+FROM ({RULED}) LEFT JOIN members USING (nameOrig) WHERE prediction = 1""")
+def stream_alerts_by_rule(spark, sf_dir):
+    """The outbox at the end of the hops with a rule in place of the model; the
+    message is shown up to its time."""
+    rule = SQLTransformer(
+        statement="SELECT *, CASE WHEN amount > 100 THEN 1D ELSE 0D END AS prediction FROM __THIS__"
+    )
+    job = pipeline(spark, sf_dir, model=PipelineModel([rule]))
+    job.run()
+    alerts = read_table(spark, job.layout.outbox)
+    return alerts.select(
+        KEY, "userid", "webhook_url", "deliverable",
+        F.substring_index("message", " at ", 1).alias("message"),
+    )

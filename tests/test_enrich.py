@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from paywarden.operators.enrich import join_members, salted_left_join
-from paywarden.operators.sizing import hot_keys, measured_bytes
+from paywarden.operators.sizing import group_numbers, hot_keys, measured_bytes
 from paywarden.schemas import MEMBERS
 from tests.conftest import plan, rows
 
@@ -45,12 +45,11 @@ def test_every_way_gives_the_brute_force_result(transactions, members):
     assert small.columns == large.columns == ["nameOrig", "id", "userid", "webhook_url"]
     assert rows(small) == want
     assert rows(large) == want
-    for hot in ([], ["C1"], ["C1", "C2", "X3", "never seen"]):
-        for crowded in ([], ["C2"], ["C1", "C2", "C9"]):
-            for salts in (1, 7):
-                got = salted_left_join(transactions, members, hot, crowded, salts)
-                assert got.columns == small.columns
-                assert rows(got) == want
+    for hot in ({}, {"C1": 2}, {"C1": 8, "C2": 2, "X3": 4, "never seen": 2}):
+        for crowded in ({}, {"C2": 4}, {"C1": 2, "C2": 8, "C9": 2}):
+            got = salted_left_join(transactions, members, hot, crowded, width=8)
+            assert got.columns == small.columns
+            assert rows(got) == want
 
 
 def test_an_account_listed_very_often(spark, transactions):
@@ -62,7 +61,7 @@ def test_an_account_listed_very_often(spark, transactions):
         F.lit("w").alias("webhook_url"),
     )
     some = transactions.filter("id < 300")
-    assert hot_keys(often, "nameOrig", share=0.3) == ["C2"]
+    assert hot_keys(often, "nameOrig", share=0.3) == {"C2": 1 / 3}
     assert rows(join_members(some, often, broadcast_bytes=0)) == brute_force(some, often)
 
 
@@ -83,16 +82,27 @@ def test_measured_bytes_follow_the_strings(spark):
 
 
 def test_hot_keys_hold_their_share(transactions):
-    assert sorted(hot_keys(transactions, "nameOrig", share=0.3)) == ["C1", "C2"]
+    assert hot_keys(transactions, "nameOrig", share=0.3) == {"C1": 1 / 3, "C2": 1 / 3}
     assert len(hot_keys(transactions, "nameOrig", share=0.001)) <= 1000
+    assert hot_keys(transactions.limit(0), "nameOrig") == {}
 
 
-def test_hot_rows_are_spread(transactions, members):
-    """The rows of a hot key, and those without key, go to many groups."""
-    joined = salted_left_join(transactions, members, ["C1", "C2"], salts=16)
-    text = plan(joined)
-    assert "xxhash64" in text and "_deal" in text
-    salt = F.pmod(F.xxhash64("id", "nameOrig"), F.lit(16))
-    groups = transactions.groupBy("nameOrig").agg(F.countDistinct(salt).alias("n"))
-    spread = {r["nameOrig"]: r["n"] for r in groups.collect()}
-    assert spread["C1"] == spread["C2"] == spread[None] == 16
+def test_groups_follow_the_share():
+    got = group_numbers({"third": 1 / 3, "thousandth": 0.001, "all": 1.0}, width=20_000)
+    assert got == {"third": 8192, "thousandth": 32, "all": 32768}
+    assert group_numbers({"third": 1 / 3}, width=1) == {"third": 2}
+
+
+def test_hot_rows_are_spread(spark, transactions, members):
+    """No task gets much more than its part, though two accounts hold two thirds."""
+    hot = group_numbers(hot_keys(transactions, "nameOrig"), 64)
+    joined = salted_left_join(transactions, members, hot, {}, 64)
+    assert "xxhash64" in plan(joined)
+    deal = (
+        F.when(F.col("nameOrig") == "C1", F.pmod(F.xxhash64("id", "nameOrig"), F.lit(hot["C1"])))
+        .when(F.col("nameOrig") == "C2", F.pmod(F.xxhash64("id", "nameOrig"), F.lit(hot["C2"])))
+        .when(F.col("nameOrig").isNull(), F.pmod(F.xxhash64("id", "nameOrig"), F.lit(64)))
+        .otherwise(0)
+    )
+    largest = transactions.groupBy("nameOrig", deal).count().agg(F.max("count")).first()[0]
+    assert largest < 3 * transactions.count() / 64
