@@ -1,6 +1,7 @@
 """Train, tune and judge the fraud model. All of it runs as Spark ML jobs."""
 
 from collections.abc import Sequence
+from contextlib import ExitStack
 from dataclasses import dataclass, field
 from functools import reduce
 from operator import or_
@@ -93,19 +94,23 @@ def fit(train: DataFrame, tuning: Tuning | None = Tuning()) -> Trained:
     """Learn the features, then fit the model, or the whole grid.
 
     The training rows are read several times: for the categories, for the
-    features, and by each fold. They and their features are therefore kept, in
-    memory as far as it goes and else on disk, and the source is scanned once.
+    features, and by each fold. First they, then their features are therefore
+    kept, in memory as far as it goes and else on disk, and the source is scanned
+    once.
     Without tuning the plain, unpenalised regression is fitted.
     """
     strings, _ = columns_by_kind(train)
-    with kept(train):
-        known = categories(train, strings) if strings else {}
-        featuriser = formula_featuriser().fit(train)
-        with kept(featuriser.transform(train).select(LABEL, "features")) as features:
-            if tuning is None:
-                model, results = _regression().fit(features), []
-            else:
-                model, results = _tuned(features, tuning)
+    with ExitStack() as meanwhile:
+        with kept(train):
+            known = categories(train, strings) if strings else {}
+            featuriser = formula_featuriser().fit(train)
+            features = featuriser.transform(train).select(LABEL, "features")
+            meanwhile.enter_context(kept(features))
+            features.count()  # once the features are there, the rows are let go
+        if tuning is None:
+            model, results = _regression().fit(features), []
+        else:
+            model, results = _tuned(features, tuning)
     return Trained(PipelineModel([featuriser, model]), known, results)
 
 
