@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable
+from functools import wraps
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from paywarden.llm import bpe, chat, decontaminate, sharding
+from paywarden.llm import bpe, chat, decontaminate, neighbours, sharding, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -15,11 +20,32 @@ SHARDS = 24
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application. Spark serves the file to all executors."""
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        package = Path(__file__).resolve().parents[1]
+        archive = Path(tempfile.mkdtemp(prefix="run-")) / f"{package.name}.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for source in sorted(package.rglob("*.py")):
+                out.write(source, source.relative_to(package.parent))
+        spark.sparkContext.addPyFile(str(archive))
+        _SHIPPED.add(app)
+
+
 def query(sql: str | None = None):
     """Register a query under its function name."""
 
     def register(fn):
-        QUERIES[fn.__name__] = fn
+        @wraps(fn)
+        def shipped(spark, sf_dir):
+            ship(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[fn.__name__] = shipped
         if sql is not None:
             ORACLE[fn.__name__] = sql.strip()
         return fn
@@ -31,6 +57,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
 
 
+@query()
+def op1_toxicity(spark, sf_dir):
+    """All documents scored by a model that is learned from labelled rows."""
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query()
 def op5_sharding(spark, sf_dir):
     """All documents in 24 shards of a weighted hash tree."""
@@ -71,6 +103,13 @@ def op8_bpe(spark, sf_dir):
     return bpe.encode_frame(docs, ranks, public_tokenizers.PATTERN, ["doc_id"], ids=False)
 
 
+@query()
+def op9_neighbours(spark, sf_dir):
+    """The 5 nearest vectors of every fiftieth."""
+    rows = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(rows, rows.where(F.col("vec_id") % 50 == 0), k=5)
+
+
 @query()
 def op10_decontamination(spark, sf_dir):
     """Benchmark passages in all documents."""
