@@ -11,12 +11,13 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paywarden.llm import bpe, chat, decontaminate, neighbours, sharding, toxicity
+from paywarden.llm import bpe, chat, decontaminate, neighbours, pii, sharding, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 SHARDS = 24
+PSEUDONYM_KEY = "key of the example; a job passes its own secret"
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -63,6 +64,12 @@ def op1_toxicity(spark, sf_dir):
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query()
+def op4_pii(spark, sf_dir):
+    """All documents with pseudonyms for personal numbers, dates, addresses and secrets."""
+    return pii.pseudonymised(table(spark, sf_dir, "documents"), PSEUDONYM_KEY, ["doc_id"])
+
+
 @query()
 def op5_sharding(spark, sf_dir):
     """All documents in 24 shards of a weighted hash tree."""
