@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paywarden.llm import bpe, chat, decontaminate, licenses, neighbours, pii, sharding, toxicity
+from paywarden.llm import bpe, chat, decontaminate, jaccard, licenses, neighbours, pii, sharding, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -106,6 +106,12 @@ def op7_chat(spark, sf_dir):
     return chat.digests(rows.unionByName(extra))
 
 
+@query()
+def op6_jaccard(spark, sf_dir):
+    """Components of documents whose sets of 3-word shingles are similar to 90 %."""
+    return jaccard.classes(table(spark, sf_dir, "documents"), 3, 90)
+
+
 @query()
 def op8_bpe(spark, sf_dir):
     """All documents encoded and decoded."""
