@@ -52,12 +52,16 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
 
 
 class FmIndex:
-    """Search in a sequence of symbols 1 to `most`, in which 0 separates."""
+    """Search in a sequence of symbols 1 to `most`, in which 0 separates.
+
+    Inside, all symbols are one larger, and a single 0 ends the text: the walk from a
+    row to the row of the position before needs an end that occurs once.
+    """
 
     def __init__(self, text: np.ndarray, most: int):
-        text = np.concatenate([text, [0]]).astype(np.int64)
+        text, most = np.concatenate([text + 1, [0]]).astype(np.int64), most + 1
         order = suffix_array(text)
-        self.size, self.bits = len(text), max(1, int(most).bit_length())
+        self.size, self.bits = len(text), int(most).bit_length()
         last = text[order - 1]
         self.before = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=most + 1))])
         self.ones, self.zeros = [], []
@@ -93,7 +97,7 @@ class FmIndex:
         low, high = np.zeros(len(phrases), np.int64), np.full(len(phrases), self.size, np.int64)
         for k in range(phrases.shape[1] - 1, -1, -1):
             live = np.flatnonzero((lengths > k) & (high > low))
-            symbol = phrases[live, k]
+            symbol = phrases[live, k] + 1
             low[live] = self.before[symbol] + self.rank(symbol, low[live])
             high[live] = self.before[symbol] + self.rank(symbol, high[live])
         return low, np.maximum(low, high)
