@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paywarden.llm import bpe, chat, decontaminate, jaccard, licenses, neighbours, pii, sharding, toxicity
+from paywarden.llm import bpe, chat, decontaminate, jaccard, licenses, neighbours, pii, sharding, suffixes, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -64,6 +64,12 @@ def op1_toxicity(spark, sf_dir):
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query()
+def op2_repeats(spark, sf_dir):
+    """All documents without the 200-byte strings that start more than once."""
+    return suffixes.report(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op3_licenses(spark, sf_dir):
     """License notices in all documents."""
