@@ -23,6 +23,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from paywarden.llm.storage import schema_of
+
 CACHE_WORDS = 250_000  # matches in a generation of the cache of a worker
 LONG_MATCH = 64  # characters; longer matches are not kept
 CACHE_PIECES = 400_000  # short halves and token pairs kept likewise
@@ -209,7 +211,7 @@ def encode_frame(docs: DataFrame, ranks: dict[bytes, int], pattern: str, kept: l
     one is an error; all others may have any name.
     """
     new = "n_tokens long, ids_sha256 string, decoded_sha256 string, decoded_equal boolean" + ", ids binary" * ids
-    fields = [f for f in docs.schema.fields if f.name in kept]
+    fields = [docs.schema[c] for c in kept]
     shared = docs.sparkSession.sparkContext.broadcast(ranks)  # a vocabulary: about 50,000 entries
     key = hash((pattern, frozenset(ranks.items())))
 
@@ -217,7 +219,7 @@ def encode_frame(docs: DataFrame, ranks: dict[bytes, int], pattern: str, kept: l
         codec = _codec(key, shared.value, pattern)
         for batch in batches:
             columns: list[list] = [[] for _ in range(4 + ids)]
-            texts = batch.column(batch.schema.names.index("_text"))
+            texts = batch.column(batch.num_columns - 1)
             for value in texts:
                 text = value.as_py() or ""
                 data = codec.encoded(text)
@@ -234,10 +236,8 @@ def encode_frame(docs: DataFrame, ranks: dict[bytes, int], pattern: str, kept: l
             kinds = [pa.int64(), pa.string(), pa.string(), pa.bool_(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], *(pa.array(c, k) for c, k in zip(columns, kinds))],
-                names=[*batch.schema.names[:-1], "n_tokens", "ids_sha256", "decoded_sha256", "decoded_equal", "ids"][: len(fields) + 4 + ids],
+                names=[*batch.schema.names[:-1], "n_tokens", "ids_sha256", "decoded_sha256", "decoded_equal", *["ids"][:ids]],
             )
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), new])
-    source = docs.select(*(f"`{f.name}`" for f in fields), docs["text"].cast("string").alias("_text"))
-    return source.mapInArrow(run, schema)
-
+    source = docs.select(*(docs[f"`{f.name}`"] for f in fields), docs["text"].cast("string").alias("_text"))
+    return source.mapInArrow(run, schema_of(fields, new))

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paywarden.llm.storage import schema_of
 from paywarden.llm.words import ALNUM, LOWER, text_slices, word_spans
 
 WINDOW = 10  # words
@@ -251,18 +252,26 @@ def contamination(
                     "_n_words": [n for n, _, _ in found],
                     "_spans": [[{"s": s, "e": e} for s, e in x] for x in spans],
                     "_items": [sorted(x) for x in items],
-                    "_text": [t.decode("utf-8") for t in texts],
+                    "_text": [t.decode("utf-8") if v else None for t, v in zip(texts, column.is_valid().to_pylist())],
                 }
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(i) for i in range(len(fields))), *(pa.array(new[n], kinds[n]) for n in names)],
                     names=[*(f.name for f in fields), *names],
                 )
 
-        schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), *(f"{n} {declared[n]}" for n in names)])
-        frame = frame.mapInArrow(run, schema)
+        frame = frame.mapInArrow(run, schema_of(fields, ", ".join(f"{n} {declared[n]}" for n in names)))
     return frame
 
 
+def cleaned(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The documents, all their columns, with the hit spans cut out of `text`. A null text stays null."""
+    others = [c for c in docs.columns if c != "text"]
+    plain = docs.select(*(docs[f"`{c}`"].alias(f"c{k}") for k, c in enumerate(others)), docs["text"])  # names that cannot clash
+    found = contamination(plain, benchmark, [f"c{k}" for k in range(len(others))], window, clean=True)
+    places = {c: f"c{k}" for k, c in enumerate(others)} | {"text": "_text"}
+    return found.select(*(F.col(places[c]).alias(c) for c in docs.columns))
+
+
 def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, for each document."""
     found = contamination(docs, benchmark, ["doc_id"], window)

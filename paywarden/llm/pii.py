@@ -22,6 +22,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paywarden.llm.storage import unused
+
 ROUNDS = 8  # even, so that the halves end in their places
 FIRST_DAY, CYCLE_DAYS, DAY_PARTS = "1800-01-01", 146_097, (189, 773)  # 400 years; the parts multiply to the days
 
@@ -156,20 +158,22 @@ def pseudonymised(docs: DataFrame, key: str, kept: list[str] | None = None) -> D
 
     Null text stays null and has no values; an empty text stays empty; values that
     fail their check stay as they are; repeated rows and ties come out alike; an
-    empty table gives no rows. The columns are handled by position in the frame, so
-    others may have any name but `_parts`.
+    empty table gives no rows. Helper columns take names that are free, so others may have any name.
     """
-    text = F.col("text").cast("string")
+    docs = docs.withColumn("text", docs["text"].cast("string"))
+    text = F.col("text")
     found = F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
-    parts = F.when(
+    values = F.when(
         text.rlike(HINT),
         F.transform(found, lambda m: F.struct(m.alias("old"), pseudonym(m, key).alias("new"))),
     )
-    some = F.size("_parts") > 0
-    new = F.transform("_parts", lambda p: F.coalesce(p["new"], p["old"]))
-    joined = F.array_join(F.zip_with(F.split(text, PATTERN, -1), new, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    out = docs.withColumn("_parts", parts).withColumn("_new", F.when(some, joined).otherwise(text))
+    parts, count = unused(docs, "parts"), unused(docs, "n_values")
+    some = F.size(parts) > 0
+    new = F.transform(parts, lambda p: F.coalesce(p["new"], p["old"]))
+    joined = F.array_join(F.zip_with(F.split("text", PATTERN, -1), new, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    n = F.when(some, F.size(F.filter(parts, lambda p: p["new"].isNotNull()))).otherwise(0)
+    out = docs.withColumn(parts, values)
+    changed = F.when(some, joined).otherwise(F.col("text")).alias("text")
     if kept is None:
-        return out.withColumn("text", F.col("_new")).drop("_parts", "_new")
-    n = F.when(some, F.size(F.filter("_parts", lambda p: p["new"].isNotNull()))).otherwise(0)
-    return out.select(*kept, F.col("_new").alias("text"), n.cast("long").alias("n_values"))
+        return out.select(*(changed if c == "text" else F.col(f"`{c}`") for c in docs.columns))
+    return out.select(*(F.col(f"`{c}`") for c in kept), changed, n.cast("long").alias(count))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructField, StructType
 
 from paywarden.layout import shared_root
 
@@ -19,3 +20,16 @@ def written(df: DataFrame) -> DataFrame:
     path = f"{shared_root(spark)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """`name`, or one like it that no column of the frame has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def schema_of(fields: list[StructField], added: str) -> StructType:
+    """The fields and those of a DDL string."""
+    return StructType([*fields, *StructType.fromDDL(added).fields])

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paywarden.llm.storage import written
+from paywarden.llm.storage import schema_of, written
 from paywarden.llm.words import mix, text_slices
 from paywarden.operators.sizing import measured_bytes
 
@@ -364,10 +364,7 @@ def deduplicated(docs: DataFrame, kept: list[str], length: int = LENGTH, text: b
                 names=[*(f.name for f in fields), "_n_bytes", "_spans", "_kept_sha256", "_kept"][: len(fields) + 3 + text],
             )
 
-    schema = ", ".join(
-        [*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "_n_bytes long, _spans array<struct<s: long, e: long>>, _kept_sha256 string"]
-        + ["_kept binary"] * text
-    )
+    schema = schema_of(fields, "_n_bytes long, _spans array<struct<s: long, e: long>>, _kept_sha256 string" + ", _kept binary" * text)
     return source.mapInArrow(run, schema)
 
 

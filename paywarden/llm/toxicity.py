@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paywarden.llm.storage import schema_of, unused
 from paywarden.llm.words import ALNUM, chained, hashed_words, text_slices
 
 BITS = 20  # features are hashed to 2 ** BITS numbers
@@ -117,7 +118,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int
 
     Rows without id or label teach nothing; a label other than 0 counts as 1; an id
     that occurs more often among documents or labels is learned as often, within the
-    bound; without any labelled row every score is 0.5 before the intercept, which is 0.
+    bound; without any labelled row every score is 0.5.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).where(~held_out(F.col("doc_id")))
     sample = (
@@ -132,9 +133,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int
     return Model(np.frombuffer(out["feature"], "<i8"), np.frombuffer(out["weight"], "<f8"), out["intercept"])
 
 
-def scored(docs: DataFrame, model: Model, kept: list[str]) -> DataFrame:
-    """The columns `kept` and `_score`, 0 to 1, of each whole text; null text is empty and scored by the intercept."""
-    fields = [f for f in docs.schema.fields if f.name in kept]
+def scored(docs: DataFrame, model: Model, kept: list[str], name: str = "score") -> DataFrame:
+    """The columns `kept` and the score, 0 to 1, of each whole text; null text is empty and scored by the intercept."""
+    fields = [docs.schema[c] for c in kept if c != "text"] + [docs.schema["text"]]
     shared = docs.sparkSession.sparkContext.broadcast(model)  # at most 2 ** BITS weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,14 +150,20 @@ def scored(docs: DataFrame, model: Model, kept: list[str]) -> DataFrame:
                 pairs = np.unique(owner[live] << BITS | found[live])
                 sums = np.bincount(pairs >> BITS, weights=dense[pairs & ((1 << BITS) - 1)], minlength=len(offsets) - 1)
                 scores.append(1 / (1 + np.exp(-np.clip(sums + m.intercept, -35, 35))))
+            columns = batch.columns if "text" in kept else batch.columns[:-1]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(np.concatenate(scores) if scores else [], pa.float64())],
-                names=[*batch.schema.names[:-1], "_score"],
+                [*columns, pa.array(np.concatenate(scores) if scores else [], pa.float64())], names=[*returned.names]
             )
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "_score double"])
-    source = docs.select(*(F.col(f"`{f.name}`") for f in fields), docs["text"].cast("string").alias("_text"))
-    return source.mapInArrow(run, schema)
+    returned = schema_of(fields if "text" in kept else fields[:-1], f"`{name}` double")
+    source = docs.select(*(docs[f"`{f.name}`"] for f in fields[:-1]), docs["text"].cast("string").alias("text"))
+    return source.mapInArrow(run, returned).select(*(f"`{c}`" for c in kept), f"`{name}`")
+
+
+def accepted(docs: DataFrame, model: Model) -> DataFrame:
+    """The documents that are not toxic, with all their columns."""
+    name = unused(docs, "score")
+    return scored(docs, model, docs.columns, name).where(F.col(f"`{name}`") < THRESHOLD).drop(name)
 
 
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -164,6 +171,6 @@ def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return scored(docs, fit(docs, labels), ["doc_id"]).select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
-        F.col("_score").alias("score"),
-        (F.col("_score") >= THRESHOLD).cast("int").alias("predicted"),
+        "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
     )
