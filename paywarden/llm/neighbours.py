@@ -169,11 +169,12 @@ def nearest(
         scale = np.abs(plain).max(axis=1)
         scaled = plain / scale[:, None]
         lengths = np.sqrt((scaled * scaled).sum(axis=1))
+        repeats = len(ids) - len(np.unique(ids))  # a repeated id fills one place only
         asked_ids, asked_rows = left["vec_id"].to_numpy(), matrix(left["embedding"], dims)
         asked_turned = unit(asked_rows) @ rotation
         out = []
         for q, row, turned_row in zip(asked_ids, asked_rows, asked_turned):
-            near = adaptive_scan(turned_row, blocks, ids != q, k)
+            near = adaptive_scan(turned_row, blocks, ids != q, k + repeats)
             row = row / np.abs(row).max()
             score = (scaled[near] * row).sum(axis=1) / (lengths[near] * np.sqrt((row * row).sum()))
             order = np.lexsort((ids[near], -score))

@@ -1,0 +1,274 @@
+"""Operators that look at one text at a time, and those that look for repeats."""
+
+import hashlib
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+
+from paywarden.llm import bpe, decontaminate, jaccard, licenses, suffixes
+from paywarden.llm.queries import VOCABULARY
+from tests.llm.cases import by_id, clashing, frame, lowered, prose, texts
+
+RANKS = bpe.read_ranks(public_tokenizers.path(VOCABULARY))
+
+
+# --- byte-level BPE ----------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def tik():
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={})
+
+
+def test_ids_equal_the_library(spark, tik):
+    docs = clashing(frame(spark)).drop("ids", "n_tokens")
+    got = by_id(bpe.encode_frame(docs, RANKS, public_tokenizers.PATTERN, ["doc_id", "_text"]), "ids", "decoded_sha256", "decoded_equal")
+    want = defaultdict(list)
+    for i, t in texts():
+        ids = np.array(tik.encode_ordinary(t or ""), dtype="<u4").tobytes()
+        want[i].append((ids, hashlib.sha256((t or "").encode()).hexdigest(), True))
+    assert {k: [(bytes(a), b, c) for a, b, c in v] for k, v in got.items()} == {k: sorted(v, key=repr) for k, v in want.items()}
+
+
+def test_random_texts_and_joins_equal_the_library(tik):
+    codec = bpe.Codec(RANKS, public_tokenizers.PATTERN)
+    rng = random.Random(1)
+    letters = "abcdethonsi ''é日本語ß\n\t  \x1c\x85 123①Ⅷ٣!?<>🙂🏽\r½"
+    for n in [0, 1, 2, *range(3, 400)]:
+        text = "".join(rng.choice(letters) for _ in range(n))
+        data = codec.encoded(text)
+        assert np.frombuffer(data, "<u4").tolist() == tik.encode_ordinary(text)
+        assert codec.decoded(data) == text.encode()
+        word = "".join(rng.choice("thequickéß") for _ in range(n))
+        cut = rng.randrange(n + 1)
+        v = codec.vocabulary
+        left, right = word.encode()[:cut], word.encode()[cut:]
+        assert v.join(v.encoded(left), v.encoded(right)) == v.merged([bytes([b]) for b in word.encode()])
+
+
+def test_encoding_an_empty_table(spark):
+    out = bpe.encode_frame(frame(spark, []), RANKS, public_tokenizers.PATTERN, ["doc_id"])
+    assert out.count() == 0 and out.columns[0] == "doc_id"
+
+
+# --- decontamination -----------------------------------------------------------
+
+
+def brute_hits(text, items, window=10):
+    find = lambda t: re.findall(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered(t))
+    words, found = find(text), set()
+    hit = [0] * len(words)
+    for item, t in items:
+        own = find(t)
+        for x in {tuple(own[k : k + window]) for k in range(max(1, len(own) - window + 1))} if own else ():
+            for k in range(len(words) - len(x) + 1):
+                if tuple(words[k : k + len(x)]) == x:
+                    found.add(item)
+                    hit[k : k + len(x)] = [1] * len(x)
+    return len(words), sum(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), any(hit)
+
+
+def items():
+    t = dict(enumerate(prose(k, 120) for k in range(6)))
+    return [(1, " ".join(t[0].split()[5:40])), (2, " ".join(t[3].split()[:9])), (3, ""), (4, None), (30, "ONE!"), (5, prose(77, 30)), (6, t[0][:200])]
+
+
+@pytest.mark.parametrize("block", [16 << 20, 100])
+def test_hits_equal_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(decontaminate.benchmark_blocks, "__defaults__", (block,))
+    bench = spark.createDataFrame(items(), "item_id long, text string")
+    got = by_id(decontaminate.report(clashing(frame(spark)), bench), "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    want = defaultdict(list)
+    for i, t in texts():
+        want[i].append(brute_hits(t, [(str(k), x) for k, x in items()]))
+    assert got == {k: sorted(v, key=repr) for k, v in want.items()}
+
+
+def test_spans_are_cut_and_columns_stay(spark):
+    bench = spark.createDataFrame([(1, "a b c d e f g h i j")], "item_id long, text string")
+    docs = clashing(frame(spark, [(1, "Start, A b c d e f g h i J. End"), (2, None), (3, "a b c")]))
+    out = decontaminate.cleaned(docs, bench)
+    assert out.columns == docs.columns
+    assert by_id(out, "text", "_text") == {1: [("Start, . End", 2)], 2: [(None, 2)], 3: [("a b c", 2)]}
+
+
+def test_empty_tables_have_no_hits(spark):
+    bench = spark.createDataFrame(items(), "item_id long, text string")
+    assert decontaminate.report(frame(spark, []), bench).count() == 0
+    assert decontaminate.report(frame(spark), bench.limit(0)).where("contaminated").count() == 0
+
+
+# --- licenses --------------------------------------------------------------------
+
+
+def lcs(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        new = [0]
+        for k, y in enumerate(b):
+            new.append(row[k] + 1 if x == y else max(row[k + 1], new[-1]))
+        row = new
+    return row[-1]
+
+
+def test_alignments_are_common_subsequences():
+    rng = random.Random(5)
+    for _ in range(300):
+        a = [rng.randrange(12) for _ in range(rng.randrange(25))]
+        b = [rng.randrange(12) for _ in range(rng.randrange(25))]
+        pairs = licenses.patience(a, b)
+        assert all(a[i] == b[k] for i, k in pairs)
+        assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:]))
+        assert len(pairs) <= lcs(a, b)
+        values = rng.sample(range(100), 20)
+        best = licenses.longest_increasing(values)
+        assert [values[i] for i in best] == sorted(values[i] for i in best) and len(best) == lcs(values, sorted(values))
+
+
+def test_without_repeated_words_the_alignment_is_longest():
+    rng = random.Random(6)
+    for _ in range(100):
+        a, b = rng.sample(range(40), 20), rng.sample(range(40), 20)
+        assert len(licenses.patience(a, b)) == lcs(a, b)
+
+
+def test_notices_are_found_where_they_stand(spark):
+    mit, gpl = licenses.TEMPLATES["MIT"], licenses.TEMPLATES["GPL-3.0"]
+    rows = [(1, f"Some words. {mit} {mit} more"), (2, f"a b\n{gpl.lower()} c"), (3, None), (4, ""), (5, "the License"), (5, mit), (5, mit)]
+    rows.append((6, "released a under b the c MIT d License " + prose(1, 3000)))
+    out = by_id(licenses.scan(clashing(frame(spark, rows))), "license", "coverage", "first_word", "end_word")
+    assert out == {
+        1: [("MIT", 1.0, 2, 7), ("MIT", 1.0, 7, 12)],
+        2: [("GPL-3.0", 1.0, 2, 14)],
+        5: [("MIT", 1.0, 0, 5)] * 2,
+        6: [("MIT", 1.0, 0, 9)],
+    }
+    assert licenses.scan(frame(spark, [])).count() == 0
+
+
+# --- repeated strings ----------------------------------------------------------
+
+
+def brute_repeats(rows, length=200):
+    seen = Counter(b[k : k + length] for _, t in rows for b in [(t or "").encode()] for k in range(len(b) - length + 1))
+    out = defaultdict(list)
+    for i, t in rows:
+        b = (t or "").encode()
+        gone = bytearray(len(b))
+        for k in range(len(b) - length + 1):
+            if seen[b[k : k + length]] > 1:
+                gone[k : k + length] = b"\1" * length
+        kept = bytes(x for x, g in zip(b, gone) if not g)
+        runs = sum(1 for k in range(len(b)) if gone[k] and (k == 0 or not gone[k - 1]))
+        out[i].append((len(b), sum(gone), runs, hashlib.sha256(kept).hexdigest()))
+    return {k: sorted(v, key=repr) for k, v in out.items()}
+
+
+@pytest.mark.parametrize("hot", [suffixes.HOT_CONTEXTS, 5])
+def test_repeats_equal_brute_force(spark, monkeypatch, hot):
+    monkeypatch.setattr(suffixes, "HOT_CONTEXTS", hot)
+    rows = texts() + [(100 + k, prose(60, 60) + " " + prose(70 + k, k) + " " + prose(61, 60)) for k in range(30)]
+    got = by_id(suffixes.report(clashing(frame(spark, rows))), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert got == brute_repeats(rows)
+
+
+def test_suffix_order_and_repeats_of_small_stretches():
+    rng = random.Random(3)
+    for _ in range(150):
+        letters = rng.choice([b"ab", b"abcdefgh", bytes(range(256)), b"a", b"\x00\x01\xff"])
+        parts = [bytes(rng.choice(letters) for _ in range(rng.randint(1, 60))) for _ in range(rng.randint(1, 12))]
+        length = rng.choice([3, 8, 13, 20])
+        data, ends = np.frombuffer(b"".join(parts), np.uint8), np.cumsum([len(p) for p in parts])
+        order, stop = suffixes.two_stage_order(data, ends, length), np.repeat(ends, [len(p) for p in parts])
+        assert sorted(order.tolist()) == list(range(len(data)))
+        heads = [data[i : i + length].tobytes() for i in order if stop[i] - i >= length]
+        assert heads == sorted(heads)
+        seen = Counter(p[i : i + length] for p in parts for i in range(len(p) - length + 1))
+        for p, ranges in zip(parts, suffixes.repeated(parts, length)):
+            assert {i for a, b in ranges for i in range(a, b)} == {i for i in range(len(p) - length + 1) if seen[p[i : i + length]] > 1}
+
+
+def test_long_texts_are_read_in_overlapping_chunks(monkeypatch):
+    data = np.frombuffer(prose(9, 900).encode(), np.uint8)
+    offsets = np.array([0, 700, 700, len(data)])
+    whole = suffixes.runs(data, offsets)
+    windows = lambda found: {(t, w, h) for t, a, n, h in zip(*(x.tolist() for x in found)) for w in range(a, a + n)}
+    monkeypatch.setattr(suffixes, "CHUNK", 333)
+    assert windows(suffixes.runs(data, offsets)) == windows(whole)
+
+
+def test_repeats_of_an_empty_table(spark):
+    assert suffixes.report(frame(spark, [])).count() == 0
+
+
+# --- n-gram Jaccard join ---------------------------------------------------------
+
+
+def brute_classes(rows, width, percent):
+    sets = []
+    for _, t in rows:
+        w = re.findall(rb"[^\x20\x09-\x0D]+", lowered(t))
+        sets.append(frozenset(tuple(w[k : k + width]) for k in range(len(w) - width + 1)) if len(w) >= width else frozenset([tuple(w)] if w else []))
+    root = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                old, new = root[a], root[b]
+                root = [new if r == old else r for r in root]
+    out = defaultdict(list)
+    for k, (i, _) in enumerate(rows):
+        ids = [j for m, (j, _) in enumerate(rows) if root[m] == root[k] and j is not None]
+        out[i].append((len(sets[k]), min(ids) if sets[k] and ids else i))
+    return {k: sorted(v, key=repr) for k, v in out.items()}
+
+
+def copies():
+    rng = random.Random(8)
+    rows = []
+    for g in range(4):
+        words = prose(200 + g, 90).split()
+        for k in range(14):
+            own = list(words)
+            for _ in range(rng.randrange(6)):
+                own[rng.randrange(90)] = f"z{rng.randrange(10**6)}"
+            rows.append((1000 + 20 * g + k, " ".join(own)))
+    return rows
+
+
+@pytest.mark.parametrize(("width", "percent", "block"), [(3, 90, 400_000), (5, 80, 400_000), (3, 90, 500)])
+def test_classes_equal_brute_force(spark, monkeypatch, width, percent, block):
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", block)
+    monkeypatch.setattr(jaccard, "BLOCK_PREFIXES", max(50, block // 8))
+    rows = texts() + copies()
+    got = by_id(jaccard.classes(clashing(frame(spark, rows)), width, percent), "n_shingles", "component_id")
+    assert got == brute_classes(rows, width, percent)
+
+
+def test_one_of_each_class_stays(spark):
+    docs = clashing(frame(spark))
+    out = jaccard.distinct_documents(docs)
+    assert out.columns == docs.columns
+    ids = [r["doc_id"] for r in out.select("doc_id").collect()]
+    # 10 is a copy of 1, 11 a near copy of 0, the row without id one of 2; 12 has no words and stays twice.
+    assert sorted(ids) == [0, 1, 2, 3, 4, 5, 12, 12, 13, 14, 15, 16, 18, 19, 20, 21]
+    assert jaccard.distinct_documents(frame(spark, [])).count() == 0
+
+
+def test_long_prefixes_lose_no_pair():
+    rng = np.random.default_rng(4)
+    steps = np.zeros(1 << jaccard.SKETCH_BITS, np.uint8)
+    steps[rng.integers(0, len(steps), len(steps) // 2)] = 90
+    prefixes = jaccard.Prefixes(steps, 80)
+    for _ in range(200):
+        n = int(rng.integers(1, 60))
+        a = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+        b = np.unique(np.concatenate([a[: int(len(a) * 0.95)], rng.integers(0, 1 << 63, int(rng.integers(0, 4))).astype(np.uint64)]))
+        if 100 * len(np.intersect1d(a, b)) >= 80 * len(np.union1d(a, b)):
+            index = jaccard.PrefixIndex([prefixes.of(a), prefixes.of(b)], np.array([len(a), len(b)]), 80)
+            assert index.candidates(0).tolist() == [1]
