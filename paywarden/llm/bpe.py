@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from paywarden.llm.storage import schema_of
+from paywarden.llm.storage import schema_of, unused
 
 CACHE_WORDS = 250_000  # matches in a generation of the cache of a worker
 LONG_MATCH = 64  # characters; longer matches are not kept
@@ -239,5 +239,5 @@ def encode_frame(docs: DataFrame, ranks: dict[bytes, int], pattern: str, kept: l
                 names=[*batch.schema.names[:-1], "n_tokens", "ids_sha256", "decoded_sha256", "decoded_equal", *["ids"][:ids]],
             )
 
-    source = docs.select(*(docs[f"`{f.name}`"] for f in fields), docs["text"].cast("string").alias("_text"))
+    source = docs.select(*(docs[f"`{f.name}`"] for f in fields), docs["text"].cast("string").alias(unused(docs, "_text")))
     return source.mapInArrow(run, schema_of(fields, new))

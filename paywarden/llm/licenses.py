@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paywarden.llm.decontaminate import split_words
-from paywarden.llm.storage import schema_of
+from paywarden.llm.storage import schema_of, unused
 from paywarden.llm.words import text_slices
 
 COVERAGE = 0.8  # of a template's words, from which a license is reported
@@ -185,5 +185,5 @@ def scan(docs: DataFrame, texts: dict[str, str] = TEMPLATES, least: float = COVE
             )
 
     schema = schema_of(fields, "license string, coverage double, first_word long, end_word long, n_aligned long")
-    source = docs.select(*(F.col(f"`{f.name}`") for f in fields), docs["text"].cast("string").alias("_text"))
+    source = docs.select(*(F.col(f"`{f.name}`") for f in fields), docs["text"].cast("string").alias(unused(docs, "_text")))
     return source.mapInArrow(run, schema)

@@ -345,9 +345,9 @@ def deduplicated(docs: DataFrame, kept: list[str], length: int = LENGTH, text: b
         spans = F.broadcast(spans)
     whole = F.coalesce(docs["text"].cast("string"), F.lit(""))
     source = docs.select(
-        *(F.col(f"`{f.name}`") for f in fields), F.xxhash64("doc_id", whole).alias("k1"),
+        *(docs[f"`{f.name}`"].alias(f"c{k}") for k, f in enumerate(fields)), F.xxhash64("doc_id", whole).alias("k1"),
         F.pmod(F.hash("doc_id", whole), F.lit(1 << 16)).alias("k2"), whole.alias("_text"),
-    ).join(spans, ["k1", "k2"], "left").select(*(F.col(f"`{f.name}`") for f in fields), "_text", "spans")
+    ).join(spans, ["k1", "k2"], "left").select(*(f"c{k}" for k in range(len(fields))), "_text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.int64(), pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())])), pa.string()] + [pa.binary()] * text
