@@ -12,6 +12,8 @@ from paywarden.layout import Layout
 MODES = ("setup", "reset", "cleanup")
 DATABASE = "{project}_{user}_db"
 ILLEGAL = "[^a-zA-Z0-9]"
+# Property of a database that holds the root of its layout.
+HOME = "paywarden.home"
 
 
 @dataclass(frozen=True)
@@ -27,7 +29,7 @@ def current_user(spark: SparkSession) -> str:
 
 def database_name(project: str, user: str) -> str:
     """Name made from project and user, with `_` for what it may not hold."""
-    return DATABASE.format(project=project, user=re.sub(ILLEGAL, "_", user))
+    return DATABASE.format(project=re.sub(ILLEGAL, "_", project), user=re.sub(ILLEGAL, "_", user))
 
 
 def prepare_home(spark: SparkSession, base: str, project: str, mode: str = "setup") -> Home:
@@ -48,13 +50,23 @@ def prepare_home(spark: SparkSession, base: str, project: str, mode: str = "setu
     if mode == "reset":
         home = f"{home}/{uuid.uuid4().hex}"
     if mode != "setup":
-        spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+        spark.sql(f"DROP DATABASE IF EXISTS `{database}` CASCADE")
     if mode != "cleanup":
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-        spark.sql(f"USE {database}")
+        # The database remembers its home, so that a later setup goes on in it.
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` WITH DBPROPERTIES ('{HOME}' = '{home}')")
+        spark.sql(f"USE `{database}`")
+        home = _property(spark, database, HOME) or home
     return Home(user, database, Layout(home))
 
 
+def _property(spark: SparkSession, database: str, name: str) -> str | None:
+    """A property of a database, from its description: ((name,value), (name,value))."""
+    rows = spark.sql(f"DESCRIBE DATABASE EXTENDED `{database}`").collect()
+    text = next((r["info_value"] for r in rows if r["info_name"] == "Properties"), "")
+    found = re.search(rf"\({re.escape(name)},([^()]*)\)", text)
+    return found[1] if found else None
+
+
 def tune_session(spark: SparkSession, input_bytes: int = 0) -> int:
     """Set the shuffle width to one partition per core, or wider for a large
     input. Adaptive execution stays on and merges partitions that turn out small."""

@@ -79,3 +79,16 @@ def land_transactions(spark: SparkSession, sf_dir: str) -> Layout:
     layout = new_layout(spark)
     export_json_lines(transactions(spark, sf_dir), layout.source)
     return layout
+
+
+def land_half(spark: SparkSession, sf_dir: str, layout: Layout, half: int, days_old: int = 0) -> None:
+    """Every second transaction, in more files of the source folder of a layout.
+    The files can be made to look some days old, as after a copy that keeps times."""
+    rows = transactions(spark, sf_dir).filter(F.pmod(KEY, F.lit(2)) == half)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(layout.source)
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    known = {str(f.getPath()) for f in store.listStatus(folder)} if store.exists(folder) else set()
+    export_json_lines(rows, layout.source, mode="append")
+    for f in store.listStatus(folder):
+        if days_old and str(f.getPath()) not in known:
+            store.setTimes(f.getPath(), f.getModificationTime() - days_old * 86_400_000, -1)

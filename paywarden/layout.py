@@ -8,6 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import SparkSession
 
 
+# The folder names below the root.
+
+
 @dataclass(frozen=True)
 class Layout:
     """Paths below one root. Every writing query has a checkpoint of its own."""
@@ -33,6 +36,14 @@ class Layout:
     def enriched(self) -> str:
         return self._at("silver", "transactions_enriched")
 
+    @property
+    def unparsed(self) -> str:
+        return self._at("silver", "lines_unparsed")
+
+    @property
+    def skipped(self) -> str:
+        return self._at("silver", "transactions_skipped")
+
     @property
     def notified(self) -> str:
         return self._at("gold", "transactions_notified")

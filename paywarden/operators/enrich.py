@@ -33,8 +33,8 @@ def join_members(
     if history is None and not transactions.isStreaming:
         history = transactions
     width = int(transactions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = {} if history is None else group_numbers(hot_keys(history, KEY), width)
-    crowded = group_numbers(hot_keys(members, KEY), width)
+    hot = {} if history is None else group_numbers(hot_keys(history, KEY, 1 / width), width)
+    crowded = group_numbers(hot_keys(members, KEY, 1 / width), width)
     return salted_left_join(transactions, members, hot, crowded, width)
 
 
@@ -51,13 +51,12 @@ def salted_left_join(
     groups, and the members of the account are copied to each group.
     `crowded` accounts are listed many times: their member rows are dealt out, and
     the transactions of the account are copied to each group. A group may lack a
-    partner, but not all can, as the account is listed: the unmatched copies are
-    left out.
+    partner, so unmatched copies are left out; a marker for each account that is
+    listed tells whether the copy in the first group stands for one that is not.
     Transactions without account match nothing and are dealt to `width` groups.
 
     Rows are dealt by a hash of all their values, so that a retried task deals
-    them the same way. Which accounts are named affects the speed only, as long
-    as the crowded ones are listed.
+    them the same way. Which accounts are named affects the speed only.
     """
     left = transactions.withColumn(
         "_deal",
@@ -65,16 +64,18 @@ def salted_left_join(
             _dealt(hot, transactions.columns)
         ),
     ).withColumn("_seat", _copies(crowded))
-    right = (
-        members.filter(F.col(KEY).isNotNull())
-        .withColumn("_seat", _dealt(crowded, members.columns))
-        .withColumn("_deal", _copies(hot))
-        .withColumn("_listed", F.lit(True))
-    )
+    listed = members.filter(F.col(KEY).isNotNull())
+    right = listed.withColumn("_seat", _dealt(crowded, members.columns)).withColumn("_row", F.lit(True))
+    if crowded:
+        marks = listed.filter(_among(crowded)).select(KEY).distinct()
+        marks = marks.withColumn("_seat", F.lit(0)).withColumn("_row", F.lit(False))
+        right = right.unionByName(marks, allowMissingColumns=True)
+    right = right.withColumn("_deal", _copies(hot))
+    matched, alone = F.col("_row"), F.col("_row").isNull() & (~_among(crowded) | (F.col("_seat") == 0))
     return (
         left.join(right, [KEY, "_deal", "_seat"], "left")
-        .filter(F.col("_listed").isNotNull() | ~_among(crowded))
-        .drop("_deal", "_seat", "_listed")
+        .filter(F.coalesce(matched, alone))
+        .drop("_deal", "_seat", "_row")
     )
 
 

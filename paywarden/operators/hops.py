@@ -45,6 +45,20 @@ def parse_records(
     )
 
 
+def unparsed_lines(
+    bronze: DataFrame, schema: StructType = RECORD, dataset: str = TRANSACTIONS
+) -> DataFrame:
+    """The raw lines of a dataset that are blank or no record at all, with their stamp."""
+    record = F.col("_record")
+    empty = reduce(and_, [record[c].isNull() for c in schema.names])
+    return (
+        bronze.filter(F.col("dataset") == dataset)
+        .withColumn("_record", decode_record("data", schema))
+        .filter(empty)
+        .drop("_record")
+    )
+
+
 def unparsed(parsed: DataFrame) -> DataFrame:
     """Rows whose line was blank or no record at all (every field is null)."""
     return parsed.filter(reduce(and_, [F.col(c).isNull() for c in parsed.columns]))

@@ -6,7 +6,7 @@ from pyspark.sql.types import NumericType, StringType
 from paywarden.functions.features import hour_of_day, party_pair
 
 LABEL = "label"
-# Inputs of the label, and names that would identify a party.
+# Inputs of the label, and names that would identify a party.
 NOT_FEATURES = ["isFraud", "isFlaggedFraud", "nameOrig", "nameDest"]
 
 

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, StringType
 
 BROADCAST_BYTES = 64 << 20
-HOT_SHARE = 0.001
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -22,9 +21,10 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.sum(per_row.cast("bigint")).alias("bytes")).first()["bytes"] or 0
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> dict[str, float]:
+def hot_keys(df: DataFrame, key: str, share: float) -> dict[str, float]:
     """Keys that hold at least `share` of the rows of a batch frame, with the
-    part they hold. At most 1/share keys can qualify, which bounds the result.
+    part they hold. At most 1/share keys can qualify, which bounds the result; an
+    even part of the shuffle width is the share from which spreading a key helps.
     """
     rows = df.count()
     counts = df.filter(F.col(key).isNotNull()).groupBy(key).count()

@@ -9,19 +9,25 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from paywarden.functions import notification as note
+from paywarden.functions.records import content_key
 from paywarden.layout import Layout
 from paywarden.operators.enrich import join_members
-from paywarden.operators.hops import parse_records, refine, to_bronze
+from paywarden.operators.hops import parse_records, refine, to_bronze, unparsed_lines
 from paywarden.operators.sizing import BROADCAST_BYTES
-from paywarden.schemas import BRONZE, RAW, RECORD
-from paywarden.sources.readers import Admission, stream_table, stream_text
-from paywarden.streaming.lifecycle import await_batch
+from paywarden.plans.training import known_categories, unscorable
+from paywarden.schemas import BRONZE, FEATURES, RAW, RECORD, with_key
+from paywarden.sources.readers import Admission, stream_table, stream_text, table_exists
+from paywarden.streaming.lifecycle import await_table
 from paywarden.streaming.runner import AVAILABLE_NOW, start_hop
 
 
+# Name of the key that records without an id get.
+ROW_KEY = "row_key"
+
+
 def notify(scored: DataFrame) -> DataFrame:
     """Scored rows with their notification status."""
     return scored.withColumn("notify_user", note.status())
@@ -48,7 +54,8 @@ def outbox(notified: DataFrame, key: Sequence[str], at: Column | None = None) ->
 class Pipeline:
     """The hops over one layout.
 
-    key        columns in the records, before the record fields, that identify a row
+    key        columns in the records, before the record fields, that identify a row;
+               without any, a hash of the record is added as `row_key`
     members    static member list, or None to leave the enrichment out
     model      fitted pipeline, or None to stop after the enrichment
     admission  limit on the input of one micro-batch, for every hop
@@ -70,56 +77,83 @@ class Pipeline:
     def bronze(self) -> DataFrame:
         return to_bronze(stream_text(self.spark, self.layout.source, self.admission))
 
+    @property
+    def row_key(self) -> list[str]:
+        return list(self.key) or [ROW_KEY]
+
+    @property
+    def parsed_schema(self) -> StructType:
+        return self.record if self.key else with_key(self.record, ROW_KEY, StringType())
+
     def parsed(self) -> DataFrame:
-        return parse_records(self._read(self.layout.bronze, BRONZE), self.record)
+        rows = parse_records(self._read(self.layout.bronze, BRONZE), self.record)
+        return rows if self.key else rows.select(content_key(*rows.columns).alias(ROW_KEY), "*")
+
+    def unparsed(self) -> DataFrame:
+        return unparsed_lines(self._read(self.layout.bronze, BRONZE), self.record).hint("rebalance")
 
     def enriched(self) -> DataFrame:
-        refined = refine(self._read(self.layout.parsed, self.record), self.key)
+        refined = refine(self._read(self.layout.parsed, self.parsed_schema), self.row_key)
         if self.members is None:
             return refined
-        landed = self.spark.read.format(self.fmt).schema(self.record).load(self.layout.parsed)
+        landed = self.spark.read.format(self.fmt).schema(self.parsed_schema).load(self.layout.parsed)
         return join_members(refined, self.members, self.broadcast_bytes, history=landed)
 
+    def skipped(self, enriched: StructType) -> DataFrame:
+        """What the model leaves out: a missing input or an unknown category."""
+        rows = self._read(self.layout.enriched, enriched)
+        known = known_categories(self.model)
+        return rows.filter(unscorable(rows, known, FEATURES)).hint("rebalance")
+
     def notified(self, enriched: StructType) -> DataFrame:
         return notify(self.model.transform(self._read(self.layout.enriched, enriched)))
 
     def outbox(self, notified: StructType) -> DataFrame:
-        alerts = outbox(self._read(self.layout.notified, notified), self.key)
+        alerts = outbox(self._read(self.layout.notified, notified), self.row_key)
         # Frauds are rare: gather them, or every scan task writes a tiny file.
         return alerts.hint("rebalance")
 
     def run(self) -> list[StreamingQuery]:
         """Process what is there now, hop after hop, and end."""
-        queries = self._start(AVAILABLE_NOW, lambda query: query.awaitTermination())
-        queries[-1].awaitTermination()
+        queries = self._start(AVAILABLE_NOW, lambda query, there: query.awaitTermination())
+        for query in queries:
+            query.awaitTermination()
         return queries
 
-    def start(self, trigger: dict, first_input_seconds: float = 300.0) -> list[StreamingQuery]:
-        """Start all hops to run side by side. The next hop is started once the
-        one before has written a batch, as its input does not exist earlier."""
-        return self._start(trigger, lambda query: await_batch(query, first_input_seconds))
-
-    def _hops(self) -> Iterator[tuple[str, str, Callable[[StructType], DataFrame]]]:
-        """Label, table path, and the stream given the schema of the hop before."""
-        yield "bronze", self.layout.bronze, lambda _: self.bronze()
-        yield "transactions_parsed", self.layout.parsed, lambda _: self.parsed()
-        yield "transactions_enriched", self.layout.enriched, lambda _: self.enriched()
+    def start(self, trigger: dict) -> list[StreamingQuery]:
+        """Start all hops to run side by side. The next hop is started once its
+        input exists: at once after a restart, else when the hop before has
+        written its table, however long that takes."""
+        return self._start(trigger, await_table)
+
+    def _hops(self) -> Iterator[tuple[str, str, Callable[[StructType], DataFrame], bool]]:
+        """Label, table path, the stream given the schema of the hop before, and
+        whether the next hop reads it; side tables are read by nobody here."""
+        yield "bronze", self.layout.bronze, lambda _: self.bronze(), True
+        yield "lines_unparsed", self.layout.unparsed, lambda _: self.unparsed(), False
+        yield "transactions_parsed", self.layout.parsed, lambda _: self.parsed(), True
+        yield "transactions_enriched", self.layout.enriched, lambda _: self.enriched(), True
         if self.model is not None:
-            yield "transactions_notified", self.layout.notified, self.notified
+            if known_categories(self.model) is not None:
+                yield "transactions_skipped", self.layout.skipped, self.skipped, False
+            yield "transactions_notified", self.layout.notified, self.notified, True
             if self.members is not None:
-                yield "alert_outbox", self.layout.outbox, self.outbox
+                yield "alert_outbox", self.layout.outbox, self.outbox, True
 
     def _start(
-        self, trigger: dict, settle: Callable[[StreamingQuery], object]
+        self, trigger: dict, settle: Callable[[StreamingQuery, Callable[[], bool]], object]
     ) -> list[StreamingQuery]:
         queries: list[StreamingQuery] = []
-        schema = RAW
+        schema, before = RAW, None
         try:
-            for label, path, stream_of in self._hops():
-                if queries:
-                    settle(queries[-1])
+            for label, path, stream_of, feeds in self._hops():
+                if before is not None:
+                    source, input_path = before
+                    # A stream learns the partitions of its source when it starts, so
+                    # the one partitioned table must have rows by then.
+                    filled = source.name.endswith("_bronze")
+                    settle(source, lambda: table_exists(self.spark, input_path, schema, self.fmt, filled))
                 stream = stream_of(schema)
-                schema = stream.schema
                 query = start_hop(
                     stream,
                     path,
@@ -130,6 +164,8 @@ class Pipeline:
                     partition_by=["dataset"] if label == "bronze" else (),
                 )
                 queries.append(query)
+                if feeds:
+                    schema, before = stream.schema, (query, path)
         except BaseException:
             for query in queries:
                 query.stop()

@@ -9,7 +9,7 @@ from operator import or_
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.ml.feature import OneHotEncoder, RFormula, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, RFormula, RFormulaModel, StringIndexer, VectorAssembler
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -27,9 +27,6 @@ SPLIT_SEED = 42
 REG_PARAMS = (0.1, 0.2, 1.0)
 ELASTIC_NET_PARAMS = (0.0, 0.5, 1.0)
 
-MAX_CATEGORIES = 10_000
-
-
 @dataclass(frozen=True)
 class Tuning:
     """Parameter grid and cross-validation."""
@@ -52,18 +49,23 @@ class Trained:
     tuning: list[tuple[float, float, float]] = field(default_factory=list)
 
 
-def categories(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    """The values of categorical columns.
+def known_categories(model: PipelineModel | RFormulaModel) -> dict[str, list[str]] | None:
+    """The categories a fitted (or loaded) model knows, per column; None if it has no
+    formula featuriser."""
+    if isinstance(model, PipelineModel):
+        found = [known_categories(s) for s in model.stages if isinstance(s, RFormulaModel)]
+        return found[0] if found else None
+    indexers = [s for s in model._java_obj.pipelineModel().stages() if "StringIndexerModel" in s.getClass().getName()]
+    return {s.getInputCol(): sorted(s.labelsArray()[0]) for s in indexers}
 
-    An indexer keeps all of them on the driver and makes each a model input, so
-    a column that turns out to be an id is refused instead.
-    """
-    sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first().asDict()
-    wide = {c: n for c, n in sizes.items() if n > MAX_CATEGORIES}
-    if wide:
-        raise ValueError(f"too many values for a categorical feature: {wide}")
-    row = df.agg(*[F.sort_array(F.collect_set(c)).alias(c) for c in columns]).first()
-    return row.asDict()
+
+def check_categories(df: DataFrame, columns: Sequence[str], most: int) -> None:
+    """Refuse columns with more than `most` different values. An indexer keeps all
+    of them on the driver and makes each a model input. The count is exact, and
+    stops at the first value too many."""
+    for c in columns:
+        if df.select(c).distinct().limit(most + 1).count() > most:
+            raise ValueError(f"more than {most} values for a categorical feature: {c}")
 
 
 def formula_featuriser(label: str = LABEL) -> RFormula:
@@ -77,9 +79,11 @@ def formula_featuriser(label: str = LABEL) -> RFormula:
     )
 
 
-def stage_featuriser(df: DataFrame, label: str = LABEL) -> Pipeline:
+def stage_featuriser(df: DataFrame, label: str = LABEL, max_categories: int | None = None) -> Pipeline:
     """The same features from separate stages: one-hot categories first, then numbers."""
     strings, numbers = columns_by_kind(df, (label,))
+    if max_categories is not None:
+        check_categories(df, strings, max_categories)
     indexed, hot = [f"{c}_index" for c in strings], [f"{c}_hot" for c in strings]
     return Pipeline(
         stages=[
@@ -90,20 +94,30 @@ def stage_featuriser(df: DataFrame, label: str = LABEL) -> Pipeline:
     )
 
 
-def fit(train: DataFrame, tuning: Tuning | None = Tuning()) -> Trained:
+def fit(
+    train: DataFrame,
+    tuning: Tuning | None = Tuning(),
+    seen: DataFrame | None = None,
+    max_categories: int | None = None,
+) -> Trained:
     """Learn the features, then fit the model, or the whole grid.
 
-    The training rows are read several times: for the categories, for the
-    features, and by each fold. First they, then their features are therefore
-    kept, in memory as far as it goes and else on disk, and the source is scanned
-    once.
+    `seen` are the rows that the categories are learned from, by default the
+    training rows: with a sample to train on, give all rows, so that no rare
+    category is unknown. `max_categories` refuses a column that turns out to be an id.
+
+    The training rows are read several times: for the features, and by each fold.
+    First they, then their features are therefore kept, in memory as far as it goes
+    and else on disk. A sample comes in as many partitions as its source: it is
+    rebalanced first, or each of many iterations would start a task for each of them.
     Without tuning the plain, unpenalised regression is fitted.
     """
-    strings, _ = columns_by_kind(train)
+    if max_categories is not None:
+        check_categories(train if seen is None else seen, columns_by_kind(train)[0], max_categories)
+    train = train.hint("rebalance")
     with ExitStack() as meanwhile:
         with kept(train):
-            known = categories(train, strings) if strings else {}
-            featuriser = formula_featuriser().fit(train)
+            featuriser = formula_featuriser().fit(train if seen is None else seen.select(*train.columns))
             features = featuriser.transform(train).select(LABEL, "features")
             meanwhile.enter_context(kept(features))
             features.count()  # once the features are there, the rows are let go
@@ -111,7 +125,7 @@ def fit(train: DataFrame, tuning: Tuning | None = Tuning()) -> Trained:
             model, results = _regression().fit(features), []
         else:
             model, results = _tuned(features, tuning)
-    return Trained(PipelineModel([featuriser, model]), known, results)
+    return Trained(PipelineModel([featuriser, model]), known_categories(featuriser), results)
 
 
 def _regression() -> LogisticRegression:
@@ -155,7 +169,9 @@ def metrics(scored: DataFrame) -> dict[str, float]:
     """Accuracy, area under ROC and area under precision-recall of scored rows."""
     needed = scored.select(LABEL, "rawPrediction", "prediction")
     accuracy = MulticlassClassificationEvaluator(labelCol=LABEL, metricName="accuracy")
-    area = BinaryClassificationEvaluator(labelCol=LABEL)
+    # Without bins the curve has a point for each score and the areas are exact;
+    # the points are computed by a sort over all tasks, not on the driver.
+    area = BinaryClassificationEvaluator(labelCol=LABEL, numBins=0)
     with kept(needed):
         return {
             "accuracy": accuracy.evaluate(needed),

@@ -14,12 +14,14 @@ def register_views(
     members: DataFrame | None = None,
     model: PipelineModel | None = None,
     prefix: str = "",
+    history: DataFrame | None = None,
 ) -> list[str]:
     """Views over a raw text frame, batch or streaming, and the status function.
 
     With a model there is a view of the scored rows, so that notification reads
     ``SELECT *, notify_status(prediction, userid, webhook_url) FROM transactions_scored``.
     Views are visible in the whole session: give each pipeline its own prefix.
+    `history` is a batch frame to find hot accounts in when the raw frame is a stream.
     """
     bronze = to_bronze(raw)
     parsed = parse_records(bronze)
@@ -32,7 +34,7 @@ def register_views(
     }
     if members is not None:
         frames["members"] = members
-        frames["transactions_enriched"] = join_members(refined, members)
+        frames["transactions_enriched"] = join_members(refined, members, history=history)
     if model is not None:
         frames["transactions_scored"] = model.transform(frames.get("transactions_enriched", refined))
     for name, frame in frames.items():

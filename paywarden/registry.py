@@ -6,36 +6,36 @@ Queries that write (streams, exports, models) use a new folder below
 """
 
 from collections.abc import Callable
-from functools import wraps
+from functools import reduce, wraps
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from paywarden import inputs
-from paywarden.catalog import widen_shuffles
+from paywarden.catalog import current_user, database_name, prepare_home, tune_session, widen_shuffles
 from paywarden.functions import notification as note
-from paywarden.functions.features import hour_of_day, party_pair
+from paywarden.functions.features import party_pair
 from paywarden.functions.records import decode_record
 from paywarden.inputs import KEY, KEYED_RECORD, MEMBERS_SQL, TRANSACTIONS_SQL, table
-from paywarden.layout import Layout, new_layout
+from paywarden.layout import Layout, new_layout, shared_root
 from paywarden.operators import evaluate, gold, profile, sample
 from paywarden.operators.enrich import join_members
-from paywarden.operators.hops import parse_records, refine, to_bronze
+from paywarden.operators.hops import multiplex, parse_records, refine, to_bronze
 from paywarden.operators.impute import impute
-from paywarden.operators.prepare import LABEL, columns_by_kind, label_frame, training_frame
+from paywarden.operators.prepare import LABEL, label_frame, training_frame
 from paywarden.plans import training
-from paywarden.plans.pipeline import Pipeline, notify, outbox
+from paywarden.plans.pipeline import ROW_KEY, Pipeline, notify, outbox
 from paywarden.plans.views import register_views
-from paywarden.schemas import BRONZE, FEATURES
+from paywarden.schemas import BRONZE, TRANSACTIONS
 from paywarden.sources.readers import (
     Admission, count_rows, freshness, read_members_csv, read_table, read_transactions_csv,
     stream_table, stream_text,
 )
-from paywarden.sources.writers import export_csv, load_model, materialise, save_model
-from paywarden.streaming.lifecycle import progress_frame
-from paywarden.streaming.runner import run_hop
+from paywarden.sources.writers import export_csv, export_json_lines, load_model, materialise, save_model
+from paywarden.streaming.lifecycle import hop_counts, stop_when_idle
+from paywarden.streaming.runner import CONTINUAL, run_hop
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -106,6 +106,15 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training_frame(inputs.transactions(spark, sf_dir))
 
 
+# Labels are taken away by a fixed rule, as the given tables have no null.
+UNLABELLED = "event_id % 37 = 5"
+
+
+def in_band(kept: Column, all_rows: Column, share: float) -> Column:
+    """Whether a random share of some rows is within five standard deviations of its size."""
+    return F.abs(kept - all_rows * share) <= 5 * F.sqrt(all_rows * (share * (1 - share))) + 1
+
+
 # --- profiling and preparation ----------------------------------------------
 
 
@@ -114,9 +123,11 @@ def class_balance(spark, sf_dir):
     return profile.class_balance(inputs.transactions(spark, sf_dir))
 
 
-@query(f"SELECT {LABELLED} FROM transactions WHERE isFraud IS NOT NULL")
+@query(f"SELECT {LABELLED} FROM transactions WHERE NOT ({UNLABELLED})")
 def label_frame_rows(spark, sf_dir):
-    return label_frame(inputs.transactions(spark, sf_dir))
+    """Rows without a label are left out, and not taken for class 0."""
+    rows = inputs.transactions(spark, sf_dir)
+    return label_frame(rows.withColumn("isFraud", F.when(~F.expr(UNLABELLED), F.col("isFraud"))))
 
 
 @query(f"SELECT {LABELLED}, step % 24 AS hour FROM transactions WHERE isFraud IS NOT NULL")
@@ -249,9 +260,38 @@ def cached_count(spark, sf_dir):
         kept.unpersist()
 
 
-@query()
+@query("SELECT true AS files_agree, true AS bytes_agree, count(*) AS lines FROM transactions")
 def source_files(spark, sf_dir):
-    return freshness(spark, inputs.land_transactions(spark, sf_dir).source)
+    """File status against what a read of the folder sees: files with lines, bytes, and lines."""
+    source = inputs.land_transactions(spark, sf_dir).source
+    status = freshness(spark, f"{source}/part-*").first()
+    lines = spark.read.schema("data STRING").text(source)
+    seen = lines.agg(
+        F.count_distinct(F.col("_metadata.file_path")).alias("seen"),
+        F.sum(F.octet_length("data") + 1).alias("length"),
+        F.count("*").alias("lines"),
+    )
+    return seen.select(
+        (F.col("seen") == status["files"]).alias("files_agree"),
+        (F.col("length") == status["bytes"]).alias("bytes_agree"),
+        "lines",
+    )
+
+
+@query("SELECT *, true AS own_database FROM transactions")
+def home_table(spark, sf_dir):
+    """A table in the user's own database, made anew, tuned for, written, and found again by a later set-up."""
+    before = spark.catalog.currentDatabase()
+    try:
+        home = prepare_home(spark, shared_root(spark), "my-app", "reset")
+        tune_session(spark)
+        path = f"{home.layout.root}/transactions"
+        inputs.transactions(spark, sf_dir).write.option("path", path).saveAsTable("transactions")
+        again = prepare_home(spark, shared_root(spark), "my-app", "setup")
+        same = again == home and home.database == database_name("my-app", current_user(spark))
+        return spark.table(f"`{home.database}`.transactions").withColumn("own_database", F.lit(same))
+    finally:
+        spark.sql(f"USE `{before}`")
 
 
 # --- member enrichment --------------------------------------------------------
@@ -273,24 +313,53 @@ def member_enrich_shuffled(spark, sf_dir):
 # --- sampling and splitting -----------------------------------------------------
 
 
-@query()
-def stratified_sample(spark, sf_dir):
+def sample_checks(rows: DataFrame, drawn: DataFrame, shares: dict[int, float]) -> DataFrame:
+    """Per class: rows, whether the sample holds nothing else and nothing twice, and about its share of them."""
+    ids = drawn.select(KEY, F.lit(1).alias("drawn"))
+    found = rows.join(ids, KEY, "left").groupBy("isFraud").agg(
+        F.count_distinct(KEY).alias("rows"), F.count("drawn").alias("kept"),
+        F.count_distinct(F.when(F.col("drawn") == 1, F.col(KEY))).alias("once"),
+    )
+    within = F.when(F.lit(False), F.lit(False))
+    for label, part in shares.items():
+        within = within.when(F.col("isFraud") == label, in_band(F.col("kept"), F.col("rows"), part))
+    return found.select(
+        "isFraud", "rows", (F.col("once") == F.col("kept")).alias("once"), within.alias("about_its_share")
+    )
+
+
+BY_CLASS = "SELECT isFraud, count(*) AS rows, true AS once, true AS about_its_share FROM transactions GROUP BY isFraud"
+
+
+def drawn_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = inputs.transactions(spark, sf_dir)
     return sample.stratified_sample(
         rows, "isFraud", training.TRAIN_FRACTIONS, seed=training.TRAIN_SAMPLE_SEED
     )
 
 
+@query(BY_CLASS)
+def stratified_sample(spark, sf_dir):
+    """The balanced training sample, checked against the rows it is drawn from."""
+    rows = inputs.transactions(spark, sf_dir)
+    return sample_checks(rows, drawn_sample(spark, sf_dir), training.TRAIN_FRACTIONS)
+
+
 @query("SELECT event_id FROM transactions WHERE isFraud = 1")
 def stratified_sample_fraud(spark, sf_dir):
     """The class with fraction 1 comes through whole."""
-    return stratified_sample(spark, sf_dir).filter(F.col("isFraud") == 1).select(KEY)
+    return drawn_sample(spark, sf_dir).filter(F.col("isFraud") == 1).select(KEY)
 
 
-@query()
+@query(BY_CLASS)
 def export_sample(spark, sf_dir):
+    """The sample for export, as it comes back from its JSON lines."""
     rows = inputs.transactions(spark, sf_dir)
-    return sample.stratified_sample(rows, "isFraud", training.EXPORT_FRACTIONS, seed=0)
+    drawn = sample.stratified_sample(rows, "isFraud", training.EXPORT_FRACTIONS, seed=0)
+    layout = new_layout(spark)
+    export_json_lines(drawn, layout.source)
+    lines = spark.read.schema("data STRING").text(layout.source)
+    return sample_checks(rows, lines.select(decode_record("data", KEYED_RECORD).alias("r")).select("r.*"), training.EXPORT_FRACTIONS)
 
 
 @query(f"""SELECT * FROM transactions
@@ -301,13 +370,20 @@ def stratified_sample_hash(spark, sf_dir):
     return sample.stratified_sample_by_key(rows, "isFraud", training.TRAIN_FRACTIONS, KEY)
 
 
-@query()
+@query("SELECT 2 AS parts, count(*) AS rows, true AS about_their_shares FROM transactions")
 def split_sizes(spark, sf_dir):
+    """The parts of the random split: how many, their rows together, and whether the first has its share."""
     train, test = sample.random_split(
         labelled(spark, sf_dir), training.SPLIT_WEIGHTS, training.SPLIT_SEED
     )
     parts = train.withColumn("part", F.lit("train")).union(test.withColumn("part", F.lit("test")))
-    return parts.groupBy("part").agg(F.count("*").alias("rows"))
+    sizes = parts.groupBy("part").agg(F.count("*").alias("rows"))
+    first = F.sum(F.when(F.col("part") == "train", F.col("rows")))
+    share = training.SPLIT_WEIGHTS[0] / sum(training.SPLIT_WEIGHTS)
+    return sizes.agg(
+        F.count("*").cast("int").alias("parts"), F.sum("rows").alias("rows"),
+        in_band(first, F.sum("rows"), share).alias("about_their_shares"),
+    )
 
 
 @query("SELECT event_id FROM transactions")
@@ -349,52 +425,85 @@ def string_index(spark, sf_dir):
     return rows.select(KEY, "type", "transaction", "type_index", "transaction_index")
 
 
-@query(f"""{CATEGORY_RANKS}
-SELECT event_id, CAST(type_rank = 0 AS DOUBLE) AS type_0, CAST(type_rank = 1 AS DOUBLE) AS type_1,
-       CAST(type_rank = 2 AS DOUBLE) AS type_2, CAST(type_rank = 3 AS DOUBLE) AS type_3
-FROM labelled JOIN types USING (type)""")
+# One row per slot of a one-hot vector: all categories but the last, which is all zeros.
+TYPE_SLOTS = "[CAST(type_rank = k AS DOUBLE) for k in range((SELECT count(*) - 1 FROM types))]"
+PAIR_SLOTS = "[CAST(pair_rank = k AS DOUBLE) for k in range((SELECT count(*) - 1 FROM pairs))]"
+
+
+def slots_sql(*columns: str) -> str:
+    """Slots of some vectors, as rows (event_id, label, vector, slot, value)."""
+    return "\nUNION ALL ".join(
+        f"""SELECT event_id, label, '{name}' AS vector, CAST(unnest(range(len(v))) AS INTEGER) AS slot, unnest(v) AS value
+FROM (SELECT event_id, label, {vector} AS v FROM labelled JOIN types USING (type) JOIN pairs USING (transaction))"""
+        for name, vector in zip(columns[::2], columns[1::2])
+    )
+
+
+def slots(rows: DataFrame, **vectors: str) -> DataFrame:
+    """The same rows from vector columns, whatever their length."""
+    parts = [
+        rows.select(KEY, LABEL, F.lit(name).alias("vector"), F.posexplode(vector_to_array(column)).alias("slot", "value"))
+        for name, column in vectors.items()
+    ]
+    return reduce(DataFrame.unionAll, parts)
+
+
+@query(f"{CATEGORY_RANKS}\n{slots_sql('type', TYPE_SLOTS, 'transaction', PAIR_SLOTS)}")
 def one_hot(spark, sf_dir):
-    rows, stages = stages_fitted(spark, sf_dir)
-    slots = stages[1].categorySizes[0] - 1  # the last category is all zeros
-    hot = rows.select(KEY, vector_to_array("type_hot").alias("hot"))
-    return hot.select(KEY, *[F.col("hot")[i].alias(f"type_{i}") for i in range(slots)])
+    rows, _ = stages_fitted(spark, sf_dir)
+    return slots(rows, type="type_hot", transaction="transaction_hot")
 
 
-@query(f"""SELECT event_id, CAST(step AS DOUBLE) AS step, amount, oldbalanceOrg, newbalanceOrig,
-       oldbalanceDest, newbalanceDest, CAST(step % 24 AS DOUBLE) AS hour
-FROM transactions""")
+BALANCES = "oldbalanceOrg, newbalanceOrig, oldbalanceDest, newbalanceDest"
+STAGE_SLOTS = f"""list_concat(list_concat({TYPE_SLOTS}, {PAIR_SLOTS}),
+    [CAST(step AS DOUBLE), amount, {BALANCES}, CAST(hour AS DOUBLE)])"""
+FORMULA_SLOTS = f"""list_concat(list_concat(list_concat([CAST(step AS DOUBLE)], {TYPE_SLOTS}),
+    list_concat([amount, {BALANCES}], {PAIR_SLOTS})), [CAST(hour AS DOUBLE)])"""
+
+
+@query(f"{CATEGORY_RANKS}\n{slots_sql('features', STAGE_SLOTS)}")
 def feature_vector(spark, sf_dir):
-    """The numeric part of the assembled vector, element by element."""
-    rows, stages = stages_fitted(spark, sf_dir)
-    _, numbers = columns_by_kind(rows.select(FEATURES))
-    skip = sum(n - 1 for n in stages[1].categorySizes)
-    vector = rows.select(KEY, vector_to_array("features").alias("v"))
-    return vector.select(KEY, *[F.col("v")[skip + i].alias(c) for i, c in enumerate(numbers)])
+    """The whole assembled vector, slot by slot."""
+    rows, _ = stages_fitted(spark, sf_dir)
+    return slots(rows, features="features")
 
 
-@query(f"""{CATEGORY_RANKS}
-SELECT event_id, label, CAST(step AS DOUBLE) AS f00,
-       CAST(type_rank = 0 AS DOUBLE) AS f01, CAST(type_rank = 1 AS DOUBLE) AS f02,
-       CAST(type_rank = 2 AS DOUBLE) AS f03, CAST(type_rank = 3 AS DOUBLE) AS f04,
-       amount AS f05, oldbalanceOrg AS f06, newbalanceOrig AS f07, oldbalanceDest AS f08,
-       newbalanceDest AS f09, CAST(pair_rank = 0 AS DOUBLE) AS f10, CAST(hour AS DOUBLE) AS f11
-FROM labelled JOIN types USING (type) JOIN pairs USING (transaction)""")
+@query(f"{CATEGORY_RANKS}\n{slots_sql('features', FORMULA_SLOTS)}")
 def formula_features(spark, sf_dir):
+    """The whole vector of the formula, slot by slot."""
     rows = labelled(spark, sf_dir)
-    model = training.formula_featuriser().fit(rows.drop(KEY))
-    vector = model.transform(rows).select(KEY, LABEL, vector_to_array("features").alias("v"))
-    return vector.select(KEY, LABEL, *[F.col("v")[i].alias(f"f{i:02d}") for i in range(12)])
+    return slots(training.formula_featuriser().fit(rows.drop(KEY)).transform(rows), features="features")
 
 
 # --- model ------------------------------------------------------------------------
 
 
+_FITTED: dict[tuple, object] = {}
+
+
+def once(spark: SparkSession, sf_dir: str, make: Callable[[SparkSession, str], object]) -> object:
+    """What `make` gives, made once per application and folder: models, and paths of saved ones."""
+    place = (spark.sparkContext.applicationId, sf_dir, make)
+    if place not in _FITTED:
+        _FITTED[place] = make(spark, sf_dir)
+    return _FITTED[place]
+
+
+def balanced(rows: DataFrame) -> DataFrame:
+    """All frauds, and few of the many others: what a model is fitted on."""
+    return sample.stratified_sample_by_key(rows, LABEL, training.TRAIN_FRACTIONS, KEY)
+
+
+def _plain_model(spark: SparkSession, sf_dir: str) -> training.Trained:
+    rows = labelled(spark, sf_dir)
+    train, _ = sample.split_by_key(rows, training.SPLIT_WEIGHTS, KEY, training.SPLIT_SEED)
+    return training.fit(balanced(train).drop(KEY), tuning=None, seen=rows)
+
+
 def trained(spark: SparkSession, sf_dir: str) -> tuple[training.Trained, DataFrame]:
-    """A model fitted on 80 % of the rows, and the other 20 %."""
-    train, test = sample.split_by_key(
-        labelled(spark, sf_dir), training.SPLIT_WEIGHTS, KEY, training.SPLIT_SEED
-    )
-    return training.fit(train.drop(KEY), tuning=None), test
+    """A model fitted on the balanced sample of 80 % of the rows, and the other 20 %."""
+    _, test = sample.split_by_key(labelled(spark, sf_dir), training.SPLIT_WEIGHTS, KEY, training.SPLIT_SEED)
+    return once(spark, sf_dir, _plain_model), test
 
 
 def plain(scored: DataFrame, *columns: str) -> DataFrame:
@@ -403,18 +512,57 @@ def plain(scored: DataFrame, *columns: str) -> DataFrame:
     return scored.select(*columns, fraud, "prediction")
 
 
-@query()
+TEST_PART = f"substr(md5(concat('42:', CAST(event_id AS VARCHAR))), 1, 8) >= '{round(0.8 * 2**32):08x}'"
+SAMPLE_PART = f"(isFraud = 1 OR substr(md5(concat('0:', CAST(event_id AS VARCHAR))), 1, 8) < '{round(0.004 * 2**32):08x}')"
+
+
+def judged(scored: DataFrame) -> DataFrame:
+    """Keys and labels of scored rows, and whether the prediction is what the probability says."""
+    fraud = F.col("fraud_probability")
+    agrees = fraud.between(0, 1) & (F.col("prediction") == F.when(fraud > 0.5, 1.0).otherwise(0.0))
+    return plain(scored, KEY, LABEL).select(KEY, LABEL, agrees.alias("agrees"))
+
+
+@query(f"SELECT event_id, isFraud AS label, true AS agrees FROM transactions WHERE {TEST_PART}")
 def train_score(spark, sf_dir):
+    """The rows that the model was not fitted on, scored."""
     fitted, test = trained(spark, sf_dir)
-    return plain(fitted.model.transform(test), KEY, LABEL)
+    return judged(fitted.model.transform(test))
+
+
+def _tuned_model(spark: SparkSession, sf_dir: str) -> training.Trained:
+    rows = labelled(spark, sf_dir)
+    train, _ = sample.split_by_key(balanced(rows), training.SPLIT_WEIGHTS, KEY, training.SPLIT_SEED)
+    return training.fit(train.drop(KEY), seen=rows)
+
+
+@query(f"SELECT event_id, isFraud AS label, true AS agrees FROM transactions WHERE {TEST_PART} AND {SAMPLE_PART}")
+def tuned_score(spark, sf_dir):
+    """Balance, split, tune over grid and folds, and score the test part with the best model."""
+    _, test = sample.split_by_key(balanced(labelled(spark, sf_dir)), training.SPLIT_WEIGHTS, KEY, training.SPLIT_SEED)
+    return judged(once(spark, sf_dir, _tuned_model).model.transform(test))
+
+
+@query(f"SELECT count(*) AS support, true AS consistent FROM transactions WHERE {TEST_PART} AND {SAMPLE_PART}")
+def tuned_report(spark, sf_dir):
+    """The report on that test part: its support, and whether its accuracy is that of the metrics."""
+    _, test = sample.split_by_key(balanced(labelled(spark, sf_dir)), training.SPLIT_WEIGHTS, KEY, training.SPLIT_SEED)
+    scored = once(spark, sf_dir, _tuned_model).model.transform(test)
+    accuracy = training.metrics(scored)["accuracy"]
+    report = evaluate.class_report(scored).filter("class = 'accuracy'")
+    return report.select("support", (F.abs(F.col("f1") - accuracy) < 1e-9).alias("consistent"))
 
 
 SKIPPED = "step IS NULL OR type IS NULL OR amount IS NULL OR isnan(amount) OR transaction IS NULL"
 
 
-def model_on_holed(spark: SparkSession, sf_dir: str) -> tuple[training.Trained, DataFrame]:
+def _holed_model(spark: SparkSession, sf_dir: str) -> training.Trained:
     rows = holed(spark, sf_dir)
-    return training.fit(rows.drop(KEY), tuning=None), rows
+    return training.fit(balanced(rows).drop(KEY), tuning=None, seen=rows)
+
+
+def model_on_holed(spark: SparkSession, sf_dir: str) -> tuple[training.Trained, DataFrame]:
+    return once(spark, sf_dir, _holed_model), holed(spark, sf_dir)
 
 
 @query(f"SELECT event_id FROM ({HOLED} FROM (SELECT {LABELLED} FROM transactions)) WHERE NOT ({SKIPPED})")
@@ -432,16 +580,14 @@ def skipped_rows(spark, sf_dir):
     return rows.filter(training.unscorable(rows, fitted.categories, features)).select(KEY)
 
 
-@query()
+@query("""SELECT CAST(r AS DOUBLE) AS regParam, CAST(e AS DOUBLE) AS elasticNetParam, true AS in_range
+FROM (SELECT unnest([0.1, 0.2, 1.0]) AS r), (SELECT unnest([0.0, 0.5, 1.0]) AS e)""")
 def tuned_grid(spark, sf_dir):
-    """Mean accuracy of every grid point over the balanced training sample."""
-    rows = sample.stratified_sample_by_key(
-        inputs.transactions(spark, sf_dir), "isFraud", training.TRAIN_FRACTIONS, KEY
-    )
-    fitted = training.fit(training_frame(rows).drop(KEY))
-    return spark.createDataFrame(
-        fitted.tuning, "regParam DOUBLE, elasticNetParam DOUBLE, accuracy DOUBLE"
+    """Every grid point once, with a mean accuracy over the folds."""
+    points = spark.createDataFrame(
+        once(spark, sf_dir, _tuned_model).tuning, "regParam DOUBLE, elasticNetParam DOUBLE, accuracy DOUBLE"
     )
+    return points.select("regParam", "elasticNetParam", F.col("accuracy").between(0, 1).alias("in_range"))
 
 
 @query(f"""SELECT event_id, true AS same FROM transactions
@@ -459,15 +605,32 @@ def score_roundtrip(spark, sf_dir):
     )
 
 
-@query()
+@query(f"""SELECT unnest(['accuracy', 'areaUnderROC', 'areaUnderPR']) AS metric, true AS agrees,
+       (SELECT count(*) FROM transactions WHERE {TEST_PART}) AS rows""")
 def model_metrics(spark, sf_dir):
+    """The metrics of a model against the same figures from the scored rows by SQL."""
     fitted, test = trained(spark, sf_dir)
-    scores = training.metrics(fitted.model.transform(test))
-    return spark.createDataFrame(list(scores.items()), "metric STRING, value DOUBLE")
+    scored = fitted.model.transform(test)
+    values = training.metrics(scored)
+    rows = scored.select(LABEL, "prediction", vector_to_array("rawPrediction")[1].alias("score"))
+    rows.createOrReplaceTempView("metric_rows")
+    by_sql = spark.sql("""
+        WITH cells AS (SELECT score, sum(label) AS pos, sum(1 - label) AS neg FROM metric_rows GROUP BY score),
+        curve AS (SELECT score, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, sum(pos) OVER () AS p, sum(neg) OVER () AS n
+                  FROM cells WINDOW w AS (ORDER BY score DESC)),
+        points AS (SELECT score, tp / p AS recall, fp / n AS fall, tp / (tp + fp) AS prec FROM curve),
+        steps AS (SELECT *, lag(recall, 1, 0D) OVER w AS r0, lag(fall, 1, 0D) OVER w AS f0, lag(prec, 1, prec) OVER w AS p0
+                  FROM points WINDOW w AS (ORDER BY score DESC))
+        SELECT 'areaUnderROC' AS metric, sum((fall - f0) * (recall + r0) / 2) AS value FROM steps
+        UNION ALL SELECT 'areaUnderPR', sum((recall - r0) * (prec + p0) / 2) FROM steps
+        UNION ALL SELECT 'accuracy', avg(if(label = prediction, 1D, 0D)) FROM metric_rows""")
+    measured = spark.createDataFrame(list(values.items()), "metric STRING, measured DOUBLE")
+    agrees = F.abs(F.col("value") - F.col("measured")) < 1e-9
+    return by_sql.join(measured, "metric").select("metric", agrees.alias("agrees"), F.lit(rows.count()).alias("rows"))
 
 
 @query(f"""WITH ruled AS ({RULED}),
-cells AS (SELECT step % 24 AS score, sum(isFraud) AS pos, sum(1 - isFraud) AS neg FROM ruled GROUP BY 1),
+cells AS (SELECT amount AS score, sum(isFraud) AS pos, sum(1 - isFraud) AS neg FROM ruled GROUP BY 1),
 totals AS (SELECT sum(pos) AS all_pos, sum(neg) AS all_neg FROM cells),
 curve AS (SELECT score, sum(pos) OVER (ORDER BY score DESC) AS tp, sum(neg) OVER (ORDER BY score DESC) AS fp
           FROM cells),
@@ -482,11 +645,11 @@ SELECT 'areaUnderPR', round(sum((recall - recall_0) * (prec + prec_0) / 2), 9) F
 UNION ALL
 SELECT 'accuracy', round(avg(CAST(isFraud = prediction AS INTEGER)), 9) FROM ruled""")
 def score_areas(spark, sf_dir):
-    """The metrics on a prediction by rule and the hour as score."""
+    """The metrics on a prediction by rule and the amount as score: thousands of scores."""
     rows = ruled(spark, sf_dir).select(
         F.col("isFraud").alias(LABEL),
         "prediction",
-        hour_of_day().cast("double").alias("rawPrediction"),
+        F.col("amount").alias("rawPrediction"),
     )
     scores = [(name, round(value, 9)) for name, value in training.metrics(rows).items()]
     return spark.createDataFrame(scores, "metric STRING, value DOUBLE")
@@ -623,19 +786,51 @@ def pipeline(spark: SparkSession, sf_dir: str, **options) -> Pipeline:
     )
 
 
-@query("""SELECT 'transactions' AS dataset, event_id, step, type, amount, nameOrig, nameDest, isFraud
-FROM transactions""")
+@query("SELECT 'transactions' AS dataset, true AS stamped, * FROM transactions")
 def bronze_ingest(spark, sf_dir):
-    """The raw lines of the multiplex table, with fields picked out of the text."""
+    """The raw lines of the multiplex table, all fields picked out of the text, and whether the
+    stamp is there and lies between the start of the run and now."""
+    began = spark.sql("SELECT current_timestamp() AS now").first()["now"]
     lines = read_table(spark, bronze_table(spark, sf_dir).bronze)
-    pick = {"event_id": "bigint", "step": "int", "type": "string", "amount": "double",
-            "nameOrig": "string", "nameDest": "string", "isFraud": "int"}
+    pick = {f.name: f.dataType.simpleString() for f in KEYED_RECORD.fields}
+    stamped = F.coalesce(F.col("receipt_time").between(F.lit(began), F.current_timestamp()), F.lit(False))
     return lines.select(
         "dataset",
+        stamped.alias("stamped"),
         *[F.get_json_object("data", f"$.{c}").cast(t).alias(c) for c, t in pick.items()],
     )
 
 
+@query("SELECT true AS batch_per_file, true AS stamp_per_batch, count(*) AS rows FROM transactions")
+def file_limit(spark, sf_dir):
+    """One file per batch: as many batches as files with lines, and one stamp in each."""
+    layout = inputs.land_transactions(spark, sf_dir)
+    raw = stream_text(spark, layout.source, Admission(max_files=1))
+    run_hop(to_bronze(raw), layout.bronze, layout.checkpoint("bronze"), partition_by=["dataset"])
+    files = freshness(spark, f"{layout.source}/part-*").first()["files"]
+    rows = read_table(spark, layout.bronze).select("receipt_time", F.col("_metadata.file_path").alias("file"))
+    rows = rows.agg(
+        F.count_distinct("receipt_time").alias("stamps"), F.count_distinct("file").alias("written"),
+        F.count_distinct("file", "receipt_time").alias("pairs"), F.count("*").alias("rows"),
+    )
+    return rows.select(
+        (F.col("stamps") == files).alias("batch_per_file"),
+        (F.col("pairs") == F.col("written")).alias("stamp_per_batch"),
+        "rows",
+    )
+
+
+@query("SELECT * FROM transactions")
+def late_files(spark, sf_dir):
+    """A second half in files that look 30 days older than those of the first."""
+    layout = new_layout(spark)
+    for half, days in ((0, 0), (1, 30)):
+        inputs.land_half(spark, sf_dir, layout, half, days)
+        raw = stream_text(spark, layout.source, Admission.cluster_sized(spark))
+        run_hop(to_bronze(raw), layout.bronze, layout.checkpoint("bronze"), partition_by=["dataset"])
+    return parse_records(read_table(spark, layout.bronze), KEYED_RECORD)
+
+
 @query("SELECT count(*) AS n FROM transactions")
 def bronze_count(spark, sf_dir):
     return count_rows(spark, bronze_table(spark, sf_dir).bronze)
@@ -643,7 +838,11 @@ def bronze_count(spark, sf_dir):
 
 @query("SELECT * FROM transactions")
 def silver_parse(spark, sf_dir):
-    layout = bronze_table(spark, sf_dir)
+    """The records of one of two datasets that share the raw table."""
+    layout = inputs.land_transactions(spark, sf_dir)
+    raw = stream_text(spark, layout.source, Admission.cluster_sized(spark))
+    both = multiplex({TRANSACTIONS: raw, "refunds": raw})
+    run_hop(both, layout.bronze, layout.checkpoint("bronze"), partition_by=["dataset"])
     bronze = stream_table(
         spark, layout.bronze, BRONZE, admission=Admission.cluster_sized(spark)
     )
@@ -655,12 +854,13 @@ def silver_parse(spark, sf_dir):
 
 @query(ENRICHED)
 def member_enrich_stream(spark, sf_dir):
-    """Stream-static join: the event table itself is the stream."""
+    """Stream-static join, from the landed lines to the enriched table in one hop."""
     layout = new_layout(spark)
     source = inputs.land_transactions(spark, sf_dir).source
     raw = stream_text(spark, source, Admission.cluster_sized(spark))
     refined = refine(parse_records(to_bronze(raw), KEYED_RECORD), [KEY])
-    enriched = join_members(refined, inputs.members(spark, sf_dir))
+    landed = parse_records(to_bronze(spark.read.schema("data STRING").text(source)), KEYED_RECORD)
+    enriched = join_members(refined, inputs.members(spark, sf_dir), history=landed)
     run_hop(enriched, layout.enriched, layout.checkpoint("transactions_enriched"))
     return read_table(spark, layout.enriched)
 
@@ -683,14 +883,71 @@ def multi_hop_shuffled(spark, sf_dir):
 @query("""SELECT hop, CAST((SELECT count(*) FROM transactions) AS BIGINT) AS rows
 FROM (VALUES ('bronze'), ('transactions_parsed'), ('transactions_enriched')) AS hops(hop)""")
 def stream_progress(spark, sf_dir):
-    """Rows read by each hop, from the progress of its batches."""
+    """Rows that each hop has written."""
     job = pipeline(spark, sf_dir, name="progress")
-    progress = progress_frame(spark, job.run())
-    return progress.groupBy(F.substring_index("name", "progress_", -1).alias("hop")).agg(
-        F.sum("numInputRows").alias("rows")
+    job.run()
+    layout = job.layout
+    return hop_counts(
+        spark,
+        {"bronze": layout.bronze, "transactions_parsed": layout.parsed, "transactions_enriched": layout.enriched},
     )
 
 
+@query(ENRICHED)
+def restart_once(spark, sf_dir):
+    """Half lands, a run, the rest lands, a run, and one without new input: each row once."""
+    layout = new_layout(spark)
+    for half in (0, 1, None):
+        if half is not None:
+            inputs.land_half(spark, sf_dir, layout, half)
+        job = Pipeline(spark, layout, record=KEYED_RECORD, key=[KEY], members=inputs.members(spark, sf_dir), name="restart")
+        job.run()
+    return read_table(spark, layout.enriched)
+
+
+@query(ENRICHED)
+def continual_run(spark, sf_dir):
+    """The hops side by side, stopped when idle, started again, and stopped again."""
+    job = pipeline(spark, sf_dir, name="continual")
+    for _ in range(2):
+        stop_when_idle(job.start(CONTINUAL), idle_seconds=2, check_seconds=0.5)
+    return read_table(spark, job.layout.enriched)
+
+
+@query(f"""WITH ruled AS ({RULED}), frauds AS (SELECT * EXCLUDE (event_id) FROM ruled LEFT JOIN members USING (nameOrig) WHERE prediction = 1)
+SELECT count(*) AS alerts, (SELECT count(*) FROM (SELECT DISTINCT * EXCLUDE (prediction, userid, webhook_url) FROM frauds)) AS keys
+FROM frauds""")
+def alerts_without_id(spark, sf_dir):
+    """Records that come without an id: alerts, and different keys among them."""
+    job = Pipeline(
+        spark, inputs.land_transactions(spark, sf_dir), members=inputs.members(spark, sf_dir),
+        model=rule_model(), admission=Admission.cluster_sized(spark),
+    )
+    job.run()
+    return read_table(spark, job.layout.outbox).agg(F.count("*").alias("alerts"), F.count_distinct(ROW_KEY).alias("keys"))
+
+
+@query(f"""SELECT event_id, type IS NULL AS no_type, amount IS NULL AS no_amount
+FROM ({HOLED} FROM (SELECT {LABELLED} FROM transactions)) h
+WHERE type IS NULL OR amount IS NULL OR step IS NULL""")
+def stream_skipped(spark, sf_dir):
+    """The side table of what a model, loaded from its folder, leaves out of a stream with missing values."""
+    layout = new_layout(spark)
+    gaps = holed(spark, sf_dir).select(KEY, *(F.when(~F.isnan(c), F.col(c)).alias(c) if c == "amount" else c for c in ("step", "type", "amount")))
+    nan = holed(spark, sf_dir).where(F.isnan("amount")).select(KEY, F.lit(0.0).alias("filled"))
+    rows = inputs.transactions(spark, sf_dir).drop("step", "type", "amount").join(gaps, KEY).join(nan, KEY, "left")
+    rows = rows.withColumn("amount", F.coalesce("amount", "filled")).select(*KEYED_RECORD.names)
+    export_json_lines(rows, layout.source)
+    job = Pipeline(
+        spark, layout, record=KEYED_RECORD, key=[KEY], members=inputs.members(spark, sf_dir),
+        model=load_model(once(spark, sf_dir, _saved_model)), admission=Admission.cluster_sized(spark),
+    )
+    job.run()
+    skipped, scored = read_table(spark, layout.skipped), read_table(spark, layout.notified)
+    left = skipped.join(scored, KEY, "left_anti")  # a row that was scored as well would be missing
+    return left.select(KEY, F.col("type").isNull().alias("no_type"), F.col("amount").isNull().alias("no_amount"))
+
+
 @query(f"""WITH refined AS (SELECT {REFINED}, amount > 100 AS large FROM transactions)
 SELECT nameOrig, hour, transaction, amount, userid,
        CASE WHEN large THEN 'Notification sent' ELSE 'Valid transaction' END AS notify_user
@@ -705,25 +962,45 @@ def sql_views(spark, sf_dir):
         FROM batch_transactions_enriched""")
 
 
+def rule_model() -> PipelineModel:
+    """A rule in place of a fitted model."""
+    rule = "SELECT *, CASE WHEN amount > 100 THEN 1D ELSE 0D END AS prediction FROM __THIS__"
+    return PipelineModel([SQLTransformer(statement=rule)])
+
+
 MODEL_OUTPUT = ("features", "rawPrediction", "probability", "prediction", "notify_user")
 
 
-def scored_pipeline(spark: SparkSession, sf_dir: str) -> Pipeline:
-    """A model trained on the table, then all hops with it."""
+def _saved_model(spark: SparkSession, sf_dir: str) -> str:
     fitted, _ = trained(spark, sf_dir)
-    job = pipeline(spark, sf_dir, model=fitted.model)
+    path = new_layout(spark).model
+    save_model(fitted.model, path)
+    return path
+
+
+def scored_pipeline(spark: SparkSession, sf_dir: str) -> Pipeline:
+    """All hops with a model that was trained once, saved, and is loaded."""
+    job = pipeline(spark, sf_dir, model=load_model(once(spark, sf_dir, _saved_model)))
     job.run()
     return job
 
 
-@query()
-def stream_score(spark, sf_dir):
+SCORED = (KEY, "nameOrig", "type", "amount", "transaction", "hour", "userid", "webhook_url")
+
+
+def scored_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every hop down to scored rows with their notification status."""
     notified = read_table(spark, scored_pipeline(spark, sf_dir).layout.notified)
-    return plain(
-        notified, KEY, "nameOrig", "type", "amount", "transaction", "hour", "userid", "webhook_url",
-        "notify_user",
-    )
+    return plain(notified, *SCORED, "notify_user")
+
+
+@query(f"""WITH enriched AS ({ENRICHED})
+SELECT {", ".join(SCORED)}, true AS scored FROM enriched""")
+def stream_score(spark, sf_dir):
+    """The scored rows, with a probability, and a status that follows from it."""
+    fraud, sent = F.col("fraud_probability"), F.col("notify_user") == note.SENT
+    scored = fraud.between(0, 1) & (sent == (fraud > 0.5))
+    return scored_stream(spark, sf_dir).select(*SCORED, scored.alias("scored"))
 
 
 @query(f"""WITH enriched AS ({ENRICHED})
@@ -736,10 +1013,21 @@ def stream_score_rows(spark, sf_dir):
     return notified.select(*enriched, told_apart.alias("told_apart"))
 
 
-@query()
+@query(f"SELECT count(*) AS scored, true AS all_alerted, true AS stamped FROM ({ENRICHED})")
 def stream_alerts(spark, sf_dir):
-    """The alert outbox at the end of the hops."""
-    return read_table(spark, scored_pipeline(spark, sf_dir).layout.outbox)
+    """The outbox at the end of the hops: an alert for each predicted fraud and no other, with its time."""
+    layout = scored_pipeline(spark, sf_dir).layout
+    scored, outbox_rows = read_table(spark, layout.notified), read_table(spark, layout.outbox)
+    stamp = F.to_timestamp(F.substring_index("message", " at ", -1), note.TIME_FORMAT)
+    alerts = outbox_rows.groupBy(KEY).agg(
+        F.count("*").alias("alerts"), F.min(stamp.between(F.current_timestamp() - F.expr("INTERVAL 1 DAY"), F.current_timestamp())).alias("stamped")
+    )
+    found = scored.groupBy(KEY).agg(F.count("*").alias("rows"), F.sum("prediction").alias("frauds")).join(alerts, KEY, "full")
+    return found.agg(
+        F.sum("rows").alias("scored"),
+        F.min(F.coalesce("frauds", F.lit(-1)) == F.coalesce("alerts", F.lit(0))).alias("all_alerted"),
+        F.coalesce(F.min("stamped"), F.lit(True)).alias("stamped"),
+    )
 
 
 @query(f"""SELECT event_id, userid, webhook_url, webhook_url IS NOT NULL AS deliverable,
@@ -748,10 +1036,7 @@ FROM ({RULED}) LEFT JOIN members USING (nameOrig) WHERE prediction = 1""")
 def stream_alerts_by_rule(spark, sf_dir):
     """The outbox at the end of the hops with a rule in place of the model; the
     message is shown up to its time."""
-    rule = SQLTransformer(
-        statement="SELECT *, CASE WHEN amount > 100 THEN 1D ELSE 0D END AS prediction FROM __THIS__"
-    )
-    job = pipeline(spark, sf_dir, model=PipelineModel([rule]))
+    job = pipeline(spark, sf_dir, model=rule_model())
     job.run()
     alerts = read_table(spark, job.layout.outbox)
     return alerts.select(

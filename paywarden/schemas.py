@@ -36,7 +36,7 @@ MEMBERS = _struct(("nameOrig", _string), ("userid", _string), ("webhook_url", _s
 # Tag of the transaction records in the multiplex table.
 TRANSACTIONS = "transactions"
 
-# Columns of the refined layout that are carried over unchanged; `transaction`
+# Columns of the refined layout that are carried over unchanged; `transaction`
 # and `hour` are computed.
 REFINED_SOURCE = [
     "step", "type", "amount", "nameOrig", "oldbalanceOrg", "newbalanceOrig",

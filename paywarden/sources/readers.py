@@ -1,13 +1,20 @@
 """Batch and streaming scans."""
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from paywarden.schemas import MEMBERS, RAW, RECORD
 
 
+# Older than any file. Spark's own default leaves out files that are a week older
+# than the newest it has seen, so a backfill would be lost without a word.
+ANY_AGE = "36500d"
+
+
 @dataclass(frozen=True)
 class Admission:
     """How much new input one micro-batch may take; unset means all of it.
@@ -77,11 +84,24 @@ def count_rows(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
 
 
 def stream_text(
-    spark: SparkSession, path: str, admission: Admission = Admission()
+    spark: SparkSession,
+    path: str,
+    admission: Admission = Admission(),
+    max_file_age: str = ANY_AGE,
+    clean: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """New text files as a stream, one row `data` per line."""
+    """New text files as a stream, one row `data` per line.
+
+    Files are read whatever their age. The driver remembers every file it has
+    seen for `max_file_age`; a landing folder that grows for ever can be kept
+    short by `clean`, such as ``{"cleanSource": "archive", "sourceArchiveDir": path}``.
+    """
     return (
-        spark.readStream.format("text").schema(RAW).options(**admission.options()).load(path)
+        spark.readStream.format("text")
+        .schema(RAW)
+        .option("maxFileAge", max_file_age)
+        .options(**admission.options(), **(clean or {}))
+        .load(path)
     )
 
 
@@ -91,13 +111,31 @@ def stream_table(
     schema: StructType,
     fmt: str = "parquet",
     admission: Admission = Admission(),
+    max_file_age: str = ANY_AGE,
 ) -> DataFrame:
-    """Rows appended to a table, as a stream."""
+    """Rows appended to a table, as a stream, whatever the age of its files."""
     return (
-        spark.readStream.format(fmt).schema(schema).options(**admission.options()).load(path)
+        spark.readStream.format(fmt)
+        .schema(schema)
+        .option("maxFileAge", max_file_age)
+        .options(**admission.options())
+        .load(path)
     )
 
 
+def table_exists(
+    spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", filled: bool = False
+) -> bool:
+    """Whether there is a table at a path, on demand only one with rows."""
+    try:
+        table = spark.read.format(fmt).schema(schema).load(path)
+        return not filled or table.limit(1).count() > 0
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+
+
 def freshness(spark: SparkSession, path: str) -> DataFrame:
     """One row about the files of a directory: how many, their bytes, and when
     the newest was modified (null for an empty directory).

@@ -7,9 +7,9 @@ from pyspark.sql import DataFrame
 from paywarden.functions.records import encode_record
 
 
-def export_json_lines(df: DataFrame, path: str) -> None:
+def export_json_lines(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """One JSON object per line, written by the tasks that hold the rows."""
-    df.select(encode_record().alias("data")).write.mode("errorifexists").text(path)
+    df.select(encode_record().alias("data")).write.mode(mode).text(path)
 
 
 def export_csv(df: DataFrame, path: str) -> None:

@@ -1,15 +1,19 @@
 """Progress, idle shutdown and stop of running queries."""
 
 import time
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryProgress
 
+from paywarden.sources.readers import count_rows
+
 
 def progress_frame(spark: SparkSession, queries: Iterable[StreamingQuery]) -> DataFrame:
-    """The recent batches of some queries; Spark keeps a bounded number of each."""
+    """The recent batches of some queries; Spark keeps a bounded number of each,
+    so their sums are not totals. `hop_counts` has those."""
     rows = [
         (p.name, p.batchId, p.numInputRows, p.batchDuration, p.timestamp)
         for q in queries
@@ -20,6 +24,15 @@ def progress_frame(spark: SparkSession, queries: Iterable[StreamingQuery]) -> Da
     )
 
 
+def hop_counts(spark: SparkSession, tables: Mapping[str, str], fmt: str = "parquet") -> DataFrame:
+    """(hop, rows) of the tables that some hops have written, however many batches ago."""
+    counts = [
+        count_rows(spark, path, fmt).select(F.lit(hop).alias("hop"), F.col("n").alias("rows"))
+        for hop, path in tables.items()
+    ]
+    return reduce(DataFrame.unionAll, counts)
+
+
 def stop_queries(spark: SparkSession, prefix: str = "") -> list[str]:
     """Stop the active queries whose name starts with `prefix` (by default all,
     unnamed ones too) and return their names."""
@@ -38,7 +51,8 @@ def stop_when_idle(
     clock: Callable[[], float] = time.monotonic,
 ) -> float:
     """Wait until no query has finished a batch for more than `idle_seconds`, then stop
-    them all; returns the idle time. Raises if a query fails.
+    them all; returns the idle time. If a query fails, the others are stopped and
+    the error is raised.
 
     Asks the queries themselves. Listing the source folder instead would cost
     more with every file, and would not know whether the files are processed.
@@ -46,8 +60,13 @@ def stop_when_idle(
     seen: dict[str, int] = {}
     last_batch = clock()
     while any(q.isActive for q in queries):
-        for q in queries:
-            q.awaitTermination(check_seconds / len(queries))
+        try:
+            for q in queries:
+                q.awaitTermination(check_seconds / len(queries))
+        except BaseException:
+            for q in queries:
+                q.stop()
+            raise
         if _any_new_batch(queries, seen):
             last_batch = clock()
         idle = clock() - last_batch
@@ -61,12 +80,17 @@ def stop_when_idle(
     return clock() - last_batch
 
 
-def await_batch(query: StreamingQuery, seconds: float) -> None:
-    """Wait until a query has written a batch; raises if it ends without one."""
-    deadline = time.monotonic() + seconds
-    while not any(_ran_batch(p) for p in query.recentProgress):
-        if time.monotonic() > deadline or not query.isActive:
-            raise TimeoutError(f"{query.name}: no batch was written in {seconds} seconds")
+def await_table(query: StreamingQuery, there: Callable[[], bool]) -> None:
+    """Wait, as long as the query runs, until its table is `there`, from an earlier
+    run or from this one; raises if it ends without."""
+    while True:
+        # Asked in this order, what is written just before the end counts.
+        active = query.isActive
+        if there():
+            return
+        if not active:
+            query.awaitTermination()
+            raise RuntimeError(f"{query.name}: ended without a table")
         query.awaitTermination(0.2)
 
 

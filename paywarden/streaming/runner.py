@@ -62,10 +62,12 @@ def run_hop(stream: DataFrame, path: str, checkpoint: str, **options) -> Streami
     return query
 
 
-def preview(stream: DataFrame, name: str) -> StreamingQuery:
-    """Show a stream as the in-memory table `name`. For looking at small input."""
+def preview(stream: DataFrame, name: str, rows: int = 1000) -> StreamingQuery:
+    """Show the first rows of a stream as the in-memory table `name`. The driver
+    holds them, hence the limit."""
     return (
-        stream.writeStream.format("memory")
+        stream.limit(rows)
+        .writeStream.format("memory")
         .queryName(name)
         .outputMode("append")
         .trigger(**AVAILABLE_NOW)

@@ -27,6 +27,15 @@ def test_database_name(user, name):
     assert catalog.database_name("demo", user) == name
 
 
+def test_project_names_are_cleaned(spark, tmp_path):
+    home = catalog.prepare_home(spark, str(tmp_path), "my-app")
+    try:
+        assert home.database.startswith("my_app_") and spark.catalog.currentDatabase() == home.database
+    finally:
+        spark.sql("USE default")
+        catalog.prepare_home(spark, str(tmp_path), "my-app", "cleanup")
+
+
 def test_home_modes(spark, tmp_path):
     names = lambda: {d.name for d in spark.catalog.listDatabases()}
     home = catalog.prepare_home(spark, str(tmp_path), "demo")
@@ -39,6 +48,7 @@ def test_home_modes(spark, tmp_path):
         fresh = catalog.prepare_home(spark, str(tmp_path), "demo", "reset")
         assert fresh.database == home.database and fresh.layout != home.layout
         assert not spark.catalog.tableExists("kept")
+        assert catalog.prepare_home(spark, str(tmp_path), "demo") == fresh  # a reset lasts
     finally:
         spark.sql("USE default")
         catalog.prepare_home(spark, str(tmp_path), "demo", "cleanup")

@@ -52,6 +52,16 @@ def test_every_way_gives_the_brute_force_result(transactions, members):
             assert rows(got) == want
 
 
+def test_an_account_that_is_no_longer_listed_is_kept(transactions, members):
+    gone = members.filter("nameOrig <> 'C2'")
+    got = salted_left_join(transactions, gone, {"C1": 2}, {"C2": 4, "C9": 2}, width=8)
+    assert rows(got) == rows(join_members(transactions, gone))
+
+
+def test_a_key_with_more_than_an_even_part_is_spread():
+    assert group_numbers({"C1": 0.0009}, 20_000) == {"C1": 32}
+
+
 def test_an_account_listed_very_often(spark, transactions):
     """A third of the member list on one account, and copies of one member row."""
     often = spark.range(90).select(
@@ -84,7 +94,7 @@ def test_measured_bytes_follow_the_strings(spark):
 def test_hot_keys_hold_their_share(transactions):
     assert hot_keys(transactions, "nameOrig", share=0.3) == {"C1": 1 / 3, "C2": 1 / 3}
     assert len(hot_keys(transactions, "nameOrig", share=0.001)) <= 1000
-    assert hot_keys(transactions.limit(0), "nameOrig") == {}
+    assert hot_keys(transactions.limit(0), "nameOrig", share=0.001) == {}
 
 
 def test_groups_follow_the_share():
@@ -95,7 +105,7 @@ def test_groups_follow_the_share():
 
 def test_hot_rows_are_spread(spark, transactions, members):
     """No task gets much more than its part, though two accounts hold two thirds."""
-    hot = group_numbers(hot_keys(transactions, "nameOrig"), 64)
+    hot = group_numbers(hot_keys(transactions, "nameOrig", 1 / 64), 64)
     joined = salted_left_join(transactions, members, hot, {}, 64)
     assert "xxhash64" in plan(joined)
     deal = (

@@ -1,6 +1,8 @@
 import time
 
 import pytest
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
 
 from paywarden import inputs
@@ -9,11 +11,11 @@ from paywarden.operators.enrich import join_members
 from paywarden.operators.hops import multiplex, parse_records, refine, to_bronze
 from paywarden.operators.prepare import training_frame
 from paywarden.plans import training
-from paywarden.plans.pipeline import Pipeline, notify
+from paywarden.plans.pipeline import ROW_KEY, Pipeline, notify
 from paywarden.plans.views import register_views
 from paywarden.sources.readers import Admission, freshness, read_table, stream_text
 from paywarden.sources.writers import export_json_lines
-from paywarden.streaming.lifecycle import progress_frame, stop_queries, stop_when_idle
+from paywarden.streaming.lifecycle import hop_counts, progress_frame, stop_queries, stop_when_idle
 from paywarden.streaming.runner import CONTINUAL, preview, run_hop, start_hop, to_console
 from tests.conftest import plan, rows
 
@@ -181,7 +183,7 @@ def test_blank_and_broken_lines_travel_as_empty_rows(spark, layout):
 def test_side_by_side_queries_stop_when_idle(spark, given, members, model, layout):
     land(given, layout, files=2)
     running = job(spark, layout, members, model=model, name="live").start(CONTINUAL)
-    assert len(running) == 5 and all(q.isActive for q in running)
+    assert len(running) == 7 and all(q.isActive for q in running)
     extra = given.withColumn(KEY, F.col(KEY) + 1_000_000)
     land(extra, layout)
     idle = stop_when_idle(running, idle_seconds=4, check_seconds=0.5)
@@ -190,6 +192,59 @@ def test_side_by_side_queries_stop_when_idle(spark, given, members, model, layou
     assert read_table(spark, layout.notified).count() == 2 * given.count()
 
 
+def test_a_continual_job_restarts_without_new_input(spark, given, members, model, layout):
+    land(given, layout)
+    for _ in range(2):
+        running = job(spark, layout, members, model=model, name="again").start(CONTINUAL)
+        stop_when_idle(running, idle_seconds=3, check_seconds=0.5)
+    assert read_table(spark, layout.notified).count() == given.count()
+
+
+def test_files_of_any_age_are_read(spark, given, sf, layout):
+    for half, days in ((0, 0), (1, 30)):
+        inputs.land_half(spark, sf, layout, half, days)
+        run_hop(to_bronze(stream_text(spark, layout.source)), layout.bronze, layout.checkpoint("bronze"))
+    assert read_table(spark, layout.bronze).count() == given.count()
+
+
+def test_counts_do_not_depend_on_the_kept_progress(spark, given, layout):
+    before = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", 2)
+    try:
+        land(given, layout, files=5)
+        job(spark, layout, admission=Admission(max_files=1)).run()
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", before)
+    counts = hop_counts(spark, {"a": layout.bronze, "b": layout.parsed, "c": layout.enriched})
+    assert rows(counts) == [(h, given.count()) for h in "abc"]
+
+
+def test_lines_that_are_no_records_have_a_side_table(spark, layout):
+    lines = spark.createDataFrame([('{"event_id":1,"step":30}',), ("",), ("oops",), ("[1]",)], "data STRING")
+    lines.write.text(layout.source)
+    job(spark, layout).run()
+    side = read_table(spark, layout.unparsed)
+    assert rows(side, "dataset", "data") == [("transactions", ""), ("transactions", "[1]"), ("transactions", "oops")]
+    assert side.filter("receipt_time IS NULL").count() == 0
+
+
+def test_scored_and_skipped_make_all_rows(spark, given, members, model, layout):
+    gaps = given.withColumn("type", F.when(F.col(KEY) % 9 == 0, None).when(F.col(KEY) % 9 == 1, "NEW").otherwise(F.col("type")))
+    land(gaps.withColumn("amount", F.when(F.col(KEY) % 7 != 0, F.col("amount"))), layout)
+    job(spark, layout, members, model=model).run()
+    scored, skipped = read_table(spark, layout.notified), read_table(spark, layout.skipped)
+    assert skipped.count() > 0
+    assert rows(scored.select(KEY).union(skipped.select(KEY))) == rows(given.select(KEY))
+
+
+def test_records_without_id_get_a_key(spark, given, members, layout):
+    land(given.drop(KEY), layout)
+    rule = SQLTransformer(statement="SELECT *, CASE WHEN amount > 100 THEN 1D ELSE 0D END AS prediction FROM __THIS__")
+    Pipeline(spark, layout, members=members, model=PipelineModel([rule])).run()
+    alerts = read_table(spark, layout.outbox)
+    assert alerts.columns[0] == ROW_KEY and alerts.filter(f"length({ROW_KEY}) = 64").count() == alerts.count() > 0
+
+
 def test_idle_clock_restarts_with_new_input(spark, given, layout):
     land(given, layout)
     query = start_hop(
@@ -216,8 +271,10 @@ def test_a_failing_query_is_reported(spark, layout):
     spark.createDataFrame([("x",)], "data STRING").write.text(layout.source)
     broken = stream_text(spark, layout.source).select(F.raise_error(F.lit("broken")).alias("data"))
     query = start_hop(broken, layout.bronze, layout.checkpoint("bronze"), trigger=CONTINUAL)
+    good = start_hop(stream_text(spark, layout.source), layout.parsed, layout.checkpoint("good"), trigger=CONTINUAL)
     with pytest.raises(Exception, match="broken"):
-        stop_when_idle([query], idle_seconds=30, check_seconds=0.2)
+        stop_when_idle([good, query], idle_seconds=30, check_seconds=0.2)
+    assert not good.isActive
 
 
 def test_stop_by_name(spark, given, layout):

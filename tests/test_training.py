@@ -110,11 +110,26 @@ def test_skipped_rows_are_explained(parts, fitted):
     assert mixed.filter(skipped).count() == len(broken)
 
 
-def test_an_id_is_refused_as_category(spark, monkeypatch):
-    monkeypatch.setattr(training, "MAX_CATEGORIES", 3)
+def test_an_id_is_refused_as_category_on_demand(spark):
     df = spark.range(50).select(F.col("id").cast("string").alias("name"), (F.col("id") % 2).alias("label"))
     with pytest.raises(ValueError, match="name"):
-        training.fit(df, tuning=None)
+        training.fit(df, tuning=None, max_categories=49)
+    with pytest.raises(ValueError, match="name"):
+        training.stage_featuriser(df, max_categories=49)
+    assert len(training.fit(df, tuning=None, max_categories=50).categories["name"]) == 50
+
+
+def test_categories_come_from_all_rows_and_from_a_saved_model(spark, layout):
+    rows_seen = spark.range(60).select(
+        F.concat(F.lit("k"), (F.col("id") % 6).cast("string")).alias("name"), F.col("id").alias("size"),
+        (F.col("id") % 2).cast("int").alias("label"),
+    )
+    few = rows_seen.filter("name IN ('k0', 'k1')")
+    fitted = training.fit(few, tuning=None, seen=rows_seen)
+    assert fitted.categories == {"name": [f"k{i}" for i in range(6)]}
+    assert fitted.model.transform(rows_seen).count() == 60
+    save_model(fitted.model, layout.model)
+    assert training.known_categories(load_model(layout.model)) == fitted.categories
 
 
 def test_tuning_picks_the_best_of_the_whole_grid(spark, parts):
