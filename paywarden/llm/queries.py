@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paywarden.llm import bpe, chat, decontaminate, jaccard, licenses, neighbours, pii, sharding, suffixes, toxicity
+from paywarden.llm import bpe, chat, decontaminate, jaccard, licenses, neighbours, oracle, pii, sharding, suffixes, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -22,10 +22,17 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
 _SHIPPED: set[str] = set()
+BATCH_ROWS = 1_000  # texts that a Python worker gets at a time; rows are a few kilobytes, some much more
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per application. Spark serves the file to all executors."""
+    """Send this package to the Python workers, once per application. Spark serves the file to all executors.
+
+    Batches are made smaller than Spark's default, which is meant for short rows; a
+    setting of the user that is smaller still is left as it is.
+    """
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(batch, min(BATCH_ROWS, int(spark.conf.get(batch))))
     app = spark.sparkContext.applicationId
     if app not in _SHIPPED:
         package = Path(__file__).resolve().parents[1]
@@ -64,7 +71,7 @@ def op1_toxicity(spark, sf_dir):
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-@query()
+@query(oracle.REPEATS)
 def op2_repeats(spark, sf_dir):
     """All documents without the 200-byte strings that start more than once."""
     return suffixes.report(table(spark, sf_dir, "documents"))
@@ -112,7 +119,7 @@ def op7_chat(spark, sf_dir):
     return chat.digests(rows.unionByName(extra))
 
 
-@query()
+@query(oracle.CLASSES)
 def op6_jaccard(spark, sf_dir):
     """Components of documents whose sets of 3-word shingles are similar to 90 %."""
     return jaccard.classes(table(spark, sf_dir, "documents"), 3, 90)
@@ -135,7 +142,7 @@ def op9_neighbours(spark, sf_dir):
     return neighbours.nearest(rows, rows.where(F.col("vec_id") % 50 == 0), k=5)
 
 
-@query()
+@query(oracle.HITS)
 def op10_decontamination(spark, sf_dir):
     """Benchmark passages in all documents."""
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -299,3 +299,13 @@ def test_stages_take_effect(spark, tmp_path):
     assert "10.2.3.4" not in out[1002]["text"] and out[1002]["text"].startswith("mail ")
     assert out[1003]["text"] is None and out[1003]["n_tokens"] == out[1004]["n_tokens"] == 0
     assert all(r["decoded_equal"] and len(r["ids"]) == 4 * r["n_tokens"] for r in out.values())
+
+
+# --- SQL twins -----------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+def test_same_rows_as_sql(spark, sf, name):
+    from check_oracle import duck, spark_rows, sql_rows
+
+    assert spark_rows(queries.QUERIES[name](spark, sf)) == sql_rows(duck(sf), queries.ORACLE[name])
