@@ -25,9 +25,10 @@ from pyspark.sql import DataFrame
 
 from paywarden.llm.storage import schema_of, unused
 
-CACHE_WORDS = 250_000  # matches in a generation of the cache of a worker
+CACHE_WORDS = 100_000  # matches in a generation of the cache of a worker
 LONG_MATCH = 64  # characters; longer matches are not kept
-CACHE_PIECES = 400_000  # short halves and token pairs kept likewise
+CACHE_PIECES = 150_000  # short halves and token pairs kept likewise
+BATCH_ROWS = 500  # texts whose ids are returned together
 SHORT = 12  # bytes of a half that is worth keeping
 
 
@@ -217,7 +218,7 @@ def encode_frame(docs: DataFrame, ranks: dict[bytes, int], pattern: str, kept: l
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(key, shared.value, pattern)
-        for batch in batches:
+        for batch in (whole.slice(at, BATCH_ROWS) for whole in batches for at in range(0, whole.num_rows, BATCH_ROWS)):
             columns: list[list] = [[] for _ in range(4 + ids)]
             texts = batch.column(batch.num_columns - 1)
             for value in texts:

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-SLICE_BYTES = 4 << 20  # texts handled at a time; one longer text is a slice of its own
+SLICE_BYTES = 1 << 20  # texts handled at a time; one longer text is a slice of its own
 LONG_WORD = 32  # longer words are hashed one by one
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
