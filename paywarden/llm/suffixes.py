@@ -28,14 +28,12 @@ from pyspark.sql import functions as F
 
 from paywarden.llm.storage import schema_of, written
 from paywarden.llm.words import mix, text_slices
-from paywarden.operators.sizing import measured_bytes
 
 LENGTH = 200
 GRAM = 32  # bytes of an anchor
-CHUNK = 4 << 20  # windows of a text looked at together; positions must fit 24 bits
+CHUNK = 1 << 20  # windows of a text looked at together; positions must fit 24 bits
 BUCKET_BYTES = 1 << 20  # of contexts in one suffix array
 HOT_CONTEXTS = 4_096  # different contexts of an anchor, beyond which they are cut into windows
-BROADCAST_BYTES = 32 << 20  # of spans that are sent to all tasks; beyond it they are joined by shuffle
 
 _BYTE = mix(np.arange(256, dtype=np.uint64) + np.uint64(0x51ED270B))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -234,7 +232,7 @@ def _context_rows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa
     """(k1, place, anchor, context) of each context; place packs k2, the first window and the number of windows."""
     for batch in batches:
         k1, k2 = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-        for first, data, offsets in text_slices(batch.column(2)):
+        for first, data, offsets in text_slices(batch.column(2), CHUNK):
             owner, low, count, anchor = runs(data, offsets, length)
             if not len(owner):
                 continue
@@ -255,8 +253,6 @@ def _context_rows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa
 def _fetched(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """(anchor, context, n, bucket, bytes) of the wanted contexts, cut from their texts."""
     per_row = wanted.groupBy("k1", "k2").agg(F.collect_list(F.struct("low", "windows", "anchor", "context", "n", "bucket")).alias("cuts"))
-    if measured_bytes(wanted) <= BROADCAST_BYTES:
-        per_row = F.broadcast(per_row)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -340,9 +336,6 @@ def deduplicated(docs: DataFrame, kept: list[str], length: int = LENGTH, text: b
     """
     fields = [f for f in docs.schema.fields if f.name in kept]
     spans = written(repeated_spans(docs, length))
-    size = spans.agg(F.sum(16 * F.size("spans") + 24)).first()[0] or 0
-    if size <= BROADCAST_BYTES:
-        spans = F.broadcast(spans)
     whole = F.coalesce(docs["text"].cast("string"), F.lit(""))
     source = docs.select(
         *(docs[f"`{f.name}`"].alias(f"c{k}") for k, f in enumerate(fields)), F.xxhash64("doc_id", whole).alias("k1"),
