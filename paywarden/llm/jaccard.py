@@ -9,8 +9,10 @@ as the smaller of their two l, before they are verified on their whole sets.
 Documents with equal sets are one node. Nodes that share a prefix shingle meet in
 one group: the shingle's leader, the smallest prefix shingle of any node that has it.
 So near copies, which share many shingles, meet once or twice and not for each
-shingle. A group is cut into blocks of bounded size, and each pair of blocks is a
-task that gives a spanning forest of the links it finds, never all pairs.
+shingle. Small groups are put together and large ones cut into blocks of bounded
+size. First only prefixes meet, to find the nodes that have a candidate at all; then
+the texts of those nodes, where each pair of blocks is a task that gives a spanning
+forest of the links it finds, never all pairs.
 """
 
 from __future__ import annotations
@@ -22,18 +24,22 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paywarden.llm.graph import components
-from paywarden.llm.storage import written
+from paywarden.llm.storage import unused, written
 from paywarden.llm.words import SOLID, chained, hashed_words, text_slices
+from paywarden.operators.sizing import measured_bytes
 
-SKETCH_BITS = 20  # counters of the sketch; it decides the order only, never a result
+SKETCH_BITS = 24  # counters of the sketch, a byte each; it decides the order only, never a result
 SLICES = 64  # parts that the sketch is summed in
+STEPS = 12  # of a byte for each doubling of a count
 MOST_MATCHES = 4  # largest l
 VERIFY_COST = 20  # of a candidate, in postings read
-BLOCK_SHINGLES = 400_000  # of a group's block
+BROADCAST_BYTES = 32 << 20  # of node names that are sent to all tasks; beyond it they are joined by shuffle
+BLOCK_SHINGLES = 400_000  # of a block of texts
+BLOCK_PREFIXES = 400_000  # shingles of a block of prefixes
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> list[np.ndarray]:
@@ -54,19 +60,20 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> list[np.n
 class Prefixes:
     """Prefixes by the sketch, for a similarity of `percent`."""
 
-    def __init__(self, counts: np.ndarray, percent: int):
-        self.counts, self.percent = counts, percent
-        self.load = float(np.median(counts))  # what a counter has from shingles that just share it
+    def __init__(self, steps: np.ndarray, percent: int):
+        self.steps, self.percent = steps, percent
+        self.counts = 2.0 ** (np.arange(256) / STEPS) - 1
+        self.load = self.counts[int(np.median(steps))]  # what a counter has from shingles that just share it
 
     def least_overlap(self, n: int) -> int:
         return -(-self.percent * n // 100)
 
-    def of(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Prefix shingles, and of each the smallest l whose prefix has it. The largest is the document's l."""
+    def of(self, shingles: np.ndarray) -> np.ndarray:
+        """The prefix, from rare to frequent; how much longer it is than the base prefix tells l."""
         n = len(shingles)
         if not n:
-            return shingles, np.zeros(0, np.int64)
-        counts = self.counts[shingles >> np.uint64(64 - SKETCH_BITS)]
+            return shingles
+        counts = self.steps[shingles >> np.uint64(64 - SKETCH_BITS)]
         base, most = n - self.least_overlap(n) + 1, min(MOST_MATCHES, self.least_overlap(n))
         longest = base + most - 1
         near = np.argpartition(counts, longest - 1)[:longest] if longest < n else np.arange(n)
@@ -74,88 +81,119 @@ class Prefixes:
             rim = counts[near].max()
             near = np.concatenate([np.flatnonzero(counts < rim), np.flatnonzero(counts == rim)])
         order = near[np.lexsort((shingles[near], counts[near]))][:longest]
-        read = np.cumsum(np.maximum(counts[order] - self.load, 0.0))[base - 1 :]
+        read = np.cumsum(np.maximum(self.counts[counts[order]] - self.load, 0.0))[base - 1 :]
         cost = read * (1 + VERIFY_COST / np.arange(1, most + 1))
         matches = int(np.argmin(cost)) + 1
-        order = order[: base + matches - 1]
-        return shingles[order], np.maximum(np.arange(len(order)) - base + 2, 1)
+        return shingles[order[: base + matches - 1]]
+
+
+def packed_counts(counts: np.ndarray) -> bytes:
+    """Counts as compressed bytes, and the few that do not fit a byte beside them."""
+    large = np.flatnonzero(counts >= 255)
+    rest = np.concatenate([[len(large)], large, counts[large]]).astype("<i8")
+    return rest.tobytes() + zlib.compress(np.minimum(counts, 255).astype(np.uint8).tobytes(), 3)
+
+
+def unpacked_counts(data: bytes) -> np.ndarray:
+    n = int(np.frombuffer(data, "<i8", 1)[0])
+    rest = np.frombuffer(data, "<i8", 2 * n, 8)
+    counts = np.frombuffer(zlib.decompress(data[8 + 16 * n :]), np.uint8).astype(np.int64)
+    counts[rest[:n]] = rest[n:]
+    return counts
 
 
 def sketch(docs: DataFrame, width: int) -> np.ndarray:
-    """How many documents have shingles of each counter. The result has a fixed size."""
+    """How many documents have shingles of each counter, on a scale of bytes. The result has a fixed size."""
     size = 1 << SKETCH_BITS
+    texts = docs.select(docs["text"].cast("string").alias("_text"))
+    salts = int(np.ceil(np.sqrt(texts.rdd.getNumPartitions())))  # so that neither sum has many parts
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, task = np.zeros(size, np.int64), 0
+        total, task = np.zeros(size, np.uint32), 0
         for batch in batches:
             for _, data, offsets in text_slices(batch.column(0)):
                 task ^= xxhash.xxh32_intdigest(data[:4096])
-                for part in shingle_sets(data, offsets, width):
-                    if len(part):
-                        at = part >> np.uint64(64 - SKETCH_BITS)
-                        np.add.at(total, at.astype(np.int64), 1)
+                found = np.concatenate(shingle_sets(data, offsets, width))
+                np.add.at(total, (found >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), np.uint32(1))
         if total.any():
-            parts = [zlib.compress(x.tobytes(), 1) for x in np.split(total, SLICES)]
+            parts = [packed_counts(x) for x in np.split(total, SLICES)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(range(SLICES), pa.int32()), pa.array([task % 32] * SLICES, pa.int32()), pa.array(parts, pa.binary())],
+                [pa.array(range(SLICES), pa.int32()), pa.array([task % salts] * SLICES, pa.int32()), pa.array(parts, pa.binary())],
                 names=["slice", "salt", "counts"],
             )
 
+    def summed(rows: pd.DataFrame) -> np.ndarray:
+        return sum(map(unpacked_counts, rows["counts"]), np.zeros(size // SLICES, np.int64))
+
     def add(rows: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(size // SLICES, np.int64)
-        for packed in rows["counts"]:
-            total += np.frombuffer(zlib.decompress(packed), np.int64)
-        return pd.DataFrame({"slice": rows["slice"].iloc[:1], "salt": [0], "counts": [zlib.compress(total.tobytes(), 1)]})
+        return pd.DataFrame({"slice": rows["slice"].iloc[:1], "salt": [0], "counts": [packed_counts(summed(rows))]})
+
+    def finish(rows: pd.DataFrame) -> pd.DataFrame:
+        steps = np.minimum(255, np.rint(STEPS * np.log2(1.0 + summed(rows)))).astype(np.uint8)
+        return pd.DataFrame({"slice": rows["slice"].iloc[:1], "salt": [0], "counts": [steps.tobytes()]})
 
     schema = "slice int, salt int, counts binary"
-    parts = docs.select(docs["text"].cast("string").alias("_text")).mapInArrow(count, schema)
-    sums = parts.groupBy("slice", "salt").applyInPandas(add, schema).groupBy("slice").applyInPandas(add, schema)
-    out = np.zeros((SLICES, size // SLICES), np.int64)
-    for row in sums.collect():  # SLICES rows
-        out[row["slice"]] = np.frombuffer(zlib.decompress(row["counts"]), np.int64)
+    parts = texts.mapInArrow(count, schema)
+    sums = parts.groupBy("slice", "salt").applyInPandas(add, schema).groupBy("slice").applyInPandas(finish, schema)
+    out = np.zeros((SLICES, size // SLICES), np.uint8)
+    for row in sums.collect():  # SLICES rows, 16 MB together
+        out[row["slice"]] = np.frombuffer(row["counts"], np.uint8)
     return out.ravel()
 
 
+def gathered(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """All positions of the ranges [a, b), one range after the other."""
+    counts = b - a
+    return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(a, counts)
+
+
+class PrefixIndex:
+    """Candidates among nodes, from their prefixes and sizes."""
+
+    def __init__(self, prefixes: list[np.ndarray], sizes: np.ndarray, percent: int):
+        self.percent, self.sizes, self.n = percent, sizes, len(prefixes)
+        lengths = np.array([len(t) for t in prefixes])
+        base = sizes - -(-percent * sizes // 100) + 1
+        self.matches = np.maximum(lengths - base + 1, 0)
+        self.ends = np.concatenate([[0], np.cumsum(lengths)])
+        tokens, owner = np.concatenate(prefixes), np.repeat(np.arange(self.n), lengths)
+        self.levels = np.maximum(np.arange(len(tokens)) - self.ends[owner] - base[owner] + 2, 1)
+        order = np.argsort(tokens, kind="stable")
+        self.owner, self.level = owner[order], self.levels[order]
+        self.low = np.searchsorted(tokens[order], tokens, "left")
+        self.high = np.searchsorted(tokens[order], tokens, "right")
+
+    def candidates(self, x: int) -> np.ndarray:
+        """Later nodes that share as many prefix shingles with x as they must, and are near in size."""
+        a, b = self.ends[x], self.ends[x + 1]
+        if a == b or (self.high[a:b] - self.low[a:b]).max() < 2:
+            return np.zeros(0, np.int64)
+        low, high = self.low[a:b], self.high[a:b]
+        at = gathered(low, high)
+        other = self.owner[at]
+        level = np.maximum(np.repeat(self.levels[a:b], high - low), self.level[at])
+        other = other[(other > x) & (level <= np.minimum(self.matches[x], self.matches[other]))]
+        near, shared = np.unique(other, return_counts=True)
+        near = near[shared >= np.minimum(self.matches[x], self.matches[near])]
+        sizes = self.sizes[near]
+        return near[100 * np.minimum(sizes, self.sizes[x]) >= self.percent * np.maximum(sizes, self.sizes[x])]
+
+
 def forest(sets: list[np.ndarray], prefixes: Prefixes, sides: np.ndarray | None) -> list[tuple[int, int]]:
     """Links that join the components of the sets, as (smallest of the component, other).
 
     `sides` (0 or 1) limits the comparison to pairs across; None compares all.
     """
     percent, n = prefixes.percent, len(sets)
-    found = [prefixes.of(s) for s in sets]
     sizes = np.array([len(s) for s in sets])
-    matches = np.array([levels[-1] if len(levels) else 0 for _, levels in found])
-    tokens = np.concatenate([t for t, _ in found])
-    owner = np.repeat(np.arange(n), [len(t) for t, _ in found])
-    levels = np.concatenate([x for _, x in found])
-    order = np.argsort(tokens, kind="stable")
-    sorted_tokens, sorted_owner, sorted_level = tokens[order], owner[order], levels[order]
-    low = np.searchsorted(sorted_tokens, tokens, "left")
-    high = np.searchsorted(sorted_tokens, tokens, "right")
-    ends = np.concatenate([[0], np.cumsum([len(t) for t, _ in found])])
+    index = PrefixIndex([prefixes.of(s) for s in sets], sizes, percent)
     root = np.arange(n)
     # Whole sets as postings, for nodes with many candidates.
     whole = np.concatenate(sets)
-    whole_owner = np.repeat(np.arange(n), sizes)
-    whole_order = np.argsort(whole, kind="stable")
-    whole, whole_owner = whole[whole_order], whole_owner[whole_order]
-
-    def gathered(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        counts = b - a
-        return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(a, counts)
-
+    order = np.argsort(whole, kind="stable")
+    whole, owner = whole[order], np.repeat(np.arange(n), sizes)[order]
     for x in range(n):
-        a, b = ends[x], ends[x + 1]
-        if a == b or (high[a:b] - low[a:b]).max() < 2:
-            continue
-        at = gathered(low[a:b], high[a:b])
-        other = sorted_owner[at]
-        level = np.maximum(np.repeat(levels[a:b], high[a:b] - low[a:b]), sorted_level[at])
-        other = other[(other > x) & (level <= np.minimum(matches[x], matches[other]))]
-        shared = np.bincount(other, minlength=n)
-        near = np.flatnonzero(shared)
-        near = near[shared[near] >= np.minimum(matches[x], matches[near])]
-        near = near[100 * np.minimum(sizes[near], sizes[x]) >= percent * np.maximum(sizes[near], sizes[x])]
+        near = index.candidates(x)
         near = near[root[near] != root[x]]
         if sides is not None:
             near = near[sides[near] != sides[x]]
@@ -163,7 +201,7 @@ def forest(sets: list[np.ndarray], prefixes: Prefixes, sides: np.ndarray | None)
             continue
         if len(near) > 16:
             s = sets[x]
-            both = np.bincount(whole_owner[gathered(np.searchsorted(whole, s, "left"), np.searchsorted(whole, s, "right"))], minlength=n)[near]
+            both = np.bincount(owner[gathered(np.searchsorted(whole, s, "left"), np.searchsorted(whole, s, "right"))], minlength=n)[near]
         else:
             both = np.array([np.isin(sets[y], sets[x], assume_unique=True).sum() for y in near])
         for y in near[100 * both >= percent * (sizes[x] + sizes[near] - both)].tolist():
@@ -173,18 +211,50 @@ def forest(sets: list[np.ndarray], prefixes: Prefixes, sides: np.ndarray | None)
     return [(int(r), k) for k, r in enumerate(root) if r != k]
 
 
-def classes(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
-    """doc_id, n_shingles, component_id for each row.
+def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts packed for the way to the task where they meet."""
+    for batch in batches:
+        raw = batch.column(batch.num_columns - 1).cast(pa.large_binary())
+        packed = [zlib.compress(x.as_py() or b"", 3) for x in raw]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(packed, pa.binary())], names=[*batch.schema.names[:-1], "_packed"])
+
+
+def _row_key(docs: DataFrame):
+    """Names a row by its id and text; rows equal in both are one node."""
+    return F.xxhash64(docs["doc_id"], F.xxhash64(docs["text"].cast("string")))
+
+
+def _dealt(groups: DataFrame, weight: Column, most: int) -> DataFrame:
+    """(place, i, j, mine, node): where the nodes of a group meet.
+
+    Groups of less than `most` are put together in places of about that weight; larger
+    ones are places of their own, cut into blocks, of which each two, i and j, meet.
+    """
+    weighed = groups.withColumn("weight", weight)
+    total = weighed.agg(F.sum("weight")).first()[0] or 0
+    sizes = weighed.groupBy("leader").agg(F.ceil(F.sum("weight") / most).cast("int").alias("blocks"))
+    small = F.col("blocks") <= 1
+    place = F.when(small, F.pmod(F.xxhash64("leader"), F.lit(int(total // most) + 1))).otherwise(F.col("leader"))
+    mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    return (
+        weighed.join(sizes, "leader")
+        .select(F.struct(small, place.alias("of")).alias("place"), "node", mine.alias("mine"), F.explode(F.sequence(F.lit(0), F.greatest("blocks", F.lit(1)) - 1)).alias("other"))
+        .select("place", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node")
+        .distinct()
+    )
+
+
+def placed(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """doc_id, node, n_shingles, component_id, stays (the node of the component that a choice of one keeps), for each row.
 
     Two documents link when 100 * shared >= percent * all shingles of both. A
     component_id is the smallest doc_id that links lead to. Documents without words
     (null and empty texts too) link with nothing and keep their own id. Repeated rows
     come out repeated, in one component; null ids take part and are never the smallest,
-    and a component without any id has null. Other columns are ignored.
+    and a component without any id has null. Other columns are ignored. `stays` is the node with the smallest id, null without words.
     """
     spark = docs.sparkSession
-    key = F.xxhash64(F.col("doc_id"), F.xxhash64(F.col("text").cast("string")))
-    texts = docs.select("doc_id", key.alias("node"), docs["text"].cast("string").alias("_text"))
+    texts = docs.select("doc_id", _row_key(docs).alias("node"), docs["text"].cast("string").alias("_text"))
     shared = spark.sparkContext.broadcast(sketch(docs, width))  # 2 ** SKETCH_BITS counters
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,7 +263,7 @@ def classes(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
             rows: list[tuple] = []
             for _, data, offsets in text_slices(batch.column(2)):
                 for s in shingle_sets(data, offsets, width):
-                    rows.append((len(s), xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None, prefixes.of(s)[0].astype(np.int64)))
+                    rows.append((len(s), xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None, prefixes.of(s).view(np.int64)))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -208,37 +278,82 @@ def classes(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     signed = written(texts.mapInArrow(sign, f"doc_id {kind}, node long, n_shingles long, same binary, prefix array<long>"))
     nodes = signed.where("same IS NOT NULL").groupBy("same").agg(
-        F.min("node").alias("node"), F.min("doc_id").alias("least"), F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix")
-    )
+        F.min("node").alias("node"), F.min("doc_id").alias("least"),
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "node")).alias("first"), F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix"),
+    )
     nodes = written(nodes)
     postings = nodes.select("node", "n", F.explode("prefix").alias("token"))
     often = postings.groupBy("token").agg(F.count("*").alias("df")).where("df > 1").select("token")
     met = written(postings.join(often, "token"))
     leaders = met.join(met.groupBy("node").agg(F.min("token").alias("own")), "node").groupBy("token").agg(F.min("own").alias("leader"))
     groups = written(met.join(leaders, "token").select("leader", "node", "n").distinct())
-    blocks = groups.groupBy("leader").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"))
-    mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    dealt = (
-        groups.join(blocks, "leader")
-        .select("leader", "node", mine.alias("mine"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
-        .select("leader", "node", "mine", F.least("mine", "with").alias("i"), F.greatest("mine", "with").alias("j"))
-    )
-    meeting = dealt.join(texts.select("node", "_text"), "node")
+
+    def candidates(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.drop_duplicates("node")
+        index = PrefixIndex([np.asarray(t, dtype=np.int64) for t in rows["prefix"]], rows["n"].to_numpy(), percent)
+        sides = (rows["mine"] == rows["i"]).to_numpy() if rows["i"].iloc[0] != rows["j"].iloc[0] else None
+        some = np.zeros(len(rows), dtype=bool)
+        for x in range(len(rows)):
+            near = index.candidates(x)
+            near = near if sides is None else near[sides[near] != sides[x]]
+            some[near] = True
+            some[x] |= len(near) > 0
+        return pd.DataFrame({"node": rows["node"][some]})
+
+    share = (100 - percent) / 100  # of a set that is its prefix, about
+    sized = lambda df: F.broadcast(df) if measured_bytes(df) <= BROADCAST_BYTES else df
+    places = written(_dealt(groups, F.ceil(F.col("n") * share) + 1, BLOCK_PREFIXES))
+    light = nodes.select("node", "n", "prefix").join(sized(places), "node")
+    live = written(light.groupBy("place", "i", "j").applyInPandas(candidates, "node long").distinct())
+    dealt = written(_dealt(groups.join(live, "node", "left_semi"), F.col("n"), BLOCK_SHINGLES))
+    meeting = texts.join(sized(dealt), "node").select("place", "i", "j", "mine", "node", "_text")
+    meeting = meeting.mapInArrow(_compressed, meeting.drop("_text").schema.add("_packed", "binary"))
 
     def join(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.drop_duplicates("node").sort_values("node")
         sets: list[np.ndarray] = []
-        for _, data, offsets in text_slices(pa.array(rows["_text"], pa.large_string())):
-            sets += shingle_sets(data, offsets, width)
-        sides = None if rows["i"].iloc[0] == rows["j"].iloc[0] else (rows["mine"] == rows["i"]).to_numpy()
+        for text in rows["_packed"]:
+            text = zlib.decompress(text)
+            sets += shingle_sets(np.frombuffer(text, np.uint8), np.array([0, len(text)]), width)
+        sides = (rows["mine"] == rows["i"]).to_numpy() if rows["i"].iloc[0] != rows["j"].iloc[0] else None
         ids = rows["node"].to_numpy()
         pairs = forest(sets, Prefixes(shared.value, percent), sides)
         return pd.DataFrame({"a": [ids[a] for a, _ in pairs], "b": [ids[b] for _, b in pairs]}, dtype="int64")
 
-    links = meeting.groupBy("leader", "i", "j").applyInPandas(join, "a long, b long")
+    links = meeting.groupBy("place", "i", "j").applyInPandas(join, "a long, b long")
     roots = components(links)
-    placed = nodes.select("same", "node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = placed.join(least, "root").select("same", "component_id")
-    out = signed.select("doc_id", "n_shingles", "same").join(named, "same", "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("same").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    rooted = nodes.select("same", "node", "least", "first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.min("first")["node"].alias("stays"))
+    named = rooted.join(least, "root").select("same", "component_id", "stays")
+    own = F.when(F.col("same").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return signed.drop("prefix").join(named, "same", "left").select("doc_id", "node", "n_shingles", own.alias("component_id"), "stays")
+
+
+def classes(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
+    """doc_id, n_shingles, component_id for each row, see `placed`."""
+    return placed(docs, width, percent).select("doc_id", "n_shingles", "component_id")
+
+
+def distinct_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The documents, all their columns, of which one of each component stays: the one with the smallest id.
+
+    Documents without words all stay. Of rows equal in id and text one stays.
+    """
+    found = written(placed(docs, width, percent))
+    gone = found.where("stays IS NOT NULL AND node <> stays").select("node").distinct()
+    again = found.where("node = stays").groupBy("node").count().where("count > 1").select("node")
+    key = unused(docs, "node")
+    keyed = docs.withColumn(key, _row_key(docs))
+
+    def sized(nodes: DataFrame) -> DataFrame:
+        return F.broadcast(nodes) if measured_bytes(nodes) <= BROADCAST_BYTES else nodes
+
+    out = keyed.join(sized(gone.withColumnRenamed("node", key)), key, "left_anti")
+    again = again.withColumnRenamed("node", key)
+    if again.limit(1).count():
+        small = sized(again)
+        row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+        one = out.join(small, key, "left_semi").groupBy(key).agg(F.first(row).alias("row"))
+        once = one.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
+        return out.join(small, key, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns)).union(once)
+    return out.drop(key)
