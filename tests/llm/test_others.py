@@ -137,16 +137,6 @@ def test_no_python_in_the_plans(spark):
 # --- shards ----------------------------------------------------------------------
 
 
-def spark_hash(*values):
-    """xxhash64 of a number and strings, as the engine chains it."""
-    seed = 42
-    for v in values:
-        if v is not None:
-            data = v.to_bytes(8, "little", signed=True) if isinstance(v, tuple) is False and isinstance(v, int) else v.encode()
-            seed = xxhash.xxh64_intdigest(data, seed)
-    return seed
-
-
 def brute_shard(doc_id, leaves):
     def draw(level, name, weight):
         seed = 42
