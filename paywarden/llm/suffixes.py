@@ -30,7 +30,7 @@ from paywarden.llm.storage import schema_of, written
 from paywarden.llm.words import mix, text_slices
 
 LENGTH = 200
-GRAM = 32  # bytes of an anchor
+GRAM = 64  # bytes of an anchor; a longer one is less often met twice by chance
 CHUNK = 1 << 20  # windows of a text looked at together; positions must fit 24 bits
 BUCKET_BYTES = 1 << 20  # of contexts in one suffix array
 HOT_CONTEXTS = 4_096  # different contexts of an anchor, beyond which they are cut into windows
