@@ -18,7 +18,7 @@ def written(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_root(spark)}/stage-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)  # most columns are hashes; what else there is packs well
     return spark.read.schema(df.schema).parquet(path)
 
 
