@@ -5,6 +5,11 @@ the longest increasing subsequence of their positions is kept, and the gaps betw
 kept anchors are aligned the same way, where other words may now be unique. Where a
 gap has no anchor, equal words at its two rims are taken. The share of a template's
 words that is aligned is its coverage.
+
+Coverage alone does not tell licenses apart that differ by one word. So the words that
+name a license or its version must all be aligned, and what stands between the aligned
+words must not name another one. Of the templates that match at one place, the one with
+the most aligned words is reported.
 """
 
 from __future__ import annotations
@@ -44,6 +49,20 @@ TEMPLATES = {
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
 
+# Words that name a license or one of its kinds; numbers do so as versions.
+NAMES = frozenset(
+    "mit x11 bsd isc apache gnu gpl gplv2 gplv3 lgpl lgplv2 lgplv3 agpl agplv3 lesser affero mozilla mpl eclipse epl creative commons "
+    "cc cc0 nc noncommercial noncommercially sa sharealike nd noderivatives noderivs unlicense zlib boost wtfpl artistic cddl eupl gfdl".split()
+)
+DIGITS = frozenset("0123456789")
+VERSIONED = NAMES | DIGITS | {"version", "v", "license", "attribution"}  # a number after one of these is a version
+# Common words that decide only among the licenses of one family.
+KINDS = {
+    "gnu": frozenset({"general", "public", "library", "documentation"}),
+    "cc": frozenset({"by", "commercial", "share", "alike", "derivatives", "derivs"}),
+    "creative": frozenset({"attribution", "commercial", "share", "alike", "derivatives", "derivs"}),
+}
+
 
 def longest_increasing(values: list[int]) -> list[int]:
     """Indexes of a longest increasing subsequence, by patience sorting."""
@@ -92,15 +111,41 @@ def patience(text: list[int], template: list[int]) -> list[tuple[int, int]]:
 
 
 class Templates:
-    """The templates as numbers of words."""
+    """The templates as numbers of words, with the words that decide."""
 
     def __init__(self, texts: dict[str, str]):
         self.numbers: dict[bytes, int] = {}
+        number = lambda words: {self.numbers.setdefault(w.encode(), len(self.numbers) + 1) for w in sorted(words)}
+        names, self.digits, self.versioned = number(NAMES), number(DIGITS), number(VERSIONED)
+        kinds = {min(number({first})): number(words) for first, words in KINDS.items()}
+        zero = self.numbers[b"0"]
         self.words = {
             name: [self.numbers.setdefault(w, len(self.numbers) + 1) for w in split_words(text.encode("utf-8"))]
             for name, text in sorted(texts.items())
         }
         self.counts = {name: np.bincount(words, minlength=len(self.numbers) + 1) for name, words in self.words.items()}
+        self.required: dict[str, set[int]] = {}  # positions in the template
+        self.foreign: dict[str, set[int]] = {}  # words
+        numerals = {n for w, n in self.numbers.items() if w.isdigit()}
+        for name, words in self.words.items():
+            telling = names.union(*(kinds[w] for w in set(words) & set(kinds)))
+            self.foreign[name] = telling - set(words)
+            # Version 2 is 2.0: a nought after a number may be missing.
+            plain = {k for k in range(1, len(words)) if words[k] == zero and words[k - 1] in numerals}
+            self.required[name] = {k for k, w in enumerate(words) if w in telling or w in numerals} - plain
+
+    def holds(self, name: str, ids: list[int], pairs: list[tuple[int, int]]) -> bool:
+        """Whether all deciding words are among the pairs, and no words of other licenses in the gaps."""
+        if not self.required[name] <= {k for _, k in pairs}:
+            return False
+        aligned, foreign = {x for x, _ in pairs}, self.foreign[name]
+        last = pairs[-1][0]
+        for x in range(pairs[0][0] + 1, last):
+            if x not in aligned and (ids[x] in foreign or ids[x] in self.digits and ids[x - 1] in self.versioned):
+                return False
+        # A template that ends in 2.0, of which the 2 is the last aligned word, and a text with 2.1.
+        cut = pairs[-1][1] < len(self.words[name]) - 1 and ids[last] in self.digits
+        return not (cut and last + 1 < len(ids) and ids[last + 1] in self.digits)
 
 
 def regions(ids: np.ndarray, need: int, reach: int) -> list[tuple[int, int]]:
@@ -121,7 +166,20 @@ def regions(ids: np.ndarray, need: int, reach: int) -> list[tuple[int, int]]:
     return out
 
 
-def scan_text(text: bytes, templates: Templates, least: float = COVERAGE) -> list[tuple[str, float, int, int, int]]:
+Found = tuple[str, float, int, int, int]
+
+
+def best_per_place(found: list[Found]) -> list[Found]:
+    """Of matches that overlap, the one with the most aligned words, then the highest coverage."""
+    kept: list[Found] = []  # in the order of the text
+    for x in sorted(found, key=lambda x: (-x[4], -x[1], x[0], x[2])):
+        at = bisect_left(kept, x[2], key=lambda y: y[2])
+        if (at == 0 or kept[at - 1][3] <= x[2]) and (at == len(kept) or x[3] <= kept[at][2]):
+            kept.insert(at, x)
+    return kept
+
+
+def scan_text(text: bytes, templates: Templates, least: float = COVERAGE) -> list[Found]:
     """(template, coverage, first word, end word, aligned words) of each place where a template is covered.
 
     A text may hold a notice more than once, and any other words around and between:
@@ -131,7 +189,7 @@ def scan_text(text: bytes, templates: Templates, least: float = COVERAGE) -> lis
     words = split_words(text)
     ids = np.fromiter(map(lambda w: templates.numbers.get(w, 0), words), np.int64, len(words))
     known = np.flatnonzero(ids)
-    out = []
+    out: list[Found] = []
     if not len(known):
         return out
     seen = np.bincount(ids[known], minlength=len(templates.numbers) + 1)
@@ -150,20 +208,23 @@ def scan_text(text: bytes, templates: Templates, least: float = COVERAGE) -> lis
                 # The wide window is for stretched notices; the narrow one for repeated ones, whose words are not unique in the wide.
                 for end in (min(e, p + len(template)), min(e, p + reach)):
                     trial = patience(ids[p:end].tolist(), template)
-                    if len(trial) > len(pairs):
+                    if len(trial) >= need and len(trial) > len(pairs) and templates.holds(name, ids[p : end + 1].tolist(), trial):
                         pairs = trial
                     if len(pairs) == len(template):
                         break
-                if len(pairs) >= need:
+                if pairs:
                     first, last = p + pairs[0][0], p + pairs[-1][0] + 1
                     out.append((name, len(pairs) / len(template), first, last, len(pairs)))
                     at = last
-    return out
+    return best_per_place(out)
 
 
 def scan(docs: DataFrame, texts: dict[str, str] = TEMPLATES, least: float = COVERAGE, kept: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns `kept`, then license, coverage, first_word, end_word, n_aligned: a row for each place found.
 
+    A place is reported once, by its best template, and only if all words that name the
+    license are there and no words of another one among them.
+
     Null and empty texts hold no license; a template without words is never found;
     repeated rows come out repeated; an empty table gives no rows; other columns are
     ignored. `texts` are a fixed list of short notices.

@@ -152,6 +152,35 @@ def test_notices_are_found_where_they_stand(spark):
     assert licenses.scan(frame(spark, [])).count() == 0
 
 
+def named(text, texts=None):
+    found = licenses.scan_text(text.encode(), licenses.Templates(texts or licenses.TEMPLATES))
+    return [name for name, *_ in sorted(found, key=lambda x: x[2])]
+
+
+def test_words_that_name_the_license_decide():
+    assert "MIT" not in named("Released under the BSD License.")
+    assert "GPL-3.0" not in named("This work is licensed under the GNU General Public License, version 2.")
+    share_alike = "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."
+    assert "CC-BY-4.0" not in named(share_alike) and "CC-BY-4.0" not in named(share_alike.replace("NonC", "Non-C").replace("eA", "e A"))
+    for kind in ("Lesser General Public", "Affero General Public", "Library General Public", "Free Documentation"):
+        assert "GPL-3.0" not in named(f"This work is licensed under the GNU {kind} License, version 3.")
+    for text in ("Licensed under the Apache License, Version 1.1.", "Licensed under the Apache License, Version 2.1."):
+        assert "Apache-2.0" not in named(text)
+    assert named("Licensed under CC BY-NC-SA 4.0.") != ["CC-BY-NC-4.0"] != named("Licensed under CC BY-NC 3.0.")
+
+
+def test_other_words_may_differ():
+    assert named("Licensed under the MIT License") == ["MIT"]
+    assert named("Licensed under the Apache License, Version 2") == ["Apache-2.0"]
+    assert named("This file is licensed under the GNU General Public License (version 3)") == ["GPL-3.0"]
+    assert "MIT" in named("Released under the BSD License. Released under the MIT License.")
+
+
+def test_a_place_is_reported_by_its_best_template():
+    notice = licenses.TEMPLATES["Apache-2.0-notice"]
+    assert named(f"x {notice} y {licenses.TEMPLATES['Apache-2.0']} z") == ["Apache-2.0-notice", "Apache-2.0"]
+
+
 # --- repeated strings ----------------------------------------------------------
 
 
