@@ -10,6 +10,9 @@ Coverage alone does not tell licenses apart that differ by one word. So the word
 name a license or its version must all be aligned, and what stands between the aligned
 words must not name another one. Of the templates that match at one place, the one with
 the most aligned words is reported.
+
+Whole license texts are templates as well (`license_texts`). Such a long template is
+aligned where word runs that occur once in it say that a copy of it may be.
 """
 
 from __future__ import annotations
@@ -17,6 +20,8 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import product
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +33,9 @@ from paywarden.llm.storage import schema_of, unused
 from paywarden.llm.words import text_slices
 
 COVERAGE = 0.8  # of a template's words, from which a license is reported
+LONG = 60  # words, from which a template is looked for by its rare word runs
+RUN = 4  # words of such a run
+TITLE, TITLE_WORDS = 40, 12  # words of a text in which its title stands, and of a template's title
 SLACK = 3  # a match may be stretched over so many times the template's words
 
 # Notices by which a text names its license, word by word as their authors ask for.
@@ -49,10 +57,77 @@ TEMPLATES = {
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
 
+GNU = "the GNU {} License"
+FREE = "This {} is free software; you can redistribute it and/or modify it under the terms of " + GNU + " as published by the Free Software Foundation"
+FAMILY = {"GPL": "General Public", "LGPL": "Lesser General Public", "AGPL": "Affero General Public"}
+TEMPLATES |= {
+    "Apache-1.1": "Licensed under the Apache License, Version 1.1.",
+    "BSD": "Released under the BSD License.",
+    "BSD-2-Clause": "Released under the BSD 2-Clause License.",
+    "BSD-3-Clause": "Released under the BSD 3-Clause License.",
+    "CC0-1.0": "This work is released under CC0 1.0 Universal.",
+    "CC0-1.0-notice": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work",
+    "EPL-1.0-notice": "This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 "
+    "which accompanies this distribution",
+    "EPL-2.0-notice": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 "
+    "which is available at",
+    "GPL-2.0-only-notice": "under the terms of the GNU General Public License version 2 as published by the Free Software Foundation",
+    "ISC-name": "Released under the ISC License.",
+    "LGPL-2.0": f"This work is licensed under {GNU.format('Library General Public')}, version 2.",
+    "LGPL-2.0-notice": FREE.format("library", "Library General Public") + "; either version 2 of the License, or",
+    "LGPL-notice": FREE.format("library", "Lesser General Public"),
+    "AGPL-notice": FREE.format("program", "Affero General Public"),
+    "MPL-1.1-notice": "The contents of this file are subject to the Mozilla Public License Version 1.1 (the \"License\"); you may not use "
+    "this file except in compliance with the License",
+    "Unlicense": "Released under the Unlicense.",
+    "Unlicense-notice": "This is free and unencumbered software released into the public domain.",
+}
+for _family, _version in [("GPL", "2.0"), ("GPL", "3.0"), ("LGPL", "2.1"), ("LGPL", "3.0"), ("AGPL", "3.0")]:
+    _id, _short = f"{_family}-{_version}", _version.removesuffix(".0")
+    TEMPLATES.setdefault(_id, f"This work is licensed under {GNU.format(FAMILY[_family])}, version {_short}.")
+    _kind = "library" if _family == "LGPL" else "program"
+    TEMPLATES[f"{_id}-notice"] = FREE.format(_kind, FAMILY[_family]) + f"; either version {_short} of the License, or"
+    TEMPLATES[f"{_id}-name"] = f"Licensed under the {_family}v{_short}."
+for _kind, (_version, _place) in product(
+    ("", "-NonCommercial", "-ShareAlike", "-NoDerivatives", "-NonCommercial-ShareAlike", "-NonCommercial-NoDerivatives"),
+    (("4.0", "International"), ("3.0", "Unported"), ("2.5", "Generic"), ("2.0", "Generic")),
+):
+    _short = "BY" + _kind.replace("NonCommercial", "NC").replace("ShareAlike", "SA").replace("NoDerivatives", "ND")
+    if _version != "4.0":
+        _kind = _kind.replace("NoDerivatives", "NoDerivs")
+    _id = f"CC-{_short}-{_version}"
+    _long = f"This work is licensed under a Creative Commons Attribution{_kind} {_version} {_place} License."
+    TEMPLATES[_id if TEMPLATES.get(_id) == _long else f"{_id}-notice"] = _long
+    TEMPLATES[_id if _id == "CC-BY-NC-4.0" else f"{_id}-name"] = f"Licensed under CC {_short} {_version}."
+for _id in (
+    "MIT MIT-0 ISC 0BSD BSD-2-Clause BSD-3-Clause Apache-2.0 GPL-2.0 GPL-3.0 LGPL-2.1 LGPL-3.0 AGPL-3.0 MPL-1.1 MPL-2.0 EPL-1.0 EPL-2.0 "
+    "CC0-1.0 CC-BY-4.0 CC-BY-SA-4.0 Zlib Unlicense BSL-1.0"
+).split():
+    TEMPLATES[f"{_id}-tag"] = f"SPDX-License-Identifier: {_id}"
+
+# Words of which one decides between license texts that are otherwise alike: must be aligned, must not stand in a gap.
+TELLING = {
+    "0BSD-text": ((), ("appear",)),
+    "BSD-2-Clause-text": ((), ("endorse", "acknowledgement")),
+    "BSD-3-Clause-text": (("endorse",), ("acknowledgement",)),
+    "BSD-4-Clause-text": (("endorse", "acknowledgement"), ()),
+    "CC0-1.0-notice": ((), ("patent",)),
+    "GPL-3.0-text": ((), ("affero",)),
+    "ISC-text": (("appear",), ("documentation",)),
+    "MIT-0-text": ((), ("included",)),
+    "MIT-text": (("included",), ("advertising",)),
+}
+
+
+def whole_texts() -> dict[str, str]:
+    """The license texts that come with this package, by the name of their template."""
+    return {f"{p.stem}-text": p.read_text("utf-8") for p in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))}
+
+
 # Words that name a license or one of its kinds; numbers do so as versions.
 NAMES = frozenset(
     "mit x11 bsd isc apache gnu gpl gplv2 gplv3 lgpl lgplv2 lgplv3 agpl agplv3 lesser affero mozilla mpl eclipse epl creative commons "
-    "cc cc0 nc noncommercial noncommercially sa sharealike nd noderivatives noderivs unlicense zlib boost wtfpl artistic cddl eupl gfdl".split()
+    "cc cc0 0bsd nc noncommercial noncommercially sa sharealike nd noderivatives noderivs unlicense zlib boost wtfpl artistic cddl eupl gfdl".split()
 )
 DIGITS = frozenset("0123456789")
 VERSIONED = NAMES | DIGITS | {"version", "v", "license", "attribution"}  # a number after one of these is a version
@@ -123,31 +198,74 @@ class Templates:
             name: [self.numbers.setdefault(w, len(self.numbers) + 1) for w in split_words(text.encode("utf-8"))]
             for name, text in sorted(texts.items())
         }
-        self.counts = {name: np.bincount(words, minlength=len(self.numbers) + 1) for name, words in self.words.items()}
+        extra = {name: [number(words) for words in TELLING.get(name, ((), ()))] for name in self.words}
+        counts = [np.bincount(words, minlength=len(self.numbers) + 1) for words in self.words.values()]
+        self.counts = np.stack(counts, axis=1).astype(np.int32) if counts else np.zeros((len(self.numbers) + 1, 0), np.int32)
         self.required: dict[str, set[int]] = {}  # positions in the template
         self.foreign: dict[str, set[int]] = {}  # words
+        self.titles: dict[str, set[int]] = {}  # positions of the version in the title
+        self.runs: dict[str, dict[tuple[int, ...], int]] = {}  # of long templates: word runs that occur once, and where
         numerals = {n for w, n in self.numbers.items() if w.isdigit()}
+        self.numbered = {name for name, words in self.words.items() if numerals & set(words)}
         for name, words in self.words.items():
-            telling = names.union(*(kinds[w] for w in set(words) & set(kinds)))
-            self.foreign[name] = telling - set(words)
+            needed, other = extra[name]
+            if len(words) > LONG:
+                telling, numeral = needed, set()
+                runs = list(zip(*(words[k:] for k in range(RUN))))
+                often = Counter(runs)
+                self.runs[name] = {run: k for k, run in enumerate(runs) if often[run] == 1}
+            else:
+                telling, numeral = names.union(needed, *(kinds[w] for w in set(words) & set(kinds))), numerals
+            self.foreign[name] = (telling - set(words) | other) - needed
             # Version 2 is 2.0: a nought after a number may be missing.
             plain = {k for k in range(1, len(words)) if words[k] == zero and words[k - 1] in numerals}
-            self.required[name] = {k for k, w in enumerate(words) if w in telling or w in numerals} - plain
+            self.required[name] = {k for k, w in enumerate(words) if w in telling or w in numeral} - plain
+            self.titles[name] = {k for k in range(1, min(TITLE_WORDS, len(words))) if words[k] in self.digits and words[k - 1] in self.versioned} - plain
 
     def holds(self, name: str, ids: list[int], pairs: list[tuple[int, int]]) -> bool:
         """Whether all deciding words are among the pairs, and no words of other licenses in the gaps."""
         if not self.required[name] <= {k for _, k in pairs}:
             return False
         aligned, foreign = {x for x, _ in pairs}, self.foreign[name]
-        last = pairs[-1][0]
-        for x in range(pairs[0][0] + 1, last):
-            if x not in aligned and (ids[x] in foreign or ids[x] in self.digits and ids[x - 1] in self.versioned):
-                return False
+        first, last = pairs[0][0], pairs[-1][0]
+        other_version = lambda x: x not in aligned and ids[x] in self.digits and ids[x - 1] in self.versioned
+        if any(x not in aligned and ids[x] in foreign for x in range(first + 1, last)):
+            return False
+        if name in self.runs:  # a whole text may come without its title, but not with the title of another version
+            places = {k for _, k in pairs}
+            if self.titles[name] <= places:
+                return True
+            return 0 not in places and not any(map(other_version, range(max(1, first - TITLE), min(first + TITLE, last))))
+        if name in self.numbered and any(map(other_version, range(first + 1, last))):
+            return False
         # A template that ends in 2.0, of which the 2 is the last aligned word, and a text with 2.1.
         cut = pairs[-1][1] < len(self.words[name]) - 1 and ids[last] in self.digits
         return not (cut and last + 1 < len(ids) and ids[last + 1] in self.digits)
 
 
+def copies(ids: list[int], runs: dict[tuple[int, ...], int], size: int) -> list[tuple[int, int]]:
+    """Spans of a text that may each hold one copy of a long template, from where its word runs stand."""
+    hits = [(t, runs[run]) for t, run in enumerate(zip(*(ids[k:] for k in range(RUN)))) if run in runs]
+    parts: list[list[tuple[int, int]]] = []
+    far = 0
+    for t, q in hits:
+        if not parts or q < far - size // 2 or t - parts[-1][0][0] > SLACK * size:
+            parts.append([])
+            far = 0
+        parts[-1].append((t, q))
+        far = max(far, q)
+    out: list[tuple[int, int]] = []
+    for k, part in enumerate(parts):
+        (t, q), (u, r) = part[0], part[-1]
+        start = max(t - SLACK * q, parts[k - 1][-1][0] + RUN if k else 0, 0)
+        end = min(u + SLACK * (size - r), len(ids))
+        if k + 1 < len(parts):
+            v, w = parts[k + 1][0]
+            end = min(end, max(u + RUN, v - w))
+        out.append((start, end))
+    return out
+
+
 def regions(ids: np.ndarray, need: int, reach: int) -> list[tuple[int, int]]:
     """Spans of word positions outside of which no `reach` words hold `need` words of the template.
 
@@ -172,7 +290,7 @@ Found = tuple[str, float, int, int, int]
 def best_per_place(found: list[Found]) -> list[Found]:
     """Of matches that overlap, the one with the most aligned words, then the highest coverage."""
     kept: list[Found] = []  # in the order of the text
-    for x in sorted(found, key=lambda x: (-x[4], -x[1], x[0], x[2])):
+    for x in sorted(found, key=lambda x: (-x[4], -x[1], x[3] - x[2], x[0], x[2])):
         at = bisect_left(kept, x[2], key=lambda y: y[2])
         if (at == 0 or kept[at - 1][3] <= x[2]) and (at == len(kept) or x[3] <= kept[at][2]):
             kept.insert(at, x)
@@ -192,34 +310,64 @@ def scan_text(text: bytes, templates: Templates, least: float = COVERAGE) -> lis
     out: list[Found] = []
     if not len(known):
         return out
-    seen = np.bincount(ids[known], minlength=len(templates.numbers) + 1)
-    for name, template in templates.words.items():
+    present, often = np.unique(ids[known], return_counts=True)
+    shared = np.minimum(often[:, None], templates.counts[present]).sum(axis=0)
+    taken = np.zeros(len(ids) + 1, bool)  # by whole texts: what they quote is not reported by itself
+    longest = sorted(zip(templates.words.items(), shared.tolist()), key=lambda x: (-(x[0][0] in templates.runs), x[0][0]))
+    for (name, template), most in longest:
         need = max(1, int(np.ceil(least * len(template) - 1e-9)))
-        if not template or np.minimum(seen, templates.counts[name]).sum() < need:
+        if not template or most < need:
+            continue
+        if name in templates.runs:
+            numbers = ids.tolist()
+
+            def copy_in(s: int, e: int) -> list[Found]:
+                pairs = patience(numbers[s:e], template)
+                back = min(s, TITLE)  # the title may stand before
+                if len(pairs) < need or not templates.holds(name, numbers[s - back : e + 1], [(x + back, k) for x, k in pairs]):
+                    return []
+                return [(name, len(pairs) / len(template), s + pairs[0][0], s + pairs[-1][0] + 1, len(pairs))]
+
+            spans = copies(numbers, templates.runs[name], len(template))
+            each = [copy_in(s, e) for s, e in spans]
+            for k, found in enumerate(each):
+                if k and not found and not each[k - 1]:  # a repeated run in the middle of a copy must not cut it in two
+                    found = copy_in(spans[k - 1][0], spans[k][1])
+                out += found
+                for _, _, first, last, _ in found:
+                    taken[first:last] = True
             continue
-        mine = known[np.isin(ids[known], template)]
+        mine = known[np.isin(ids[known], template) & ~taken[known]]
         reach = SLACK * len(template)
+
+        def aligned_from(p: int, e: int) -> list[tuple[int, int]]:
+            pairs: list[tuple[int, int]] = []
+            # The wide window is for stretched notices; the narrow one for repeated ones, whose words are not unique in the wide.
+            for end in (min(e, p + len(template)), min(e, p + reach)):
+                trial = patience(ids[p:end].tolist(), template)
+                if len(trial) >= need and len(trial) > len(pairs) and templates.holds(name, ids[p : end + 1].tolist(), trial):
+                    pairs = trial
+                if len(pairs) == len(template):
+                    break
+            return pairs
+
         for s, e in regions(mine, need, reach):
             at = s
             for p in mine[(mine >= s) & (mine < e)].tolist():  # one notice after the other, from each word it may begin with
                 if p < at:
                     continue
-                pairs: list[tuple[int, int]] = []
-                # The wide window is for stretched notices; the narrow one for repeated ones, whose words are not unique in the wide.
-                for end in (min(e, p + len(template)), min(e, p + reach)):
-                    trial = patience(ids[p:end].tolist(), template)
-                    if len(trial) >= need and len(trial) > len(pairs) and templates.holds(name, ids[p : end + 1].tolist(), trial):
-                        pairs = trial
-                    if len(pairs) == len(template):
-                        break
+                pairs = aligned_from(p, e)
                 if pairs:
+                    # Words of the template may stand before the notice, and the narrow window then ends too early.
+                    again = aligned_from(p + pairs[0][0], e)
+                    p, pairs = (p + pairs[0][0], again) if len(again) > len(pairs) else (p, pairs)
                     first, last = p + pairs[0][0], p + pairs[-1][0] + 1
                     out.append((name, len(pairs) / len(template), first, last, len(pairs)))
                     at = last
     return best_per_place(out)
 
 
-def scan(docs: DataFrame, texts: dict[str, str] = TEMPLATES, least: float = COVERAGE, kept: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def scan(docs: DataFrame, texts: dict[str, str] | None = None, least: float = COVERAGE, kept: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns `kept`, then license, coverage, first_word, end_word, n_aligned: a row for each place found.
 
     A place is reported once, by its best template, and only if all words that name the
@@ -227,12 +375,14 @@ def scan(docs: DataFrame, texts: dict[str, str] = TEMPLATES, least: float = COVE
 
     Null and empty texts hold no license; a template without words is never found;
     repeated rows come out repeated; an empty table gives no rows; other columns are
-    ignored. `texts` are a fixed list of short notices.
+    ignored. `texts` are a bounded list of notices and license texts that every worker
+    gets; without it `TEMPLATES` and the texts of this package are taken.
     """
     fields = [f for f in docs.schema.fields if f.name in kept]
-    templates = Templates(texts)
+    shared = docs.sparkSession.sparkContext.broadcast(Templates(TEMPLATES | whole_texts() if texts is None else texts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        templates = shared.value
         for batch in batches:
             found: list[tuple[int, tuple]] = []
             for first, data, offsets in text_slices(batch.column(batch.num_columns - 1)):

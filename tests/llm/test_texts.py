@@ -181,6 +181,34 @@ def test_a_place_is_reported_by_its_best_template():
     assert named(f"x {notice} y {licenses.TEMPLATES['Apache-2.0']} z") == ["Apache-2.0-notice", "Apache-2.0"]
 
 
+def test_whole_texts_are_found_as_themselves():
+    bodies = licenses.whole_texts()
+    every = licenses.Templates(licenses.TEMPLATES | bodies)
+    for name, text in bodies.items():
+        words = text.split()
+        words[len(words) // 3] = "changed"
+        found = licenses.scan_text(f"{prose(1, 300)} {' '.join(words)} {prose(2, 300)} {text}".encode(), every)
+        assert [x[0] for x in found] == [name, name], name
+        assert 0.9 < found[0][1] <= found[1][1] == 1.0
+    # A text that is not in the list is not taken for another one.
+    for name, text in bodies.items():
+        rest = licenses.Templates({k: v for k, v in bodies.items() if k != name})
+        assert licenses.scan_text(text.encode(), rest) == [], name
+
+
+def test_every_notice_is_found_as_itself():
+    every = licenses.Templates(licenses.TEMPLATES | licenses.whole_texts())
+    for name, text in licenses.TEMPLATES.items():
+        found = licenses.scan_text(f"{prose(1, 40)} {text} {prose(2, 40)}".encode(), every)
+        assert [(x[0], x[1]) for x in found] == [(name, 1.0)], name
+
+
+def test_a_document_with_a_license_text(spark):
+    bodies = licenses.whole_texts()
+    rows = [(1, bodies["BSD-3-Clause-text"]), (2, bodies["GPL-2.0-text"]), (3, "Released under the BSD License.")]
+    assert by_id(licenses.scan(frame(spark, rows)), "license") == {1: [("BSD-3-Clause-text",)], 2: [("GPL-2.0-text",)], 3: [("BSD",)]}
+
+
 # --- repeated strings ----------------------------------------------------------
 
 
