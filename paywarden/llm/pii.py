@@ -35,11 +35,11 @@ PATTERNS = {
     "phone": r"(?<![\p{L}\p{N}_])\+\d{1,3}[ -]?(?:\(\d{2,4}\)|\d{2,4})(?:[ -]?\d{2,4}){2,3}" + _END,
     "card": _ALONE + r"\d(?:[ -]?\d){12,18}" + _END,
     "secret": r"(?<![\p{L}\p{N}_])AKIA[0-9A-Z]{16}" + _END
-    + r"|(?<=(?:token|passwd|secret)[ ]?[=:][ ]?[\"']?|(?:password|api_key)[ ]?[=:][ ]?[\"']?)[A-Za-z0-9+/_-]{8,128}+",
+    + r"|(?<=(?i:token|passwd|secret)[ ]?[=:][ ]?[\"']?|(?i:password|api_key)[ ]?[=:][ ]?[\"']?)[A-Za-z0-9+/_-]{8,}+",
 }
 PATTERN = "|".join(PATTERNS.values())
 #: Without one of these no value can be there.
-HINT = "[0-9@]|token|passw|secret|api_key|AKIA"
+HINT = "[0-9@]|(?i:token|passw|secret|api_key)|AKIA"
 
 
 def _hash(key: str, kind: str, turn: Column, value: Column) -> Column:

@@ -90,6 +90,15 @@ def test_strings_equal_brute_force(spark):
     assert one(spark, 'token = "0641917ea4e9feb9"')["text"] == f'token = "{feistel("0641917ea4e9feb9", "secret")}"'
 
 
+def test_secrets_by_keys_of_any_case_and_to_their_end(spark):
+    value = "0641917ea4e9feb9"
+    for head in ("TOKEN = \"", "Password: ", "API_KEY=", "SECRET=", "Api_Key = '", "PASSWD:", "mySecret="):
+        assert tuple(one(spark, head + value)) == (1, head + feistel(value, "secret"), 1)
+    long = "".join("aB3"[k % 3] for k in range(200))
+    assert one(spark, f"token={long} end")["text"] == f"token={feistel(long, 'secret')} end"
+    assert tuple(one(spark, "SECRET santa: none")) == (1, "SECRET santa: none", 0)
+
+
 def test_formats_and_checks_hold(spark):
     card = one(spark, "4539 5787 6362 1486")["text"]
     assert re.fullmatch(r"\d{4} \d{4} \d{4} \d{4}", card) and luhn(card.replace(" ", "")) and card != "4539 5787 6362 1486"
