@@ -28,12 +28,16 @@ ROUNDS = 8  # even, so that the halves end in their places
 FIRST_DAY, CYCLE_DAYS, DAY_PARTS = "1800-01-01", 146_097, (189, 773)  # 400 years; the parts multiply to the days
 
 _ALONE, _END = r"(?<![\p{L}\p{N}_.])", r"(?![\p{L}\p{N}_])"
+_GROUP = r"\d{1,19}+" + _END
+# What may follow a card number after a blank and is a value of its own.
+_OTHER = r"\d{4}-\d{2}-\d{2}" + _END + r"|\d{2}[./]\d{2}[./]\d{4}" + _END + r"|\d{1,3}(?:\.\d{1,3}){3}|[A-Za-z0-9._%+-]{1,64}+@"
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}+\.){1,8}[A-Za-z]{2,24}+",
     "date": _ALONE + r"(?:\d{4}-\d{2}-\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})" + _END,
     "ip": _ALONE + r"\d{1,3}(?:\.\d{1,3}){3}(?![\p{L}\p{N}_]|\.\d)",
     "phone": r"(?<![\p{L}\p{N}_])\+\d{1,3}[ -]?(?:\(\d{2,4}\)|\d{2,4})(?:[ -]?\d{2,4}){2,3}" + _END,
-    "card": _ALONE + r"\d(?:[ -]?\d){12,18}" + _END,
+    # Groups of digits, as many as there are: the number is looked for among them.
+    "card": _ALONE + r"(?=\d(?:[ -]?\d){12,18}" + _END + ")" + _GROUP + rf"(?:[ -](?!{_OTHER}){_GROUP})*+",
     "secret": r"(?<![\p{L}\p{N}_])AKIA[0-9A-Z]{16}" + _END
     + r"|(?<=(?i:token|passwd|secret)[ ]?[=:][ ]?[\"']?|(?i:password|api_key)[ ]?[=:][ ]?[\"']?)[A-Za-z0-9+/_-]{8,}+",
 }
@@ -99,12 +103,52 @@ def luhn_sum(digits: Column, doubled: int) -> Column:
     return F.aggregate(F.transform(F.split(F.reverse(digits), ""), one), F.lit(0), lambda n, x: n + x)
 
 
-def _card(value: Column, key: str) -> Column:
-    digits = F.regexp_replace(value, "[^0-9]", "")
+def _card_number(value: Column, key: str) -> Column:
     body = value.substr(F.lit(1), F.length(value) - 1)
     moved = permuted_string(body, key, "card")
     check = (F.lit(10) - luhn_sum(F.regexp_replace(moved, "[^0-9]", ""), 0) % 10) % 10
-    return F.when(luhn_sum(digits, 1) % 10 == 0, F.concat(moved, check.cast("string")))
+    return F.concat(moved, check.cast("string"))
+
+
+def _cards(value: Column, key: str) -> Column:
+    """The groups of digits with pseudonyms for the card numbers among them (text), and how many there are (n).
+
+    From each group on, the longest of 13 to 19 digits that ends with a group and passes
+    the Luhn check is taken. Among groups of one or two digits, which any numbers may be,
+    only the longest is tried, and the next after it.
+    """
+    groups = F.split(value, "(?<=[ -])")  # each with the blank or dash after it
+
+    def step(s: Column, i: Column) -> Column:
+        def part(j: Column) -> Column:
+            text = F.regexp_replace(F.array_join(F.slice(groups, i + 1, j - i + 1), ""), "[ -]$", "")
+            return F.struct(j.alias("j"), text.alias("text"), F.regexp_replace(text, "[^0-9]", "").alias("digits"))
+
+        parts = F.filter(
+            F.transform(F.sequence(i, F.least(i + 18, F.size(groups) - 1)), part), lambda p: F.length(p["digits"]).between(13, 19)
+        )
+        longest = F.coalesce(F.array_max(F.transform(parts, lambda p: p["j"])), i)
+        good = F.filter(
+            parts,
+            lambda p: (((i == s["fresh"]) & (p["j"] == longest)) | ~p["text"].rlike(r"(?<!\d)\d{1,2}(?!\d)"))
+            & (luhn_sum(p["digits"], 1) % 10 == 0),
+        )
+        won = F.get(good, F.size(good) - 1)
+        rest = F.regexp_extract(F.get(groups, won["j"]), "[ -]$", 0)
+        group = F.get(groups, i)
+
+        def state(text: Column, n: Column, after: Column, fresh: Column) -> Column:
+            return F.struct(text.alias("text"), n.alias("n"), after.cast("int").alias("after"), fresh.cast("int").alias("fresh"))
+
+        return (
+            F.when(i < s["after"], s)
+            .when(F.size(good) > 0, state(F.concat(s["text"], _card_number(won["text"], key), rest), s["n"] + 1, won["j"] + 1, won["j"] + 1))
+            .otherwise(state(F.concat(s["text"], group), s["n"], i + 1, F.when(i == s["fresh"], longest + 1).otherwise(s["fresh"])))
+        )
+
+    start = F.struct(F.lit("").alias("text"), F.lit(0).alias("n"), F.lit(0).alias("after"), F.lit(0).alias("fresh"))
+    done = F.aggregate(F.sequence(F.lit(0), F.size(groups) - 1), start, step)
+    return F.when(done["n"] > 0, F.struct(done["text"].alias("text"), done["n"].alias("n")))
 
 
 def _ip(value: Column, key: str) -> Column:
@@ -141,15 +185,20 @@ def _secret(value: Column, key: str) -> Column:
     return F.concat(fixed, permuted_string(value.substr(F.length(fixed) + 1, F.length(value)), key, "secret"))
 
 
-RULES: dict[str, Callable[[Column, str], Column]] = {"email": _email, "date": _date, "ip": _ip, "phone": _phone, "card": _card, "secret": _secret}
+RULES: dict[str, Callable[[Column, str], Column]] = {"email": _email, "date": _date, "ip": _ip, "phone": _phone, "secret": _secret}
 
 
 def pseudonym(value: Column, key: str) -> Column:
-    """The pseudonym of a found value; null if the value does not pass its check."""
-    out = F.lit(None).cast("string")
+    """The pseudonym of a found value (text) and how many values it held (n); null if the value does not pass its check."""
+    out = F.lit(None).cast("struct<text: string, n: int>")
     for kind in list(PATTERNS)[::-1]:
         whole = value.rlike(f"^(?:{PATTERNS[kind]})$") if kind != "secret" else F.lit(True)
-        out = F.when(whole, RULES[kind](value, key)).otherwise(out)
+        if kind == "card":
+            new = _cards(value, key)
+        else:
+            text = RULES[kind](value, key)
+            new = F.when(text.isNotNull(), F.struct(text.alias("text"), F.lit(1).alias("n")))
+        out = F.when(whole, new).otherwise(out)
     return out
 
 
@@ -169,9 +218,9 @@ def pseudonymised(docs: DataFrame, key: str, kept: list[str] | None = None) -> D
     )
     parts, count = unused(docs, "parts"), unused(docs, "n_values")
     some = F.size(parts) > 0
-    new = F.transform(parts, lambda p: F.coalesce(p["new"], p["old"]))
+    new = F.transform(parts, lambda p: F.coalesce(p["new"]["text"], p["old"]))
     joined = F.array_join(F.zip_with(F.split("text", PATTERN, -1), new, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    n = F.when(some, F.size(F.filter(parts, lambda p: p["new"].isNotNull()))).otherwise(0)
+    n = F.when(some, F.aggregate(parts, F.lit(0), lambda k, p: k + F.coalesce(p["new"]["n"], F.lit(0)))).otherwise(0)
     out = docs.withColumn(parts, values)
     changed = F.when(some, joined).otherwise(F.col("text")).alias("text")
     if kept is None:

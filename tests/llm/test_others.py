@@ -99,6 +99,28 @@ def test_secrets_by_keys_of_any_case_and_to_their_end(spark):
     assert tuple(one(spark, "SECRET santa: none")) == (1, "SECRET santa: none", 0)
 
 
+def test_cards_among_other_numbers(spark):
+    def card(value):
+        moved = feistel(value[:-1], "card")
+        return moved + next(c for c in "0123456789" if luhn(re.sub("[ -]", "", moved) + c))
+
+    a, b = "4111111111111111", "4111 1111 1111 1111"
+    cases = [
+        (f"{a} 123", f"{card(a)} 123", 1),
+        (f"{b} 12/25", f"{card(b)} 12/25", 1),
+        (f"no 2025 {b}.", f"no 2025 {card(b)}.", 1),
+        (f"{b} {a} 77", f"{card(b)} {card(a)} 77", 2),
+        (f"{b}-123", f"{card(b)}-123", 1),
+        ("4539 5787 6362 1487 12/25", "4539 5787 6362 1487 12/25", 0),
+    ]
+    rows = [(k, text) for k, (text, _, _) in enumerate(cases)] + [(90, f"{a} 10.0.0.7"), (91, f"{a} 2024-02-29")]
+    out = pii.pseudonymised(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), KEY, ["doc_id"])
+    got = {r["doc_id"]: (r["text"], r["n_values"]) for r in out.collect()}
+    for k, (_, text, n) in enumerate(cases):
+        assert got[k] == (text, n)
+    assert got[90][1] == got[91][1] == 2 and "10.0.0.7" not in got[90][0] and "2024-02-29" not in got[91][0]
+
+
 def test_formats_and_checks_hold(spark):
     card = one(spark, "4539 5787 6362 1486")["text"]
     assert re.fullmatch(r"\d{4} \d{4} \d{4} \d{4}", card) and luhn(card.replace(" ", "")) and card != "4539 5787 6362 1486"
