@@ -7,8 +7,9 @@ the first line feed. It takes one backslash out of each "<\...\s>" and "<\...\/s
 in a text, and reads "\\" and "\n" in a role.
 
 Each turn is first rendered as it is and parsed again. If that does not give the
-source turn, its control strings get one more backslash and the backslashes and
-line feeds of its role are escaped; the result parses back to the source.
+source turn, or if its text or role holds a control string, escaped or not, its control
+strings get one more backslash and the backslashes and line feeds of its role are
+escaped; the result parses back to the source.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 OPEN, CLOSE = "<s>", "</s>"
+CONTROL = r"<\\*/?s>"  # a turn mark, escaped or not
 
 
 def _escape_text(c: Column) -> Column:
@@ -71,7 +73,8 @@ def formatted(conversations: DataFrame, loss_role: str = "assistant") -> DataFra
     escaped = render(_escape_role(F.col("role")), _escape_text(F.col("text")))
     # The parser only acts on "<" and on backslashes and line feeds of a role: a turn without them reads back as it is.
     quiet = ~F.contains(F.col("text"), F.lit("<")) & ~F.col("role").rlike(r"[<\\\n]")
-    turns = turns.withColumn("rendered", F.when(quiet, plain).when(parse(plain) == source, plain).otherwise(escaped))
+    control = F.col("text").rlike(CONTROL) | F.col("role").rlike(CONTROL)
+    turns = turns.withColumn("rendered", F.when(quiet, plain).when(~control & (parse(plain) == source), plain).otherwise(escaped))
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     turns = turns.withColumn(
         "start", F.coalesce(F.sum(F.length("rendered")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -97,7 +100,8 @@ def digests(conversations: DataFrame, loss_role: str = "assistant") -> DataFrame
     """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, round_trip: read back from the output."""
     out = formatted(conversations, loss_role).withColumn("back", parse(F.col("formatted")))
     lines = F.transform("back", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
-    loss = F.array_join(F.transform(F.filter("back", lambda t: t["role"] == loss_role), lambda t: t["text"]), "")
+    masked = lambda m: F.col("formatted").substr((m["start"] + 1).cast("int"), m["length"].cast("int"))
+    loss = F.array_join(F.transform("loss_mask", lambda m: _unescape_text(masked(m))), "")
     return out.withColumn("loss", loss).select(
         "conv_id",
         F.size("back").cast("long").alias("n_turns"),

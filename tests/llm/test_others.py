@@ -244,6 +244,20 @@ def test_texts_with_control_strings_come_back(spark):
     assert chat.digests(df.limit(0)).count() == 0
 
 
+def test_control_strings_are_escaped_as_in_sql(spark, tmp_path):
+    from check_oracle import duck, spark_rows, sql_rows
+
+    odd = ["<s>", "a <s>user", "<\\s>", "</s>", "x < y", "s>", "plain"]
+    rows = [(k, j, r, t) for k, t in enumerate(odd) for j, r in enumerate(("user", "assistant"))]
+    df = spark.createDataFrame(rows, TURNS)
+    for r in chat.formatted(df).collect():
+        assert r["formatted"].count("<s>") == r["formatted"].count("</s>") == 2 and r["round_trip"]
+    for r in chat.formatted(df).withColumn("text", F.expr("substr(formatted, loss_mask[0].start + 1, loss_mask[0].length)")).collect():
+        assert re.sub(r"<\\(\\*/?s>)", r"<\1", r["text"]) == odd[r["conv_id"]]
+    df.coalesce(1).write.parquet(f"{tmp_path}/conversations.parquet")
+    assert spark_rows(queries.QUERIES["op7_chat"](spark, str(tmp_path))) == sql_rows(duck(str(tmp_path)), queries.ORACLE["op7_chat"])
+
+
 # --- neighbours ----------------------------------------------------------------------
 
 
