@@ -23,9 +23,10 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that a model learned from their labelled ones does not reject."""
+    """Documents that a model learned from their labelled ones does not reject; all, if there was no label to learn from."""
     ship(spark)
-    return toxicity.accepted(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.accepted(docs, model) if model.learned else docs
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -47,6 +47,11 @@ class Model:
     weight: np.ndarray
     intercept: float
 
+    @property
+    def learned(self) -> bool:
+        """Whether the model says anything: without a labelled row every score is 0.5."""
+        return bool(len(self.feature)) or self.intercept != 0
+
 
 class Ftrl:
     """The learner: z and n for each coordinate, weights derived from them."""

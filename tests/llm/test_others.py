@@ -44,6 +44,13 @@ def test_scores_of_odd_texts(spark):
     assert toxicity.report(frame(spark, []), labels).count() == 0
 
 
+def test_without_labels_the_pipeline_rejects_nothing(spark, tmp_path):
+    docs = clashing(frame(spark))
+    spark.createDataFrame([(2, None), (None, 1)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    kept = corpus_pipeline.drop_toxic(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns and kept.count() == len(texts())
+
+
 def test_learner_keeps_idle_weights_at_zero():
     learner = toxicity.Ftrl()
     for k in range(400):
