@@ -15,7 +15,6 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-import sys
 import unicodedata
 from collections.abc import Iterator
 
@@ -135,25 +134,48 @@ class _Packed(dict):
         return packed
 
 
-def _class_of(initial: str, last: int) -> str:
-    """Body of a character class with all characters up to `last` whose general category starts so."""
+# The letters and numbers that version 16 of Unicode added, first and last of
+# each span. The libraries know them; the tables of Python 3.13 are of version 15.1.
+ADDED_LETTERS = """
+1c89-1c8a a7cb-a7cd a7da-a7dc 105c0-105f3 10d4a-10d65 10d6f-10d85 10ec2-10ec4 11380-11389 1138b-1138b
+1138e-1138e 11390-113b5 113b7-113b7 113d1-113d1 113d3-113d3 11bc0-11be0 13460-143fa 16100-1611d
+16d40-16d6c 18cff-18cff 1e5d0-1e5ed 1e5f0-1e5f0
+"""
+ADDED_NUMBERS = "10d40-10d49 116d0-116e3 11bf0-11bf9 16130-16139 16d70-16d79 1ccf0-1ccf9 1e5f1-1e5fa"
+
+
+def _codes(spans: str) -> frozenset[int]:
+    ends = ([int(x, 16) for x in span.split("-")] for span in spans.split())
+    return frozenset(code for first, last in ends for code in range(first, last + 1))
+
+
+_ADDED = {"L": _codes(ADDED_LETTERS), "N": _codes(ADDED_NUMBERS)}
+
+
+def belongs(code: int, initial: str) -> bool:
+    """Whether the general category of a character starts with `initial`, L for letters or N for numbers."""
+    return unicodedata.category(chr(code))[0] == initial or code in _ADDED[initial]
+
+
+def _class_of(initial: str) -> str:
+    """Body of a character class with all characters of 16 bits in a category."""
     spans: list[list[int]] = []
-    for code in range(last + 1):
-        if unicodedata.category(chr(code))[0] == initial:
+    for code in range(0x10000):
+        if belongs(code, initial):
             if spans and spans[-1][1] == code - 1:
                 spans[-1][1] = code
             else:
                 spans.append([code, code])
-    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in spans)
+    return "".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in spans)
 
 
 # The characters with the Unicode property White_Space.
 WHITE_SPACE = "\\t-\\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
 
-def standard_pattern(pattern: str, last: int = sys.maxunicode) -> re.Pattern:
-    """The pattern for Python's own, faster engine: its classes are written out, for texts with characters up to `last`."""
-    letters, numbers = _class_of("L", last), _class_of("N", last)
+def standard_pattern(pattern: str) -> re.Pattern:
+    """The pattern for Python's own, faster engine: its classes are written out for characters of 16 bits."""
+    letters, numbers = _class_of("L"), _class_of("N")
     inner = re.sub(
         r"\[\^([^\]]*)\]",
         lambda m: "[^" + m[1].replace(r"\s", WHITE_SPACE).replace(r"\p{L}", letters).replace(r"\p{N}", numbers) + "]",
@@ -166,6 +188,27 @@ def standard_pattern(pattern: str, last: int = sys.maxunicode) -> re.Pattern:
     return re.compile(inner)
 
 
+class _Standins(dict):
+    """For str.translate: characters beyond 16 bits become a letter, number or sign of 16 bits. None of them is white space."""
+
+    def __missing__(self, code: int) -> int:
+        small = code if code < 0x10000 else 0xAA if belongs(code, "L") else 0xB2 if belongs(code, "N") else 0xA4
+        self[code] = small
+        return small
+
+
+class Cutter:
+    """Cuts texts into the matches of a pattern."""
+
+    def __init__(self, pattern: str):
+        self.pattern, self.standins = standard_pattern(pattern), _Standins()
+
+    def matches(self, text: str) -> list[str]:
+        if text.isascii() or len(text.encode("utf-16-le")) == 2 * len(text):
+            return self.pattern.findall(text)
+        return [text[m.start() : m.end()] for m in self.pattern.finditer(text.translate(self.standins))]
+
+
 def read_ranks(path: str) -> dict[bytes, int]:
     """Ranks of a vocabulary file: a token in base 64 and its rank on each line."""
     with open(path, "rb") as lines:
@@ -173,18 +216,16 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class Codec:
-    """Encodes and decodes texts. Characters beyond 16 bits have a pattern of their own, as its long classes are slow."""
+    """Encodes and decodes texts."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.narrow, self.wide = standard_pattern(pattern, 0xFFFF), standard_pattern(pattern)
+        self.cutter = Cutter(pattern)
         self.vocabulary = Vocabulary(ranks)
         self._packed = _Packed(self.vocabulary)
 
     def encoded(self, text: str) -> bytes:
         """Ids of a text, packed."""
-        narrow = text.isascii() or len(text.encode("utf-16-le")) == 2 * len(text)
-        found = (self.narrow if narrow else self.wide).findall(text)
-        return b"".join(map(self._packed.__getitem__, found))
+        return b"".join(map(self._packed.__getitem__, self.cutter.matches(text)))
 
     def decoded(self, data: bytes) -> bytes:
         """UTF-8 bytes of packed ids."""

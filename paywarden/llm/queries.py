@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paywarden.llm import bpe, chat, decontaminate, jaccard, licenses, neighbours, oracle, pii, sharding, suffixes, toxicity
+from paywarden.llm import bpe, chat, decontaminate, jaccard, licenses, merges, neighbours, oracle, pii, sharding, suffixes, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -19,6 +19,7 @@ ORACLE: dict[str, str] = {}
 SHARDS = 24
 PSEUDONYM_KEY = "key of the example; a job passes its own secret"
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+TOKENIZER = "byte_bpe_50k.json"
 
 
 _SHIPPED: set[str] = set()
@@ -146,3 +147,13 @@ def op9_neighbours(spark, sf_dir):
 def op10_decontamination(spark, sf_dir):
     """Benchmark passages in all documents."""
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op11_merges(spark, sf_dir):
+    """All documents encoded and decoded by the merges of a tokenizer file."""
+    import public_tokenizers
+
+    tokenizer = merges.read_tokenizer(public_tokenizers.path(TOKENIZER))
+    docs = table(spark, sf_dir, "documents")
+    return merges.encode_frame(docs, tokenizer, public_tokenizers.PATTERN, ["doc_id"], ids=False)
