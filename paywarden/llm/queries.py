@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paywarden.llm import bpe, chat, decontaminate, jaccard, licenses, merges, neighbours, oracle, pii, sharding, suffixes, toxicity
+from paywarden.llm import bpe, chat, decontaminate, jaccard, licenses, merges, merkle, neighbours, oracle, pii, sharding, suffixes, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -157,3 +157,9 @@ def op11_merges(spark, sf_dir):
     tokenizer = merges.read_tokenizer(public_tokenizers.path(TOKENIZER))
     docs = table(spark, sf_dir, "documents")
     return merges.encode_frame(docs, tokenizer, public_tokenizers.PATTERN, ["doc_id"], ids=False)
+
+
+@query(oracle.MANIFEST)
+def op12_manifest(spark, sf_dir):
+    """Proofs of all documents in a hash tree, a third of them tampered with."""
+    return merkle.report(table(spark, sf_dir, "documents"))
