@@ -110,3 +110,21 @@ SELECT doc_id, leaf, s.d AS subroot, t.d AS root, sha256(coalesce(proof, '')) AS
 FROM leaves l JOIN ends USING (r) LEFT JOIN proofs USING (r) JOIN subroots s ON s.tree = l.tree
 CROSS JOIN (SELECT d FROM tops WHERE n = 1) t
 """
+
+NEGATIVES = """
+WITH used AS (
+  SELECT row_number() OVER () AS u, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS c
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT a.u, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS alike, CAST(list_inner_product(a.c, b.c) AS BIGINT) AS score
+  FROM used a JOIN used b ON a.u <> b.u WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT u, anchor_id, vec_id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY u ORDER BY score DESC, vec_id) AS k
+  FROM scored WHERE alike QUALIFY k <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.u, p.k ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scored n ON n.u = p.u AND NOT alike AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5
+"""

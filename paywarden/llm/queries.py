@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paywarden.llm import bpe, chat, decontaminate, jaccard, licenses, merges, merkle, neighbours, oracle, pii, sharding, suffixes, toxicity
+from paywarden.llm import bpe, chat, decontaminate, jaccard, licenses, merges, merkle, negatives, neighbours, oracle, pii, sharding, suffixes, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -163,3 +163,11 @@ def op11_merges(spark, sf_dir):
 def op12_manifest(spark, sf_dir):
     """Proofs of all documents in a hash tree, a third of them tampered with."""
     return merkle.report(table(spark, sf_dir, "documents"))
+
+
+@query(oracle.NEGATIVES)
+def op13_negatives(spark, sf_dir):
+    """Hard negatives of every hundredth vector, with the label of every seventh moved on."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    moved = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return negatives.mined(moved, lambda vec_id: vec_id % 100 == 0)
