@@ -4,8 +4,8 @@ Token sequences of a fixed vocabulary are a monoid: `join` gives the encoding of
 two neighbouring byte strings from their encodings. A sequence is the encoding of
 its bytes exactly if each adjacent pair of tokens is the encoding of its own bytes
 (the tokens are then stable). So `join` re-encodes a window over the boundary and
-widens it by a token on a side until the pairs at both rims are stable; all tokens
-outside are then proved right. A text is cut by the pattern, each match is halved
+moves its rims outwards until the pairs there are stable; all tokens outside are then
+proved right. A text is cut by the pattern, each match is halved
 down to bytes and joined upwards, and matches are concatenated. Decoding
 concatenates halves up the same kind of tree.
 """
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import heapq
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -24,11 +25,12 @@ from pyspark.sql import DataFrame
 
 from paywarden.llm.storage import schema_of, unused
 
-CACHE_WORDS = 100_000  # matches in a generation of the cache of a worker
+CACHE_WORDS = 250_000  # matches in a generation of the cache of a worker
 LONG_MATCH = 64  # characters; longer matches are not kept
-CACHE_PIECES = 150_000  # short halves and token pairs kept likewise
+CACHE_PIECES = 200_000  # short halves and token pairs kept likewise
 BATCH_ROWS = 500  # texts whose ids are returned together
-SHORT = 12  # bytes of a half that is worth keeping
+SHORT = 6  # bytes of a half that is worth keeping
+FEW = 64  # bytes of a window that are merged without a heap
 
 
 class Vocabulary:
@@ -39,51 +41,84 @@ class Vocabulary:
         self.tokens = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             self.tokens[rank] = token
-        self._pairs: dict[tuple[int, int], bool] = {}
+        self._pairs: dict[int, list[int] | None] = {}
         self._halves: dict[bytes, list[int]] = {}
 
-    def merged(self, parts: list[bytes]) -> list[int]:
+    def merged(self, data: bytes) -> list[int]:
         """Merge neighbours by lowest rank, the leftmost first, until none can be merged."""
-        ranks = self.ranks
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                rank = ranks.get(parts[i] + parts[i + 1])
-                if rank is not None and (best is None or rank < best):
-                    best, at = rank, i
-            if best is None:
-                break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return [ranks[p] for p in parts]
+        if len(data) > FEW:
+            return self._merged_many(data)
+        rank_of, none = self.ranks.get, len(self.tokens)
+        parts = [data[i : i + 1] for i in range(len(data))]
+        ranks = [rank_of(data[i : i + 2], none) for i in range(len(data) - 1)]
+        while ranks and (best := min(ranks)) != none:
+            at = ranks.index(best)
+            parts[at : at + 2] = [self.tokens[best]]
+            del ranks[at]
+            if at < len(ranks):
+                ranks[at] = rank_of(parts[at] + parts[at + 1], none)
+            if at:
+                ranks[at - 1] = rank_of(parts[at - 1] + parts[at], none)
+        return [self.ranks[p] for p in parts]
+
+    def _merged_many(self, data: bytes) -> list[int]:
+        """The same with a heap of (rank, start) and the ends of parts, for n log n steps."""
+        rank_of, n = self.ranks.get, len(data)
+        end = list(range(1, n + 1))  # by start of a part; 0 if none starts there any more
+        start = list(range(n))  # by end of a part, less one
+        waiting = [(rank, i) for i in range(n - 1) if (rank := rank_of(data[i : i + 2])) is not None]
+        heapq.heapify(waiting)
+        while waiting:
+            rank, first = heapq.heappop(waiting)
+            middle = end[first]
+            if not middle or middle == n or rank_of(data[first : end[middle]]) != rank:
+                continue
+            last = end[middle]
+            end[first], end[middle], start[last - 1] = last, 0, first
+            if last < n and (rank := rank_of(data[first : end[last]])) is not None:
+                heapq.heappush(waiting, (rank, first))
+            if first and (rank := rank_of(data[start[first - 1] : last])) is not None:
+                heapq.heappush(waiting, (rank, start[first - 1]))
+        return [self.ranks[data[i : end[i]]] for i in range(n) if end[i]]
 
     def _window(self, ids: list[int]) -> list[int]:
-        data = b"".join(self.tokens[t] for t in ids)
-        return self.merged([data[i : i + 1] for i in range(len(data))])
-
-    def stable(self, left: int, right: int) -> bool:
-        """Whether two neighbouring tokens are the encoding of their own bytes."""
-        pair = (left, right)
-        known = self._pairs.get(pair)
-        if known is None:
+        return self.merged(b"".join([self.tokens[t] for t in ids]))
+
+    def changed(self, left: int, right: int) -> list[int] | None:
+        """The encoding of two neighbouring tokens, or None if it is these two: the pair is stable."""
+        pair = left * len(self.tokens) + right
+        known = self._pairs.get(pair, pair)
+        if known == pair:
             if len(self._pairs) >= CACHE_PIECES:
                 self._pairs.clear()
-            known = self._pairs[pair] = self._window([left, right]) == [left, right]
+            known = self._window([left, right])
+            known = self._pairs[pair] = None if known == [left, right] else known
         return known
 
     def join(self, left: list[int], right: list[int]) -> list[int]:
+        """The encoding of two byte strings together.
+
+        While the pair at the boundary is not stable, its encoding takes its place, with
+        a window to the left that doubles until it ends in a stable pair, and the
+        boundary moves on by a token.
+        """
         if not left or not right:
             return left + right
-        if self.stable(left[-1], right[0]):
-            return left + right
-        i, j = len(left) - 1, 1
-        while True:
-            window = self._window(left[i:] + right[:j])
-            ok_left = i == 0 or self.stable(left[i - 1], window[0])
-            ok_right = j == len(right) or self.stable(window[-1], right[j])
-            if ok_left and ok_right:
-                return left[:i] + window + right[j:]
-            i -= not ok_left
-            j += not ok_right
+        out = left
+        for at, token in enumerate(right):
+            window = self.changed(out[-1], token)
+            if window is None:
+                return out + right[at:]
+            if out is left:
+                out = left.copy()  # it may be kept for another text
+            out.pop()
+            wide = 1
+            while out and self.changed(out[-1], window[0]) is not None:
+                window = self._window(out[-wide:] + window)
+                del out[-wide:]
+                wide *= 2
+            out += window
+        return out
 
     def encoded(self, data: bytes) -> list[int]:
         """Tokens of a byte string, by halves."""

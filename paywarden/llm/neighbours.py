@@ -123,7 +123,8 @@ def nearest(
     """query_id, rank, vec_id, score: for each query the k nearest vectors found, ties to the smaller vec_id.
 
     Both frames have vec_id and embedding. Rows with a null id or an unusable
-    vector take no part. Rows with the query's id are not its neighbours; an id that
+    vector take no part. Each query gets k rows, fewer only if there are fewer other ids:
+    it probes more lists if the nearest are short. Rows with the query's id are not its neighbours; an id that
     is repeated is found once, at its best, and asked for once, by its smallest vector.
     Vectors shorter than the longest end with zeros. Empty tables give no rows.
     """
@@ -144,15 +145,26 @@ def nearest(
     probes = probes_needed(fitted, centres, k, recall)
     rotation = _rotation(dims)
 
+    @F.pandas_udf("int")
+    def list_of(v: pd.Series) -> pd.Series:
+        return pd.Series((unit(matrix(v, dims)) @ centres.T).argmax(axis=1) if len(v) else [], dtype=np.int32)
+
+    placed = written(rows.withColumn("list", list_of("embedding")))
+    # Ids in each list, an id in several counted in one of them. A query probes on until its lists hold k ids besides its own.
+    homes = placed.groupBy("vec_id").agg(F.min("list").alias("list")).groupBy("list").count()
+    held = np.zeros(lists, dtype=np.int64)
+    for r in homes.collect():  # a row for each list, MAX_LISTS at most
+        held[r["list"]] = r["count"]
+
     @F.pandas_udf("array<int>")
-    def lists_of(v: pd.Series, n: pd.Series) -> pd.Series:
+    def probed(v: pd.Series) -> pd.Series:
         if not len(v):
             return pd.Series([], dtype=object)
-        near = unit(matrix(v, dims)) @ centres.T
-        return pd.Series([x[:m].tolist() for x, m in zip(np.argsort(-near, axis=1, kind="stable"), n)])
+        order = np.argsort(-(unit(matrix(v, dims)) @ centres.T), axis=1, kind="stable")
+        short = (np.cumsum(held[order], axis=1) < k + 1).sum(axis=1)
+        return pd.Series([x[:m].tolist() for x, m in zip(order, np.maximum(probes, short + 1))])
 
-    placed = written(rows.withColumn("list", lists_of("embedding", F.lit(1))[0]))
-    probing = written(asked.select("vec_id", "embedding", F.explode(lists_of("embedding", F.lit(probes))).alias("list")))
+    probing = written(asked.select("vec_id", "embedding", F.explode(probed("embedding")).alias("list")))
     per = lambda df, most, name: df.groupBy("list").agg(F.ceil(F.count("*") / most).cast("int").alias(name))
     sizes = F.broadcast(per(placed, BLOCK_ROWS, "row_blocks").join(per(probing, BLOCK_QUERIES, "query_blocks"), "list"))  # MAX_LISTS rows
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))

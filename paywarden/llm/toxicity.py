@@ -46,6 +46,7 @@ class Model:
     feature: np.ndarray
     weight: np.ndarray
     intercept: float
+    rows: int = 0  # learned from
 
     @property
     def learned(self) -> bool:
@@ -113,8 +114,8 @@ def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             learner.learn(np.frombuffer(found, dtype="<u4"), label, rarer if label else 1.0)
     m = learner.model()
     yield pa.RecordBatch.from_arrays(
-        [pa.array([m.feature.astype("<i8").tobytes()], pa.binary()), pa.array([m.weight.astype("<f8").tobytes()], pa.binary()), pa.array([m.intercept])],
-        names=["feature", "weight", "intercept"],
+        [pa.array([m.feature.astype("<i8").tobytes()], pa.binary()), pa.array([m.weight.astype("<f8").tobytes()], pa.binary()), pa.array([m.intercept]), pa.array([len(rows)], pa.int64())],
+        names=["feature", "weight", "intercept", "rows"],
     )
 
 
@@ -123,7 +124,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int
 
     Rows without id or label teach nothing; a label other than 0 counts as 1; an id
     that occurs more often among documents or labels is learned as often, within the
-    bound; without any labelled row every score is 0.5.
+    bound, which holds for what the labels meet; without any labelled row every score is 0.5.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).where(~held_out(F.col("doc_id")))
     sample = (
@@ -134,8 +135,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int
     texts = docs.select("doc_id", docs["text"].cast("string").alias("_text"))
     rows = texts.join(F.broadcast(sample), "doc_id").select("_turn", "_label", "_text")  # at most max_rows small rows
     found = rows.mapInArrow(_feature_batches, "turn long, label int, features binary")
-    out = found.repartition(1).mapInArrow(_learn, "feature binary, weight binary, intercept double").first()
-    return Model(np.frombuffer(out["feature"], "<i8"), np.frombuffer(out["weight"], "<f8"), out["intercept"])
+    # An id may occur in many documents: of what was met, each task and then the learner keep max_rows.
+    bounded = found.orderBy("turn", "label", F.xxhash64("features")).limit(max_rows)
+    learner = "feature binary, weight binary, intercept double, rows long"
+    out = bounded.repartition(1).mapInArrow(_learn, learner).first()
+    return Model(np.frombuffer(out["feature"], "<i8"), np.frombuffer(out["weight"], "<f8"), out["intercept"], out["rows"])
 
 
 def scored(docs: DataFrame, model: Model, kept: list[str], name: str = "score") -> DataFrame:

@@ -51,6 +51,16 @@ def test_without_labels_the_pipeline_rejects_nothing(spark, tmp_path):
     assert kept.columns == docs.columns and kept.count() == len(texts())
 
 
+def test_the_bound_holds_where_one_id_has_many_documents(spark):
+    queries.ship(spark)
+    docs = frame(spark, [(2, prose(k, 12)) for k in range(300)] + [(k, prose(k, 12)) for k in range(3, 60)])
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id long, toxic int")
+    met = docs.join(labels.where(~toxicity.held_out(F.col("doc_id"))), "doc_id").count()
+    assert met > 300
+    assert toxicity.fit(docs, labels).rows == met
+    assert toxicity.fit(docs, labels, max_rows=40).rows == 40
+
+
 def test_learner_keeps_idle_weights_at_zero():
     learner = toxicity.Ftrl()
     for k in range(400):
@@ -284,6 +294,34 @@ def test_neighbours_of_odd_vectors(spark):
     assert neighbours.nearest(df.limit(0), df).count() == neighbours.nearest(df, df.limit(0)).count() == 0
 
 
+def test_every_query_gets_k_rows_where_lists_are_short(spark):
+    rng = np.random.default_rng(3)
+    near = rng.standard_normal((3000, 8)) * 0.05 + np.eye(8)[0]
+    far = -np.eye(8)[0] + rng.standard_normal((3, 8)) * 0.01  # a list of their own
+    rows = [(k, v.tolist(), 1) for k, v in enumerate(np.concatenate([far, near]))] + [(1, [-1.0] + [0.0] * 7, 1)] * 4  # a repeated id is one
+    df = vectors(spark, rows)
+    got = neighbours.nearest(df, df.where("vec_id IN (0, 50)"), k=5, list_rows=300).toPandas()
+    assert got["query_id"].value_counts().to_dict() == {0: 5, 50: 5}
+    assert not got.duplicated(["query_id", "vec_id"]).any() and (got["query_id"] != got["vec_id"]).all()
+
+
+def test_recall_on_the_whole_table(spark):
+    df = spark.read.parquet(f"{CHECK}/embeddings.parquet")
+    rows = df.toPandas()
+    x = np.stack(rows["embedding"]).astype(float)
+    x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
+    ids = rows["vec_id"].to_numpy()
+    out = queries.QUERIES["op9_neighbours"](spark, CHECK).toPandas()
+    hit = total = 0
+    for k in np.flatnonzero(ids % 50 == 0):
+        near = x @ x[k]
+        near[k] = -9
+        mine = out[out["query_id"] == ids[k]]
+        assert len(mine) == 5
+        hit, total = hit + len(set(ids[np.lexsort((ids, -near))[:5]]) & set(mine["vec_id"])), total + 5
+    assert hit >= 0.9 * total
+
+
 @pytest.mark.parametrize("blocks", [(20_000, 2_000), (60, 3)])
 def test_recall_against_brute_force(spark, monkeypatch, blocks):
     monkeypatch.setattr(neighbours, "BLOCK_ROWS", blocks[0])

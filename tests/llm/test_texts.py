@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -49,7 +50,18 @@ def test_random_texts_and_joins_equal_the_library(tik):
         cut = rng.randrange(n + 1)
         v = codec.vocabulary
         left, right = word.encode()[:cut], word.encode()[cut:]
-        assert v.join(v.encoded(left), v.encoded(right)) == v.merged([bytes([b]) for b in word.encode()])
+        assert v.join(v.encoded(left), v.encoded(right)) == v.merged(word.encode()) == v._merged_many(word.encode())
+
+
+def test_long_matches_are_encoded_in_no_square_of_their_length(tik):
+    codec = bpe.Codec(RANKS, public_tokenizers.PATTERN)
+    rng = random.Random(2)
+    blob = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz") for _ in range(100_000))
+    for text in ("a" * 100_000, "-" * 100_000, " " * 100_000, "\n" * 100_001, blob, "ab" * 50_000, "=-" * 50_000, "é" * 50_000):
+        start = time.perf_counter()
+        data = codec.encoded(text)
+        assert time.perf_counter() - start < 4
+        assert np.frombuffer(data, "<u4").tolist() == tik.encode_ordinary(text)
 
 
 def test_encoding_an_empty_table(spark):
