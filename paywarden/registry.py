@@ -20,7 +20,7 @@ from paywarden.functions.features import party_pair
 from paywarden.functions.records import decode_record
 from paywarden.inputs import KEY, KEYED_RECORD, MEMBERS_SQL, TRANSACTIONS_SQL, table
 from paywarden.layout import Layout, new_layout, shared_root
-from paywarden.operators import evaluate, gold, profile, sample
+from paywarden.operators import categories, curves, evaluate, gold, profile, sample
 from paywarden.operators.enrich import join_members
 from paywarden.operators.hops import multiplex, parse_records, refine, to_bronze
 from paywarden.operators.impute import impute
@@ -425,6 +425,62 @@ def string_index(spark, sf_dir):
     return rows.select(KEY, "type", "transaction", "type_index", "transaction_index")
 
 
+# The account is a category with very many values.
+ACCOUNT_RANKS = """SELECT nameOrig AS value, count(*) AS count,
+       row_number() OVER (ORDER BY count(*) DESC, nameOrig) - 1 AS rank FROM transactions GROUP BY 1"""
+
+
+@query(ACCOUNT_RANKS)
+def category_ranks(spark, sf_dir):
+    """Ranks of all accounts by their frequency, found range by range."""
+    return categories.category_ranks(inputs.transactions(spark, sf_dir), "nameOrig")
+
+
+INDEXED = f"""WITH ranks AS ({ACCOUNT_RANKS})
+SELECT event_id, nameOrig, CAST(rank AS DOUBLE) AS account_index
+FROM transactions JOIN ranks ON nameOrig = value"""
+
+
+@query(INDEXED)
+def string_index_ranked(spark, sf_dir):
+    """The exact index of a category, with no list of its values on the driver."""
+    rows = inputs.transactions(spark, sf_dir).select(KEY, "nameOrig")
+    return categories.with_ranks(rows, "nameOrig", categories.category_ranks(rows, "nameOrig"), "account_index")
+
+
+@query(INDEXED)
+def string_index_shuffled(spark, sf_dir):
+    """The same index for ranks that are too large to broadcast."""
+    rows = inputs.transactions(spark, sf_dir).select(KEY, "nameOrig")
+    ranks = categories.category_ranks(rows, "nameOrig")
+    return categories.with_ranks(rows, "nameOrig", ranks, "account_index", broadcast_bytes=0)
+
+
+SLOTS = 64
+
+
+def slot_sql(column: str) -> str:
+    return f"CAST(CAST('0x' || substr(md5('{column}=' || {column}), 1, 12) AS BIGINT) % {SLOTS} AS BIGINT)"
+
+
+HASHED = ("nameOrig", "type")
+
+
+@query(f"SELECT event_id, {', '.join(f'{slot_sql(c)} AS slot_{c}' for c in HASHED)} FROM transactions")
+def hashed_slots(spark, sf_dir):
+    """Slots of an account and a type by hash."""
+    rows = inputs.transactions(spark, sf_dir).select(KEY, *HASHED)
+    return categories.hashed_counts(rows, HASHED, SLOTS).drop(*HASHED)
+
+
+@query(f"""WITH counted AS ({" UNION ALL ".join(f"SELECT {slot_sql(c)} AS slot, count(*) AS rows FROM transactions GROUP BY 1, {c}" for c in HASHED)})
+SELECT slot, count(*) AS values, CAST(sum(rows) AS BIGINT) AS rows, max(rows) AS most_frequent
+FROM counted GROUP BY slot HAVING count(*) > 1""")
+def hashed_collisions(spark, sf_dir):
+    """Which slots several values share, and how many rows that concerns."""
+    return categories.collisions(inputs.transactions(spark, sf_dir), HASHED, SLOTS)
+
+
 # One row per slot of a one-hot vector: all categories but the last, which is all zeros.
 TYPE_SLOTS = "[CAST(type_rank = k AS DOUBLE) for k in range((SELECT count(*) - 1 FROM types))]"
 PAIR_SLOTS = "[CAST(pair_rank = k AS DOUBLE) for k in range((SELECT count(*) - 1 FROM pairs))]"
@@ -608,25 +664,29 @@ def score_roundtrip(spark, sf_dir):
 @query(f"""SELECT unnest(['accuracy', 'areaUnderROC', 'areaUnderPR']) AS metric, true AS agrees,
        (SELECT count(*) FROM transactions WHERE {TEST_PART}) AS rows""")
 def model_metrics(spark, sf_dir):
-    """The metrics of a model against the same figures from the scored rows by SQL."""
+    """The metrics of a model against the same figures from sums range by range."""
     fitted, test = trained(spark, sf_dir)
     scored = fitted.model.transform(test)
     values = training.metrics(scored)
     rows = scored.select(LABEL, "prediction", vector_to_array("rawPrediction")[1].alias("score"))
-    rows.createOrReplaceTempView("metric_rows")
-    by_sql = spark.sql("""
-        WITH cells AS (SELECT score, sum(label) AS pos, sum(1 - label) AS neg FROM metric_rows GROUP BY score),
-        curve AS (SELECT score, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, sum(pos) OVER () AS p, sum(neg) OVER () AS n
-                  FROM cells WINDOW w AS (ORDER BY score DESC)),
-        points AS (SELECT score, tp / p AS recall, fp / n AS fall, tp / (tp + fp) AS prec FROM curve),
-        steps AS (SELECT *, lag(recall, 1, 0D) OVER w AS r0, lag(fall, 1, 0D) OVER w AS f0, lag(prec, 1, prec) OVER w AS p0
-                  FROM points WINDOW w AS (ORDER BY score DESC))
-        SELECT 'areaUnderROC' AS metric, sum((fall - f0) * (recall + r0) / 2) AS value FROM steps
-        UNION ALL SELECT 'areaUnderPR', sum((recall - r0) * (prec + p0) / 2) FROM steps
-        UNION ALL SELECT 'accuracy', avg(if(label = prediction, 1D, 0D)) FROM metric_rows""")
-    measured = spark.createDataFrame(list(values.items()), "metric STRING, measured DOUBLE")
-    agrees = F.abs(F.col("value") - F.col("measured")) < 1e-9
-    return by_sql.join(measured, "metric").select("metric", agrees.alias("agrees"), F.lit(rows.count()).alias("rows"))
+    found = curves.score_areas(curves.score_curve(rows)).first().asDict()
+    found |= rows.agg(curves.accuracy(rows).alias("accuracy"), F.count("*").alias("rows")).first().asDict()
+    agrees = [(name, abs(found[name] - value) < 1e-9, found["rows"]) for name, value in values.items()]
+    return spark.createDataFrame(agrees, "metric STRING, agrees BOOLEAN, rows BIGINT")
+
+
+CURVE = f"""WITH ruled AS ({RULED}),
+cells AS (SELECT amount AS score, CAST(sum(isFraud) AS BIGINT) AS positives, CAST(sum(1 - isFraud) AS BIGINT) AS negatives FROM ruled GROUP BY 1)
+SELECT score, positives, negatives,
+       CAST(coalesce(sum(positives) OVER before, 0) AS BIGINT) AS above_positives,
+       CAST(coalesce(sum(negatives) OVER before, 0) AS BIGINT) AS above_negatives
+FROM cells WINDOW before AS (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
+
+
+@query(CURVE)
+def score_curve(spark, sf_dir):
+    """Every point of the curves, by sums range by range."""
+    return curves.score_curve(ruled(spark, sf_dir), label="isFraud", score="amount")
 
 
 @query(f"""WITH ruled AS ({RULED}),
@@ -655,6 +715,19 @@ def score_areas(spark, sf_dir):
     return spark.createDataFrame(scores, "metric STRING, value DOUBLE")
 
 
+@query(f"""WITH curve AS ({CURVE}),
+ends AS (SELECT sum(positives) AS p, sum(negatives) AS n FROM curve),
+points AS (SELECT *, (above_positives + positives) / (above_positives + positives + above_negatives + negatives) AS after,
+                  above_positives / nullif(above_positives + above_negatives, 0) AS before FROM curve, ends)
+SELECT round(sum(negatives / n * (2 * above_positives + positives) / 2 / p), 9) AS areaUnderROC,
+       round(sum(positives / p * (after + coalesce(before, after)) / 2), 9) AS areaUnderPR
+FROM points""")
+def score_curve_areas(spark, sf_dir):
+    """The areas below those curves."""
+    curve = curves.score_curve(ruled(spark, sf_dir), label="isFraud", score="amount")
+    return curves.score_areas(curve).select(*[F.round(c, 9).alias(c) for c in ("areaUnderROC", "areaUnderPR")])
+
+
 @query(f"""WITH ruled AS ({RULED})
 SELECT isFraud AS label, prediction, count(*) AS count FROM ruled GROUP BY 1, 2""")
 def confusion_matrix(spark, sf_dir):

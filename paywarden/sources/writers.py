@@ -1,10 +1,13 @@
 """Batch and streaming sinks."""
 
+import uuid
+
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
 from paywarden.functions.records import encode_record
+from paywarden.layout import shared_root
 
 
 def export_json_lines(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -29,3 +32,11 @@ def materialise(df: DataFrame) -> tuple[DataFrame, int]:
     The caller unpersists it."""
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
     return kept, kept.count()
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """The rows from a new table in the shared folder: computed once, however often
+    they are read, and kept when executors are lost."""
+    path = f"{shared_root(df.sparkSession)}/staged-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
