@@ -52,6 +52,14 @@ class Layout:
     def outbox(self) -> str:
         return self._at("gold", "alert_outbox")
 
+    @property
+    def account_parts(self) -> str:
+        return self._at("state", "account_counts")
+
+    @property
+    def account_summary(self) -> str:
+        return self._at("state", "account_summary")
+
     @property
     def model(self) -> str:
         return self._at("model")

@@ -6,7 +6,7 @@ gets null member columns; one whose account is listed twice comes out twice.
 
 from collections.abc import Callable, Collection, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from paywarden.operators.sizing import (
     BROADCAST_BYTES, group_numbers, hot_keys, measured_bytes,
@@ -32,10 +32,21 @@ def join_members(
         return transactions.join(F.broadcast(members), KEY, "left")
     if history is None and not transactions.isStreaming:
         history = transactions
-    width = int(transactions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = {} if history is None else group_numbers(hot_keys(history, KEY, 1 / width), width)
-    crowded = group_numbers(hot_keys(members, KEY, 1 / width), width)
-    return salted_left_join(transactions, members, hot, crowded, width)
+    hot = {} if history is None else hot_keys(history, KEY, hot_share(transactions.sparkSession))
+    return join_by_shuffle(transactions, members, hot)
+
+
+def hot_share(spark: SparkSession) -> float:
+    """The share of the rows from which on an account is worth spreading: an even part of the shuffle."""
+    return 1 / int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def join_by_shuffle(transactions: DataFrame, members: DataFrame, hot: Mapping[str, float]) -> DataFrame:
+    """The join for a member list of any size; `hot` are the shares of accounts with many transactions."""
+    spark = transactions.sparkSession
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    crowded = group_numbers(hot_keys(members, KEY, hot_share(spark)), width)
+    return salted_left_join(transactions, members, group_numbers(hot, width), crowded, width)
 
 
 def salted_left_join(

@@ -5,6 +5,7 @@ of the one before, so any of them can be stopped, restarted or moved alone.
 
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -14,9 +15,10 @@ from pyspark.sql.types import StringType, StructType
 from paywarden.functions import notification as note
 from paywarden.functions.records import content_key
 from paywarden.layout import Layout
-from paywarden.operators.enrich import join_members
+from paywarden.operators.enrich import KEY, hot_share, join_by_shuffle
+from paywarden.operators.hitters import Frequent, refreshed, stream_counters
 from paywarden.operators.hops import parse_records, refine, to_bronze, unparsed_lines
-from paywarden.operators.sizing import BROADCAST_BYTES
+from paywarden.operators.sizing import BROADCAST_BYTES, measured_bytes
 from paywarden.plans.training import known_categories, unscorable
 from paywarden.schemas import BRONZE, FEATURES, RAW, RECORD, with_key
 from paywarden.sources.readers import Admission, stream_table, stream_text, table_exists
@@ -26,6 +28,8 @@ from paywarden.streaming.runner import AVAILABLE_NOW, start_hop
 
 # Name of the key that records without an id get.
 ROW_KEY = "row_key"
+# Hops whose tables are partitioned.
+PARTITIONED = {"bronze": ["dataset"], "account_counts": ["batch"]}
 
 
 def notify(scored: DataFrame) -> DataFrame:
@@ -96,8 +100,28 @@ class Pipeline:
         refined = refine(self._read(self.layout.parsed, self.parsed_schema), self.row_key)
         if self.members is None:
             return refined
-        landed = self.spark.read.format(self.fmt).schema(self.parsed_schema).load(self.layout.parsed)
-        return join_members(refined, self.members, self.broadcast_bytes, history=landed)
+        if not self.shuffled:
+            return refined.join(F.broadcast(self.members), KEY, "left")
+        hot = self.frequent_accounts().shares(hot_share(self.spark))
+        return join_by_shuffle(refined, self.members, hot)
+
+    @cached_property
+    def shuffled(self) -> bool:
+        """Whether the member list measures too much to be broadcast."""
+        return self.members is not None and measured_bytes(self.members) > self.broadcast_bytes
+
+    @property
+    def counters(self) -> int:
+        """Of a summary: four for each account that can be hot, so none is missed, and a thousand at least."""
+        return max(1_024, round(4 / hot_share(self.spark)))
+
+    def account_counts(self) -> DataFrame:
+        """The frequent accounts of each part of the parsed rows."""
+        return stream_counters(self._read(self.layout.parsed, self.parsed_schema), F.col(KEY), self.counters)
+
+    def frequent_accounts(self) -> Frequent:
+        """The frequent accounts of all that was counted so far, kept between runs."""
+        return refreshed(self.spark, self.layout.account_parts, self.layout.account_summary, self.counters)
 
     def skipped(self, enriched: StructType) -> DataFrame:
         """What the model leaves out: a missing input or an unknown category."""
@@ -132,6 +156,8 @@ class Pipeline:
         yield "bronze", self.layout.bronze, lambda _: self.bronze(), True
         yield "lines_unparsed", self.layout.unparsed, lambda _: self.unparsed(), False
         yield "transactions_parsed", self.layout.parsed, lambda _: self.parsed(), True
+        if self.shuffled:
+            yield "account_counts", self.layout.account_parts, lambda _: self.account_counts(), False
         yield "transactions_enriched", self.layout.enriched, lambda _: self.enriched(), True
         if self.model is not None:
             if known_categories(self.model) is not None:
@@ -153,6 +179,9 @@ class Pipeline:
                     # the one partitioned table must have rows by then.
                     filled = source.name.endswith("_bronze")
                     settle(source, lambda: table_exists(self.spark, input_path, schema, self.fmt, filled))
+                if label == "transactions_enriched" and self.shuffled and trigger == AVAILABLE_NOW:
+                    # A run that ends counts first. One that goes on takes the accounts known when it starts.
+                    queries[-1].awaitTermination()
                 stream = stream_of(schema)
                 query = start_hop(
                     stream,
@@ -161,7 +190,7 @@ class Pipeline:
                     name=f"{self.name}_{label}",
                     fmt=self.fmt,
                     trigger=trigger,
-                    partition_by=["dataset"] if label == "bronze" else (),
+                    partition_by=PARTITIONED.get(label, ()),
                 )
                 queries.append(query)
                 if feeds:

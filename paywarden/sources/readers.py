@@ -124,7 +124,7 @@ def stream_table(
 
 
 def table_exists(
-    spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", filled: bool = False
+    spark: SparkSession, path: str, schema: StructType | str, fmt: str = "parquet", filled: bool = False
 ) -> bool:
     """Whether there is a table at a path, on demand only one with rows."""
     try:
