@@ -1,7 +1,8 @@
 """Summary tables for reports, as batch aggregates over refined tables."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from paywarden.operators.partials import Partials
 from paywarden.operators.sizing import BROADCAST_BYTES, measured_bytes
 
 MONEY = "decimal(18,2)"  # summed as decimal: the order of addition cannot matter
@@ -62,3 +63,28 @@ def quarter_revenue(
         .agg(*totals)
         .withColumn("revenue", F.col("revenue").cast(TOTAL))
     )
+
+
+def weekly_sales_parts(spark: SparkSession, path: str, at: str, store: str, amount: str, store_type: str = "bigint") -> Partials:
+    """Weekly sales that are kept up to date part by part."""
+    return Partials(
+        spark,
+        path,
+        lambda lines: weekly_sales(lines, at, store, amount),
+        ("week", "store"),
+        ("sales", "lines"),
+        f"week DATE, store {store_type}, sales {TOTAL}, lines BIGINT",
+    )
+
+
+def quarter_revenue_parts(spark: SparkSession, path: str, customers: DataFrame, **columns) -> Partials:
+    """Revenue per quarter that is kept up to date part by part of the orders. The departments are
+    those of the customers at the time a part is added."""
+    return Partials(
+        spark,
+        path,
+        lambda orders: quarter_revenue(orders, customers, **columns),
+        ("year", "quarter", "department"),
+        ("revenue", "orders"),
+        f"year INT, quarter INT, department STRING, revenue {TOTAL}, orders BIGINT",
+    )

@@ -5,7 +5,7 @@ Queries that write (streams, exports, models) use a new folder below
 `spark.checkpoint.dir` and return the table they read back.
 """
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce, wraps
 
 from pyspark.ml import PipelineModel
@@ -24,6 +24,7 @@ from paywarden.operators import categories, curves, evaluate, gold, profile, sam
 from paywarden.operators.enrich import join_members
 from paywarden.operators.hops import multiplex, parse_records, refine, to_bronze
 from paywarden.operators.impute import impute
+from paywarden.operators.partials import Partials
 from paywarden.operators.prepare import LABEL, label_frame, training_frame
 from paywarden.plans import training
 from paywarden.plans.pipeline import ROW_KEY, Pipeline, notify, outbox
@@ -33,7 +34,8 @@ from paywarden.sources.readers import (
     Admission, count_rows, freshness, read_members_csv, read_table, read_transactions_csv,
     stream_table, stream_text,
 )
-from paywarden.sources.writers import export_csv, export_json_lines, load_model, materialise, save_model
+from paywarden.sources.writers import export_csv, export_json_lines, load_model, materialise, save_model, staged
+from paywarden.streaming.daily import late_events, run_daily_active
 from paywarden.streaming.lifecycle import hop_counts, stop_when_idle
 from paywarden.streaming.runner import CONTINUAL, run_hop
 
@@ -804,23 +806,52 @@ def gold_weekly_sales(spark, sf_dir):
     return gold.weekly_sales(lines, "l_shipdate", "l_suppkey", "l_extendedprice")
 
 
+PARTS = 3
+# Sums after each part, the parts dealt by a number modulo 3 in the order 0, 1, 2.
+AFTER_PART = "(SELECT unnest(range(1, 4)) AS parts) JOIN {rows} ON {number} % 3 < parts"
+
+
+@query(f"""SELECT CAST(parts AS INTEGER) AS parts, CAST(date_trunc('week', l_shipdate) AS DATE) AS week, l_suppkey AS store,
+       CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS sales, count(*) AS lines
+FROM {AFTER_PART.format(rows="lineitem", number="l_orderkey")} GROUP BY 1, 2, 3""")
+def gold_weekly_sales_parts(spark, sf_dir):
+    """Weekly sales after each of three parts, compacted in between, one part given twice."""
+    lines = table(spark, sf_dir, "lineitem")
+    sales = gold.weekly_sales_parts(spark, f"{new_layout(spark).root}/sales", "l_shipdate", "l_suppkey", "l_extendedprice")
+    return after_parts(sales, lines, "l_orderkey")
+
+
+def after_parts(partials: Partials, rows: DataFrame, number: str) -> DataFrame:
+    """The aggregate after each of the parts."""
+    states = []
+    for k in range(PARTS):
+        part = rows.where(F.col(number) % PARTS == k)
+        partials.add(f"part-{k}", part)
+        partials.add(f"part-{k}", part)
+        states.append(staged(partials.read()).select(F.lit(k + 1).alias("parts"), "*"))
+        if k == 1:
+            partials.compact()
+    return reduce(DataFrame.unionAll, states)
+
+
 REVENUE = """SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(quarter(o_orderdate) AS INTEGER) AS quarter,
        c_mktsegment AS department,
        CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS revenue, count(*) AS orders
 FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2, 3"""
 
 
+REVENUE_COLUMNS = {
+    "at": "o_orderdate",
+    "amount": "o_totalprice",
+    "order_customer": "o_custkey",
+    "customer": "c_custkey",
+    "department": "c_mktsegment",
+}
+
+
 def revenue(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    return gold.quarter_revenue(
-        table(spark, sf_dir, "orders"),
-        table(spark, sf_dir, "customer"),
-        at="o_orderdate",
-        amount="o_totalprice",
-        order_customer="o_custkey",
-        customer="c_custkey",
-        department="c_mktsegment",
-        **options,
-    )
+    orders, customers = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    return gold.quarter_revenue(orders, customers, **REVENUE_COLUMNS, **options)
 
 
 @query(REVENUE)
@@ -834,6 +865,67 @@ def gold_quarter_revenue_shuffled(spark, sf_dir):
     return revenue(spark, sf_dir, broadcast_bytes=0)
 
 
+@query(REVENUE.replace("SELECT", "SELECT CAST(parts AS INTEGER) AS parts,", 1)
+       .replace("FROM orders JOIN", f"FROM {AFTER_PART.format(rows='orders', number='o_orderkey')} JOIN").replace("GROUP BY 1, 2, 3", "GROUP BY 1, 2, 3, 4"))
+def gold_quarter_revenue_parts(spark, sf_dir):
+    """The revenue after each of three parts of the orders."""
+    path = f"{new_layout(spark).root}/revenue"
+    kept = gold.quarter_revenue_parts(spark, path, table(spark, sf_dir, "customer"), **REVENUE_COLUMNS)
+    return after_parts(kept, table(spark, sf_dir, "orders"), "o_orderkey")
+
+
+# Days of the events that are cut in three, and some that come a day after their third.
+DAY_OF = "date_diff('day', DATE '2024-01-01', CAST(ts AS DATE))"
+CUTS = (10, 20)
+
+
+def landed_events(spark: SparkSession, sf_dir: str, too_late: bool = False) -> Iterator[str]:
+    """A folder of events, each time with a third more of the days; some events of a third's
+    last day come with the next third, on demand some of its first days with the last.
+
+    At last an event much later than all, without a user, which closes the days."""
+    rows = table(spark, sf_dir, "events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"))
+    day = F.datediff(F.to_date("ts"), F.lit(inputs.EPOCH).cast("date"))
+    third = sum((day >= F.when(F.col("event_id") % 50 == 0, c + 1).otherwise(c)).cast("int") for c in CUTS)
+    if too_late:
+        third = F.when((day < 5) & (F.col("event_id") % 7 == 0), 2).otherwise(third)
+    path = f"{new_layout(spark).root}/events"
+    for part in range(3):
+        rows.where(third == part).write.mode("append").parquet(path)
+        yield path
+    end = rows.agg(F.lit(None).cast("bigint").alias("event_id"), F.lit(None).cast("bigint").alias("user_id"),
+                   (F.max("ts") + F.expr("INTERVAL 1000 DAYS")).alias("ts"))
+    end.write.mode("append").parquet(path)
+    yield path
+
+
+def daily_stream(spark: SparkSession, sf_dir: str, too_late: bool) -> tuple[str, str]:
+    """Folder of the events and path of the daily table, which a run after each part has extended."""
+    layout = new_layout(spark)
+    daily = f"{layout.root}/daily"
+    for path in landed_events(spark, sf_dir, too_late):
+        events = stream_table(spark, path, "event_id BIGINT, user_id BIGINT, ts TIMESTAMP")
+        run_daily_active(events, daily, layout.checkpoint("daily"))
+    return path, daily
+
+
+@query("""SELECT CAST(ts AS DATE) AS day, count(DISTINCT user_id) AS active_users, count(*) AS events
+FROM events GROUP BY 1""")
+def gold_daily_active_stream(spark, sf_dir):
+    """The daily table from a stream that is cut in three, with a restart after each part."""
+    return read_table(spark, daily_stream(spark, sf_dir, too_late=False)[1])
+
+
+@query(f"""SELECT CAST(ts AS DATE) AS day, count(*) AS landed,
+       count(*) FILTER ({DAY_OF} >= 5 OR event_id % 7 <> 0) AS counted,
+       count(*) FILTER ({DAY_OF} < 5 AND event_id % 7 = 0) AS late
+FROM events GROUP BY 1 HAVING counted > 0""")
+def gold_daily_late(spark, sf_dir):
+    """Events that come for days that are closed, by day."""
+    path, daily = daily_stream(spark, sf_dir, too_late=True)
+    return late_events(read_table(spark, path).where(F.col("event_id").isNotNull()), read_table(spark, daily))
+
+
 # --- streams ----------------------------------------------------------------------
 
 

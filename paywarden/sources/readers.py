@@ -108,7 +108,7 @@ def stream_text(
 def stream_table(
     spark: SparkSession,
     path: str,
-    schema: StructType,
+    schema: StructType | str,
     fmt: str = "parquet",
     admission: Admission = Admission(),
     max_file_age: str = ANY_AGE,
