@@ -2,6 +2,8 @@
 
 import re
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -67,6 +69,25 @@ def _property(spark: SparkSession, database: str, name: str) -> str | None:
     return found[1] if found else None
 
 
+@contextmanager
+def settings_kept(spark: SparkSession, *names: str) -> Iterator[None]:
+    """Settings of the session are afterwards as they were before."""
+    before = {name: spark.conf.get(name, None) for name in names}
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+# The settings that `tune_session` sets.
+TUNED = (
+    "spark.sql.shuffle.partitions",
+    "spark.sql.adaptive.enabled",
+    "spark.sql.execution.arrow.pyspark.enabled",
+)
+
+
 def tune_session(spark: SparkSession, input_bytes: int = 0) -> int:
     """Set the shuffle width to one partition per core, or wider for a large
     input. Adaptive execution stays on and merges partitions that turn out small."""

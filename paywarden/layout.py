@@ -52,6 +52,14 @@ class Layout:
     def outbox(self) -> str:
         return self._at("gold", "alert_outbox")
 
+    @property
+    def archive(self) -> str:
+        return self._at("archive")
+
+    @property
+    def history(self) -> str:
+        return self._at("state", "batches")
+
     @property
     def account_parts(self) -> str:
         return self._at("state", "account_counts")

@@ -19,12 +19,17 @@ def class_report(
     """Precision, recall, F1 and support per class, then the rows `accuracy`,
     `macro avg` and `weighted avg`. A ratio with nothing to divide by is 0.
 
+    Rows that have no label cannot be judged, and rows without a prediction were not:
+    neither are in any of these figures. If there are some, a row `no label` or
+    `no prediction` counts them in `support`.
+
     The scored rows are read once; everything after the confusion counts works
     on one row per class.
     """
+    cells = kept_apart(confusion(scored, label, prediction))
     n, hit = F.col("count"), F.when(F.col("label") == F.col("prediction"), F.col("count"))
     per_class = (
-        confusion(scored, label, prediction)
+        cells.where(F.col("apart").isNull())
         .select(
             F.explode(
                 F.array(
@@ -51,7 +56,7 @@ def class_report(
     )
     scores = ("precision", "recall", "f1")
     support = F.sum("support").alias("support")
-    cells = per_class.groupingSets([["class"], []], "class").agg(
+    totals = per_class.groupingSets([["class"], []], "class").agg(
         F.grouping("class").alias("overall"),
         support,
         _ratio(F.sum("hits"), F.sum("support")).alias("accuracy"),
@@ -71,7 +76,17 @@ def class_report(
             _row(F.lit("weighted avg"), *[F.col(f"weighted_{s}") for s in scores]),
         )
     )
-    return cells.select(F.inline(rows))
+    apart = cells.where(F.col("apart").isNotNull()).groupBy("apart").agg(F.sum("count").alias("support"))
+    none = [F.lit(None)] * 3
+    others = apart.select(F.inline(F.array(_row(F.col("apart"), *none))))
+    # Without a row to judge there are no totals either.
+    return totals.where((F.col("overall") == 0) | F.col("support").isNotNull()).select(F.inline(rows)).unionAll(others)
+
+
+def kept_apart(cells: DataFrame) -> DataFrame:
+    """Confusion counts with the reason, in `apart`, why a cell is not judged."""
+    apart = F.when(F.col("label").isNull(), "no label").when(F.col("prediction").isNull(), "no prediction")
+    return cells.withColumn("apart", apart)
 
 
 def _row(name: Column, precision: Column, recall: Column, f1: Column) -> Column:

@@ -21,7 +21,9 @@ from paywarden.operators.hops import parse_records, refine, to_bronze, unparsed_
 from paywarden.operators.sizing import BROADCAST_BYTES, measured_bytes
 from paywarden.plans.training import known_categories, unscorable
 from paywarden.schemas import BRONZE, FEATURES, RAW, RECORD, with_key
+from paywarden.sources.landing import archive_files, landed_files
 from paywarden.sources.readers import Admission, stream_table, stream_text, table_exists
+from paywarden.streaming.history import BatchHistory
 from paywarden.streaming.lifecycle import await_table
 from paywarden.streaming.runner import AVAILABLE_NOW, start_hop
 
@@ -65,6 +67,8 @@ class Pipeline:
     admission  limit on the input of one micro-batch, for every hop
     fmt        table format, streaming-capable
     name       prefix of the query names
+    archive    whether landed files go to the archive folder once they are ingested
+    history    whether `run` keeps a table of all batches
     """
 
     spark: SparkSession
@@ -77,9 +81,13 @@ class Pipeline:
     fmt: str = "parquet"
     name: str = "paywarden"
     broadcast_bytes: int = BROADCAST_BYTES
+    archive: bool = False
+    history: bool = False
 
     def bronze(self) -> DataFrame:
-        return to_bronze(stream_text(self.spark, self.layout.source, self.admission))
+        # The source cleans up after a batch when it begins the next one.
+        clean = {"cleanSource": "archive", "sourceArchiveDir": self.layout.archive} if self.archive else None
+        return to_bronze(stream_text(self.spark, self.layout.source, self.admission, clean=clean))
 
     @property
     def row_key(self) -> list[str]:
@@ -138,12 +146,25 @@ class Pipeline:
         return alerts.hint("rebalance")
 
     def run(self) -> list[StreamingQuery]:
-        """Process what is there now, hop after hop, and end."""
-        queries = self._start(AVAILABLE_NOW, lambda query, there: query.awaitTermination())
+        """Process what is there now, hop after hop, and end.
+
+        A run takes all files that are there when it begins, so these are archived after it; a run that
+        was cut off before leaves them to the next.
+        """
+        files = landed_files(self.spark, self.layout.source) if self.archive else []
+        kept = self.batches() if self.history else None
+        settle = kept.watch if kept else StreamingQuery.awaitTermination
+        queries = self._start(AVAILABLE_NOW, lambda query, there: settle(query))
         for query in queries:
-            query.awaitTermination()
+            settle(query)
+        if files:
+            archive_files(self.spark, files, self.layout.archive)
         return queries
 
+    def batches(self) -> BatchHistory:
+        """The batches of all runs that kept them."""
+        return BatchHistory(self.spark, self.layout.history)
+
     def start(self, trigger: dict) -> list[StreamingQuery]:
         """Start all hops to run side by side. The next hop is started once its
         input exists: at once after a restart, else when the hop before has

@@ -5,6 +5,8 @@ Queries that write (streams, exports, models) use a new folder below
 `spark.checkpoint.dir` and return the table they read back.
 """
 
+import re
+import uuid
 from collections.abc import Callable, Iterator
 from functools import reduce, wraps
 
@@ -14,7 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from paywarden import inputs
-from paywarden.catalog import current_user, database_name, prepare_home, tune_session, widen_shuffles
+from paywarden.catalog import TUNED, prepare_home, settings_kept, tune_session, widen_shuffles
 from paywarden.functions import notification as note
 from paywarden.functions.features import party_pair
 from paywarden.functions.records import decode_record
@@ -32,12 +34,12 @@ from paywarden.plans.views import register_views
 from paywarden.schemas import BRONZE, TRANSACTIONS
 from paywarden.sources.readers import (
     Admission, count_rows, freshness, read_members_csv, read_table, read_transactions_csv,
-    stream_table, stream_text,
+    stream_table, stream_text, table_exists,
 )
 from paywarden.sources.writers import export_csv, export_json_lines, load_model, materialise, save_model, staged
 from paywarden.streaming.daily import late_events, run_daily_active
-from paywarden.streaming.lifecycle import hop_counts, stop_when_idle
-from paywarden.streaming.runner import CONTINUAL, run_hop
+from paywarden.streaming.lifecycle import await_table, hop_counts, stop_queries, stop_when_idle
+from paywarden.streaming.runner import CONTINUAL, preview, run_hop, start_hop
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -280,18 +282,29 @@ def source_files(spark, sf_dir):
     )
 
 
-@query("SELECT *, true AS own_database FROM transactions")
+@query("""SELECT *, true AS own_database, true AS legal_name, true AS of_the_user, true AS settings_back FROM transactions""")
 def home_table(spark, sf_dir):
-    """A table in the user's own database, made anew, tuned for, written, and found again by a later set-up."""
+    """A table in a database of the user's own, made anew, tuned for, written, found again by a later
+    set-up, and cleaned up; the session is afterwards as it was."""
     before = spark.catalog.currentDatabase()
+    tuned = {name: spark.conf.get(name, None) for name in TUNED}
+    root = shared_root(spark)
+    project = f"my-app {uuid.uuid4().hex}"  # of this run alone, as a reset drops the database of the name
     try:
-        home = prepare_home(spark, shared_root(spark), "my-app", "reset")
-        tune_session(spark)
-        path = f"{home.layout.root}/transactions"
-        inputs.transactions(spark, sf_dir).write.option("path", path).saveAsTable("transactions")
-        again = prepare_home(spark, shared_root(spark), "my-app", "setup")
-        same = again == home and home.database == database_name("my-app", current_user(spark))
-        return spark.table(f"`{home.database}`.transactions").withColumn("own_database", F.lit(same))
+        with settings_kept(spark, *TUNED):
+            home = prepare_home(spark, root, project, "reset")
+            tune_session(spark)
+            path = f"{home.layout.root}/transactions"
+            inputs.transactions(spark, sf_dir).write.option("path", path).saveAsTable("transactions")
+        again = prepare_home(spark, root, project, "setup")
+        same = again == home and spark.catalog.tableExists(f"`{home.database}`.transactions")
+        legal = re.fullmatch(r"my_app_[0-9a-f]{32}_[a-zA-Z0-9_]+_db", home.database) is not None
+        user = spark.sparkContext.sparkUser()
+        owned = home.user == user and home.layout.root.startswith(f"{root}/{user}/{project}/")
+        prepare_home(spark, root, project, "cleanup")
+        back = tuned == {name: spark.conf.get(name, None) for name in TUNED}
+        found = {"own_database": same, "legal_name": legal, "of_the_user": owned, "settings_back": back}
+        return read_table(spark, path).withColumns({name: F.lit(value) for name, value in found.items()})
     finally:
         spark.sql(f"USE `{before}`")
 
@@ -763,6 +776,26 @@ def class_report(spark, sf_dir):
     return report.withColumns({c: F.round(c, 9) for c in ("precision", "recall", "f1")})
 
 
+UNJUDGED = f"""SELECT CASE WHEN event_id % 41 = 3 THEN NULL ELSE isFraud END AS isFraud,
+       CASE WHEN event_id % 29 = 7 THEN NULL ELSE prediction END AS prediction FROM ({RULED})"""
+CLASS_REPORT = ORACLE["class_report"]
+
+
+@query(f"""WITH unjudged AS ({UNJUDGED}),
+{CLASS_REPORT[CLASS_REPORT.index("classes AS"):].replace("FROM ruled, classes", "FROM unjudged, classes WHERE isFraud IS NOT NULL AND prediction IS NOT NULL")}
+UNION ALL
+SELECT CASE WHEN isFraud IS NULL THEN 'no label' ELSE 'no prediction' END, NULL, NULL, NULL, count(*)
+FROM unjudged WHERE isFraud IS NULL OR prediction IS NULL GROUP BY 1""")
+def class_report_unjudged(spark, sf_dir):
+    """The report on rows of which some have no label and some no prediction."""
+    event = F.col(KEY)
+    rows = ruled(spark, sf_dir).withColumns({
+        "isFraud": F.when(event % 41 != 3, F.col("isFraud")), "prediction": F.when(event % 29 != 7, F.col("prediction")),
+    })
+    report = evaluate.class_report(rows, label="isFraud")
+    return report.withColumns({c: F.round(c, 9) for c in ("precision", "recall", "f1")})
+
+
 # --- notification -----------------------------------------------------------------
 
 
@@ -1087,6 +1120,76 @@ def stream_progress(spark, sf_dir):
     )
 
 
+@query("SELECT event_id, 1::BIGINT AS ingested, 1::BIGINT AS archived, 0::BIGINT AS landed FROM transactions")
+def landing_archived(spark, sf_dir):
+    """Where each record is after two runs: once in the raw table, once in the archive, and not in the landing folder."""
+    layout = new_layout(spark)
+    for half in (0, 1):
+        inputs.land_half(spark, sf_dir, layout, half)
+        Pipeline(spark, layout, record=KEYED_RECORD, key=[KEY], name="archiving", archive=True).run()
+    lines = spark.read.schema("data STRING").option("recursiveFileLookup", True)
+    places = {"ingested": read_table(spark, layout.bronze), "archived": lines.text(layout.archive), "landed": lines.text(layout.source)}
+    ids = [
+        rows.select(decode_record("data", KEYED_RECORD).getField(KEY).alias(KEY), F.lit(name).alias("place")) for name, rows in places.items()
+    ]
+    counts = [F.count_if(F.col("place") == name).alias(name) for name in places]
+    return reduce(DataFrame.unionAll, ids).groupBy(KEY).agg(*counts)
+
+
+@query("SELECT name, (SELECT count(*) FROM transactions) AS rows, true AS every_batch FROM (VALUES ('bronze'), ('transactions_parsed')) AS hops(name)")
+def batch_history(spark, sf_dir):
+    """Rows of all batches of two hops, file by file, where Spark itself remembers two batches."""
+    layout = inputs.land_transactions(spark, sf_dir)
+    inner = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(inner)
+    spark.conf.set(inner, "2")
+    try:
+        job = Pipeline(spark, layout, record=KEYED_RECORD, key=[KEY], admission=Admission(max_files=1), name="kept", history=True)
+        job.run()
+    finally:
+        spark.conf.set(inner, before)
+    kept = job.batches().read().where(F.col("name").isin("kept_bronze", "kept_transactions_parsed"))
+    every = (F.count("rows") == F.max("batch") + 1) & (F.count_distinct("batch") == F.max("batch") + 1)
+    return kept.groupBy(F.substring_index("name", "kept_", -1).alias("name")).agg(F.sum("rows").alias("rows"), every.alias("every_batch"))
+
+
+PREVIEWED = 100
+
+
+@query(f"SELECT least(count(*), {PREVIEWED}) AS rows, true AS distinct_rows, true AS of_the_stream FROM transactions")
+def stream_preview(spark, sf_dir):
+    """The first rows of a stream through the in-memory table, bounded, and each of them one of its rows."""
+    source = inputs.land_transactions(spark, sf_dir).source
+    stream = parse_records(to_bronze(stream_text(spark, source)), KEYED_RECORD)
+    seen = staged(preview(stream, f"preview_{uuid.uuid4().hex}", PREVIEWED))
+    there = seen.join(inputs.transactions(spark, sf_dir).select(KEY, F.lit(True).alias("there")), KEY, "left")
+    return there.agg(
+        F.count("*").alias("rows"), (F.count_distinct(KEY) == F.count("*")).alias("distinct_rows"),
+        (F.count("there") == F.count("*")).alias("of_the_stream"),
+    )
+
+
+@query("""SELECT name, stopped, (SELECT count(*) FROM transactions) AS rows
+FROM (VALUES ('mine_a', 1), ('mine_b', 1), ('other', 2)) AS t(name, stopped)""")
+def stopped_streams(spark, sf_dir):
+    """Queries stopped by the prefix of their name (1), and then all others of the run (2), and what each had written."""
+    layout = inputs.land_transactions(spark, sf_dir)
+    run = f"run{uuid.uuid4().hex[:8]}"
+    names = {f"{run}_{name}": name for name in ("mine_a", "mine_b", "other")}
+    started = [
+        start_hop(to_bronze(stream_text(spark, layout.source)), f"{layout.root}/{short}", layout.checkpoint(short), name=name, trigger=CONTINUAL)
+        for name, short in names.items()
+    ]
+    for query in started:
+        await_table(query, lambda at=names[query.name]: table_exists(spark, f"{layout.root}/{at}", BRONZE, filled=True))
+    order = {name: 1 for name in stop_queries(spark, f"{run}_mine_")}
+    still = [q.name for q in started if q.isActive]
+    order |= {name: 2 for name in stop_queries(spark, run) if name in still}
+    rows = spark.createDataFrame([(names[n], k) for n, k in order.items()], "name STRING, stopped INT")
+    counts = hop_counts(spark, {short: f"{layout.root}/{short}" for short in names.values()})
+    return rows.join(counts, rows["name"] == counts["hop"]).select("name", "stopped", "rows")
+
+
 @query(ENRICHED)
 def restart_once(spark, sf_dir):
     """Half lands, a run, the rest lands, a run, and one without new input: each row once."""

@@ -99,13 +99,13 @@ def _any_new_batch(queries: list[StreamingQuery], seen: dict[str, int]) -> bool:
     new = False
     for q in queries:
         for p in q.recentProgress:
-            if _ran_batch(p) and p.batchId > seen.get(q.id, -1):
+            if ran_batch(p) and p.batchId > seen.get(q.id, -1):
                 seen[q.id] = p.batchId
                 new = True
     return new
 
 
-def _ran_batch(progress: StreamingQueryProgress) -> bool:
+def ran_batch(progress: StreamingQueryProgress) -> bool:
     """Whether the progress is of a batch, and not of a look at an idle source.
     The number of rows does not tell: a filter that the scan applies by itself
     can leave none of a batch."""

@@ -62,10 +62,10 @@ def run_hop(stream: DataFrame, path: str, checkpoint: str, **options) -> Streami
     return query
 
 
-def preview(stream: DataFrame, name: str, rows: int = 1000) -> StreamingQuery:
-    """Show the first rows of a stream as the in-memory table `name`. The driver
-    holds them, hence the limit."""
-    return (
+def preview(stream: DataFrame, name: str, rows: int = 1000) -> DataFrame:
+    """The first rows of a stream that is there now, as they come, from the in-memory table `name`. The
+    driver holds them, hence the limit."""
+    query = (
         stream.limit(rows)
         .writeStream.format("memory")
         .queryName(name)
@@ -73,13 +73,11 @@ def preview(stream: DataFrame, name: str, rows: int = 1000) -> StreamingQuery:
         .trigger(**AVAILABLE_NOW)
         .start()
     )
+    query.awaitTermination()
+    return stream.sparkSession.table(name)
 
 
-def to_console(stream: DataFrame, rows: int = 20) -> StreamingQuery:
-    """Print the first rows of each batch. A debugging help."""
-    return (
-        stream.writeStream.format("console")
-        .option("numRows", rows)
-        .trigger(**AVAILABLE_NOW)
-        .start()
-    )
+def to_console(stream: DataFrame, checkpoint: str | None = None, rows: int = 20) -> StreamingQuery:
+    """Print the first rows of each batch. A debugging help; with a checkpoint it goes on where it ended."""
+    writer = stream.writeStream.format("console").option("numRows", rows).trigger(**AVAILABLE_NOW)
+    return (writer.option("checkpointLocation", checkpoint) if checkpoint else writer).start()

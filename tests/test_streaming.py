@@ -13,8 +13,10 @@ from paywarden.operators.prepare import training_frame
 from paywarden.plans import training
 from paywarden.plans.pipeline import ROW_KEY, Pipeline, notify
 from paywarden.plans.views import register_views
+from paywarden.sources.landing import archive_files, landed_files
 from paywarden.sources.readers import Admission, freshness, read_table, stream_text
 from paywarden.sources.writers import export_json_lines
+from paywarden.streaming.history import BatchHistory
 from paywarden.streaming.lifecycle import hop_counts, progress_frame, stop_queries, stop_when_idle
 from paywarden.streaming.runner import CONTINUAL, preview, run_hop, start_hop, to_console
 from tests.conftest import plan, rows
@@ -300,11 +302,67 @@ def test_status_and_last_progress(spark, given, layout):
 def test_preview_and_console(spark, given, layout):
     land(given, layout)
     raw = stream_text(spark, layout.source)
-    preview(raw, "peek").awaitTermination()
-    assert spark.table("peek").count() == given.count()
-    console = to_console(raw, rows=3)
-    console.awaitTermination()
-    assert console.lastProgress.numInputRows == given.count()
+    assert preview(raw, "peek").count() == given.count() == spark.table("peek").count()
+    assert preview(raw, "few", rows=7).count() == 7
+    read = []
+    for _ in range(2):  # with its checkpoint, a second console has nothing left to print
+        console = to_console(raw, layout.checkpoint("console"), rows=3)
+        console.awaitTermination()
+        read.append(sum(p.numInputRows for p in console.recentProgress))
+    assert read == [given.count(), 0]
+
+
+def test_batches_are_kept_beyond_those_that_spark_keeps(spark, given, layout):
+    land(given, layout, files=9)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        runs = job(spark, layout, admission=Admission(max_files=1), history=True, name="long")
+        queries = runs.run()
+        land(given.limit(5), layout)
+        runs.run()
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert all(len(q.recentProgress) <= 2 for q in queries)
+    kept = runs.batches().read()
+    bronze = kept.where("name = 'long_bronze'").orderBy("batch").collect()
+    assert [r["batch"] for r in bronze] == list(range(len(bronze))) and len(bronze) >= 9
+    assert sum(r["rows"] for r in bronze) == given.count() + 5
+    assert all(r["duration_ms"] >= 0 and r["started_at"] for r in bronze)
+    assert kept.select("name").distinct().count() == len(queries)
+
+
+def test_a_batch_between_two_looks_leaves_a_gap(spark, layout):
+    class Progress:
+        def __init__(self, batch, rows):
+            self.batchId, self.numInputRows, self.batchDuration, self.timestamp = batch, rows, 1, "t"
+            self.durationMs = {"addBatch": 1}
+
+    class Query:
+        name, id = "q", "id"
+
+    history = BatchHistory(spark, layout.history)
+    assert history.read().count() == 0 and history.flush() == 0
+    for seen in ([Progress(3, 5), Progress(4, 6)], [Progress(4, 6), Progress(5, 1)], [Progress(8, 2)], []):
+        Query.recentProgress = seen
+        history.look(Query)
+    assert history.flush() == 6
+    assert rows(history.read(), "batch", "rows") == [(3, 5), (4, 6), (5, 1), (6, None), (7, None), (8, 2)]
+
+
+def test_landed_files_go_to_the_archive(spark, given, layout):
+    runs = job(spark, layout, archive=True, name="archived")
+    for half in (0, 1):
+        land(given.where(F.col(KEY) % 2 == half), layout, files=2)
+        assert len(landed_files(spark, layout.source)) == 2
+        runs.run()
+        assert landed_files(spark, layout.source) == []
+    runs.run()
+    archived = spark.read.option("recursiveFileLookup", True).schema("data STRING").text(layout.archive)
+    assert archived.count() == given.count() == read_table(spark, layout.bronze).count()
+    assert landed_files(spark, layout.source + "/nowhere") == []
+    land(given.limit(1), layout)
+    (file,) = landed_files(spark, layout.source)
+    assert archive_files(spark, [file, file], layout.archive) == 1  # the second time it is gone
 
 
 def test_views_over_a_stream(spark, given, members, model, layout):
