@@ -1,7 +1,10 @@
 """N-gram Jaccard join with adaptive multi-match prefixes.
 
-Shingles are ordered from rare to frequent by a sketch of document counts over all
-documents. A document's base prefix holds a shingle of every document that is
+Shingles are ordered from rare to frequent by the smaller of two bounds on the number
+of documents that hold them, from sketches of all documents: how many have a shingle of
+the same counter, and how often the rarest of its words occurs. The first tells frequent
+phrases of frequent words; the second still tells rare from frequent when there are many more
+shingles than counters, as words are far fewer. A document's base prefix holds a shingle of every document that is
 similar enough. Where the prefix has frequent shingles, and so many candidates, it is
 made longer by l - 1 shingles; then two documents must share as many prefix shingles
 as the smaller of their two l, before they are verified on their whole sets.
@@ -32,8 +35,8 @@ from paywarden.llm.storage import unused, written
 from paywarden.llm.words import SOLID, chained, hashed_words, text_slices
 from paywarden.operators.sizing import measured_bytes
 
-SKETCH_BITS = 24  # counters of the sketch, a byte each; it decides the order only, never a result
-SLICES = 64  # parts that the sketch is summed in
+SKETCH_BITS = 24  # counters of a sketch, a byte each; it decides the order only, never a result
+SLICES = 128  # parts that the two sketches are summed in
 STEPS = 12  # of a byte for each doubling of a count
 MOST_MATCHES = 4  # largest l
 VERIFY_COST = 20  # of a candidate, in postings read
@@ -42,23 +45,41 @@ BLOCK_SHINGLES = 400_000  # of a block of texts
 BLOCK_PREFIXES = 400_000  # shingles of a block of prefixes
 
 
-def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> list[np.ndarray]:
-    """The sorted distinct shingles of each text; a text of fewer words is one shingle, one without words has none."""
+COUNTER = np.uint64(64 - SKETCH_BITS)
+
+
+def shingle_sets(
+    data: np.ndarray, offsets: np.ndarray, width: int, words: np.ndarray | None = None
+) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """The sorted distinct shingles of each text, and for each shingle the least of what `words` has for its words.
+
+    A text of fewer words is one shingle, one without words has none. Without `words`
+    there are no bounds.
+    """
     hashes, firsts = hashed_words(data, offsets, SOLID)
-    grams = chained(*(hashes[k : len(hashes) - width + 1 + k] for k in range(width))) if len(hashes) >= width else hashes[:0]
-    out = []
+    whole = len(hashes) >= width
+    grams = chained(*(hashes[k : len(hashes) - width + 1 + k] for k in range(width))) if whole else hashes[:0]
+    bounds = None if words is None else words[hashes >> COUNTER]
+    least = bounds
+    if bounds is not None and whole:
+        least = np.minimum.reduce([bounds[k : len(hashes) - width + 1 + k] for k in range(width)])
+    sets, found = [], []
     for a, b in zip(firsts[:-1].tolist(), firsts[1:].tolist()):
-        if b - a >= width:
-            out.append(np.unique(grams[a : b - width + 1]))
-        elif b > a:
-            out.append(chained(*(hashes[k : k + 1] for k in range(a, b))))
+        if b - a >= width and least is None:
+            sets.append(np.unique(grams[a : b - width + 1]))
+        elif b - a >= width:
+            some, at = np.unique(grams[a : b - width + 1], return_index=True)
+            sets.append(some)
+            found.append(least[a + at])
         else:
-            out.append(hashes[:0])
-    return out
+            sets.append(chained(*(hashes[k : k + 1] for k in range(a, b))) if b > a else hashes[:0])
+            if bounds is not None:
+                found.append(bounds[a:b].min(initial=255, keepdims=True)[: len(sets[-1])])
+    return sets, found
 
 
 class Prefixes:
-    """Prefixes by the sketch, for a similarity of `percent`."""
+    """Prefixes by the sketches, for a similarity of `percent`."""
 
     def __init__(self, steps: np.ndarray, percent: int):
         self.steps, self.percent = steps, percent
@@ -68,12 +89,20 @@ class Prefixes:
     def least_overlap(self, n: int) -> int:
         return -(-self.percent * n // 100)
 
-    def of(self, shingles: np.ndarray) -> np.ndarray:
-        """The prefix, from rare to frequent; how much longer it is than the base prefix tells l."""
+    def of(self, shingles: np.ndarray, bounds: np.ndarray | None = None) -> np.ndarray:
+        """The prefix, from rare to frequent; how much longer it is than the base prefix tells l.
+
+        `bounds` are those of the words, on the scale of the sketch.
+        """
         n = len(shingles)
         if not n:
             return shingles
-        counts = self.steps[shingles >> np.uint64(64 - SKETCH_BITS)]
+        counts = self.steps[shingles >> COUNTER]
+        # A word that occurs less often than shingles share a counter says more than the counter.
+        expected = np.maximum(self.counts[counts] - self.load, 0.0)
+        if bounds is not None:
+            counts = np.minimum(counts, bounds)
+            expected = np.minimum(expected, self.counts[bounds])
         base, most = n - self.least_overlap(n) + 1, min(MOST_MATCHES, self.least_overlap(n))
         longest = base + most - 1
         near = np.argpartition(counts, longest - 1)[:longest] if longest < n else np.arange(n)
@@ -81,7 +110,7 @@ class Prefixes:
             rim = counts[near].max()
             near = np.concatenate([np.flatnonzero(counts < rim), np.flatnonzero(counts == rim)])
         order = near[np.lexsort((shingles[near], counts[near]))][:longest]
-        read = np.cumsum(np.maximum(self.counts[counts[order]] - self.load, 0.0))[base - 1 :]
+        read = np.cumsum(expected[order])[base - 1 :]
         cost = read * (1 + VERIFY_COST / np.arange(1, most + 1))
         matches = int(np.argmin(cost)) + 1
         return shingles[order[: base + matches - 1]]
@@ -102,19 +131,24 @@ def unpacked_counts(data: bytes) -> np.ndarray:
     return counts
 
 
-def sketch(docs: DataFrame, width: int) -> np.ndarray:
-    """How many documents have shingles of each counter, on a scale of bytes. The result has a fixed size."""
+def sketches(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """How many documents have shingles of each counter, and how often words of each occur, on a scale of bytes.
+
+    The result has a fixed size.
+    """
     size = 1 << SKETCH_BITS
     texts = docs.select(docs["text"].cast("string").alias("_text"))
     salts = int(np.ceil(np.sqrt(texts.rdd.getNumPartitions())))  # so that neither sum has many parts
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, task = np.zeros(size, np.uint32), 0
+        total, task = np.zeros(2 * size, np.uint32), 0
         for batch in batches:
             for _, data, offsets in text_slices(batch.column(0)):
                 task ^= xxhash.xxh32_intdigest(data[:4096])
-                found = np.concatenate(shingle_sets(data, offsets, width))
-                np.add.at(total, (found >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), np.uint32(1))
+                sets, _ = shingle_sets(data, offsets, width)
+                words, _ = hashed_words(data, offsets, SOLID)
+                np.add.at(total, (np.concatenate(sets) >> COUNTER).astype(np.int64), np.uint32(1))
+                np.add.at(total, (words >> COUNTER).astype(np.int64) + size, np.uint32(1))
         if total.any():
             parts = [packed_counts(x) for x in np.split(total, SLICES)]
             yield pa.RecordBatch.from_arrays(
@@ -123,7 +157,7 @@ def sketch(docs: DataFrame, width: int) -> np.ndarray:
             )
 
     def summed(rows: pd.DataFrame) -> np.ndarray:
-        return sum(map(unpacked_counts, rows["counts"]), np.zeros(size // SLICES, np.int64))
+        return sum(map(unpacked_counts, rows["counts"]), np.zeros(2 * size // SLICES, np.int64))
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"slice": rows["slice"].iloc[:1], "salt": [0], "counts": [packed_counts(summed(rows))]})
@@ -135,10 +169,10 @@ def sketch(docs: DataFrame, width: int) -> np.ndarray:
     schema = "slice int, salt int, counts binary"
     parts = texts.mapInArrow(count, schema)
     sums = parts.groupBy("slice", "salt").applyInPandas(add, schema).groupBy("slice").applyInPandas(finish, schema)
-    out = np.zeros((SLICES, size // SLICES), np.uint8)
-    for row in sums.collect():  # SLICES rows, 16 MB together
+    out = np.zeros((SLICES, 2 * size // SLICES), np.uint8)
+    for row in sums.collect():  # SLICES rows, 32 MB together
         out[row["slice"]] = np.frombuffer(row["counts"], np.uint8)
-    return out.ravel()
+    return out.ravel()[:size], out.ravel()[size:]
 
 
 def gathered(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -179,14 +213,14 @@ class PrefixIndex:
         return near[100 * np.minimum(sizes, self.sizes[x]) >= self.percent * np.maximum(sizes, self.sizes[x])]
 
 
-def forest(sets: list[np.ndarray], prefixes: Prefixes, sides: np.ndarray | None) -> list[tuple[int, int]]:
+def forest(sets: list[np.ndarray], chosen: list[np.ndarray], percent: int, sides: np.ndarray | None) -> list[tuple[int, int]]:
     """Links that join the components of the sets, as (smallest of the component, other).
 
-    `sides` (0 or 1) limits the comparison to pairs across; None compares all.
+    `chosen` are their prefixes. `sides` (0 or 1) limits the comparison to pairs across; None compares all.
     """
-    percent, n = prefixes.percent, len(sets)
+    n = len(sets)
     sizes = np.array([len(s) for s in sets])
-    index = PrefixIndex([prefixes.of(s) for s in sets], sizes, percent)
+    index = PrefixIndex(chosen, sizes, percent)
     root = np.arange(n)
     # Whole sets as postings, for nodes with many candidates.
     whole = np.concatenate(sets)
@@ -255,15 +289,16 @@ def placed(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """
     spark = docs.sparkSession
     texts = docs.select("doc_id", _row_key(docs).alias("node"), docs["text"].cast("string").alias("_text"))
-    shared = spark.sparkContext.broadcast(sketch(docs, width))  # 2 ** SKETCH_BITS counters
+    shared = spark.sparkContext.broadcast(sketches(docs, width))  # twice 2 ** SKETCH_BITS counters
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        prefixes = Prefixes(shared.value, percent)
+        steps, words = shared.value
+        prefixes = Prefixes(steps, percent)
         for batch in batches:
             rows: list[tuple] = []
             for _, data, offsets in text_slices(batch.column(2)):
-                for s in shingle_sets(data, offsets, width):
-                    rows.append((len(s), xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None, prefixes.of(s).view(np.int64)))
+                for s, bounds in zip(*shingle_sets(data, offsets, width, words)):
+                    rows.append((len(s), xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None, prefixes.of(s, bounds).view(np.int64)))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -311,13 +346,18 @@ def placed(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
     def join(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.drop_duplicates("node").sort_values("node")
+        steps, words = shared.value
+        prefixes = Prefixes(steps, percent)
         sets: list[np.ndarray] = []
+        chosen: list[np.ndarray] = []
         for text in rows["_packed"]:
             text = zlib.decompress(text)
-            sets += shingle_sets(np.frombuffer(text, np.uint8), np.array([0, len(text)]), width)
+            (s,), (bounds,) = shingle_sets(np.frombuffer(text, np.uint8), np.array([0, len(text)]), width, words)
+            sets.append(s)
+            chosen.append(prefixes.of(s, bounds))
         sides = (rows["mine"] == rows["i"]).to_numpy() if rows["i"].iloc[0] != rows["j"].iloc[0] else None
         ids = rows["node"].to_numpy()
-        pairs = forest(sets, Prefixes(shared.value, percent), sides)
+        pairs = forest(sets, chosen, percent, sides)
         return pd.DataFrame({"a": [ids[a] for a, _ in pairs], "b": [ids[b] for _, b in pairs]}, dtype="int64")
 
     links = meeting.groupBy("place", "i", "j").applyInPandas(join, "a long, b long")
