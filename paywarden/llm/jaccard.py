@@ -119,7 +119,7 @@ class Prefixes:
 def packed_counts(counts: np.ndarray) -> bytes:
     """Counts as compressed bytes, and the few that do not fit a byte beside them."""
     large = np.flatnonzero(counts >= 255)
-    rest = np.concatenate([[len(large)], large, counts[large]]).astype("<i8")
+    rest = np.concatenate([[len(large)], large, counts[large].astype(np.int64)]).astype("<i8")
     return rest.tobytes() + zlib.compress(np.minimum(counts, 255).astype(np.uint8).tobytes(), 3)
 
 
@@ -131,6 +131,15 @@ def unpacked_counts(data: bytes) -> np.ndarray:
     return counts
 
 
+def add_to(counters: np.ndarray, at: np.ndarray) -> None:
+    """Count up the counters at some places; a counter of 16 bits stays at half of its range."""
+    most = np.uint16(1 << 15)
+    for first in range(0, len(at), int(most) - 1):  # fewer than would make it overflow
+        some = at[first : first + int(most) - 1]
+        np.add.at(counters, some, np.uint16(1))
+        counters[some] = np.minimum(counters[some], most)
+
+
 def sketches(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
     """How many documents have shingles of each counter, and how often words of each occur, on a scale of bytes.
 
@@ -141,14 +150,14 @@ def sketches(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
     salts = int(np.ceil(np.sqrt(texts.rdd.getNumPartitions())))  # so that neither sum has many parts
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, task = np.zeros(2 * size, np.uint32), 0
+        total, task = np.zeros(2 * size, np.uint16), 0
         for batch in batches:
             for _, data, offsets in text_slices(batch.column(0)):
                 task ^= xxhash.xxh32_intdigest(data[:4096])
                 sets, _ = shingle_sets(data, offsets, width)
                 words, _ = hashed_words(data, offsets, SOLID)
-                np.add.at(total, (np.concatenate(sets) >> COUNTER).astype(np.int64), np.uint32(1))
-                np.add.at(total, (words >> COUNTER).astype(np.int64) + size, np.uint32(1))
+                add_to(total, (np.concatenate(sets) >> COUNTER).astype(np.int64))
+                add_to(total, (words >> COUNTER).astype(np.int64) + size)
         if total.any():
             parts = [packed_counts(x) for x in np.split(total, SLICES)]
             yield pa.RecordBatch.from_arrays(

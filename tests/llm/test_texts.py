@@ -329,11 +329,37 @@ def test_one_of_each_class_stays(spark):
     assert jaccard.distinct_documents(frame(spark, [])).count() == 0
 
 
+def test_counters_stay_within_their_bits():
+    counters = np.zeros(8, np.uint16)
+    for n in (10, 40_000, 90_000):
+        jaccard.add_to(counters, np.concatenate([np.full(n, 3), np.arange(8)]))
+    assert counters.tolist() == [3, 3, 3, 1 << 15, 3, 3, 3, 3]
+    counts = np.array([0, 5, 300, 1 << 40])
+    assert jaccard.unpacked_counts(jaccard.packed_counts(counts)).tolist() == counts.tolist()
+
+
+def test_bounds_of_words_are_those_of_the_rarest():
+    words = np.random.default_rng(1).integers(0, 250, 1 << jaccard.SKETCH_BITS).astype(np.uint8)
+    parts = [b"a b c a b c d ", b"", b"e f", b" \n", b"one a b"]
+    data, offsets = np.frombuffer(b"".join(parts), np.uint8), np.cumsum([0, *map(len, parts)])
+    hashes, firsts = jaccard.hashed_words(data, offsets, jaccard.SOLID)
+    sets, bounds = jaccard.shingle_sets(data, offsets, 3, words)
+    plain, none = jaccard.shingle_sets(data, offsets, 3)
+    assert [s.tolist() for s in sets] == [s.tolist() for s in plain] and none == []
+    assert [len(s) for s in sets] == [len(b) for b in bounds] == [4, 0, 1, 0, 1]
+    for k, found in enumerate(bounds):
+        own = words[hashes[firsts[k] : firsts[k + 1]] >> jaccard.COUNTER].tolist()
+        grams = {tuple(own[i : i + 3]) for i in range(max(1, len(own) - 2))} if own else set()
+        assert sorted(found.tolist()) == sorted(map(min, grams))
+
+
 def test_long_prefixes_lose_no_pair():
     rng = np.random.default_rng(4)
     steps = np.zeros(1 << jaccard.SKETCH_BITS, np.uint8)
     steps[rng.integers(0, len(steps), len(steps) // 2)] = 90
     prefixes = jaccard.Prefixes(steps, 80)
+    words = rng.integers(0, 200, 1 << 16).astype(np.uint8)
+    with_words = lambda s: prefixes.of(s, words[s & np.uint64(0xFFFF)])
     for _ in range(200):
         n = int(rng.integers(1, 60))
         a = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
@@ -341,3 +367,5 @@ def test_long_prefixes_lose_no_pair():
         if 100 * len(np.intersect1d(a, b)) >= 80 * len(np.union1d(a, b)):
             index = jaccard.PrefixIndex([prefixes.of(a), prefixes.of(b)], np.array([len(a), len(b)]), 80)
             assert index.candidates(0).tolist() == [1]
+            index = jaccard.PrefixIndex([with_words(a), with_words(b)], np.array([len(a), len(b)]), 80)
+            assert index.candidates(0).tolist() == [1]
