@@ -17,13 +17,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paywarden.llm.storage import schema_of
+from paywarden.llm.storage import schema_of, written
 from paywarden.llm.words import ALNUM, LOWER, text_slices, word_spans
 
 WINDOW = 10  # words
 SHARD_BYTES = 8 << 20  # of text in one index; a longer text is a shard of its own
 SAMPLE = 8  # every so many positions of the text have their suffix position kept
-BLOCK_BYTES = 16 << 20  # of benchmark text searched in one pass
+BLOCK_BYTES = 4 << 20  # of benchmark text searched in one pass
 
 _SPACED = LOWER.copy()
 _SPACED[~ALNUM] = 32
@@ -98,7 +98,7 @@ class FmIndex:
         low, high = np.zeros(len(phrases), np.int64), np.full(len(phrases), self.size, np.int64)
         for k in range(phrases.shape[1] - 1, -1, -1):
             live = np.flatnonzero((lengths > k) & (high > low))
-            symbol = phrases[live, k] + 1
+            symbol = phrases[live, k].astype(np.int64) + 1
             low[live] = self.before[symbol] + self.rank(symbol, low[live])
             high[live] = self.before[symbol] + self.rank(symbol, high[live])
         return low, np.maximum(low, high)
@@ -118,21 +118,32 @@ class FmIndex:
 
 
 class Windows:
-    """The distinct windows of benchmark texts, as numbers of words."""
+    """The distinct windows of benchmark texts, as numbers of words, and the items that each is of."""
 
-    def __init__(self, items: list[tuple], window: int = WINDOW):
+    def __init__(self, items: list[tuple[str, str | None]], window: int = WINDOW):
         self.numbers: dict[bytes, int] = {}
-        owners: dict[tuple[int, ...], set] = {}
-        for item, text in items:
-            words = [self.numbers.setdefault(w, len(self.numbers) + 1) for w in split_words((text or "").encode("utf-8"))]
-            for k in range(max(1, len(words) - window + 1) if words else 0):
-                owners.setdefault(tuple(words[k : k + window]), set()).add(item)
-        self.owners = list(owners.values())
-        self.lengths = np.array([len(w) for w in owners], dtype=np.int64)
-        self.phrases = np.zeros((len(owners), window), dtype=np.int64)
-        for row, words in zip(self.phrases, owners):
-            row[: len(words)] = words
-        self.shortest = int(self.lengths.min()) if len(owners) else 0
+        self.items = [item for item, _ in items]
+        rows, lengths, owners = [], [], []
+        for k, (_, text) in enumerate(items):
+            words = split_words((text or "").encode("utf-8"))
+            ids = np.array([self.numbers.setdefault(w, len(self.numbers) + 1) for w in words], dtype=np.int32)
+            if 0 < len(ids) < window:
+                rows.append(np.pad(ids, (0, window - len(ids)))[None])
+            elif len(ids):
+                rows.append(np.lib.stride_tricks.sliding_window_view(ids, window))
+            if len(ids):
+                lengths.append(np.full(len(rows[-1]), min(len(ids), window)))
+                owners.append(np.full(len(rows[-1]), k))
+        if not rows:
+            rows, lengths, owners = [np.zeros((0, window), np.int32)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        self.phrases, at, same = np.unique(np.concatenate(rows), axis=0, return_index=True, return_inverse=True)
+        self.lengths = np.concatenate(lengths)[at]
+        pairs = np.unique(np.stack([same.ravel(), np.concatenate(owners)], axis=1), axis=0)
+        self._owners, self._first = pairs[:, 1], np.searchsorted(pairs[:, 0], np.arange(len(self.phrases) + 1))
+        self.shortest = int(self.lengths.min()) if len(self.lengths) else 0
+
+    def owners(self, window: int) -> list[str]:
+        return [self.items[k] for k in self._owners[self._first[window] : self._first[window + 1]]]
 
 
 def shard_hits(texts: list[bytes], windows: Windows) -> list[tuple[int, list[tuple[int, int]], set]]:
@@ -171,21 +182,25 @@ def shard_hits(texts: list[bytes], windows: Windows) -> list[tuple[int, list[tup
         np.add.at(hit, places + windows.lengths[which], -1)
         covered = np.cumsum(hit[:-1]) > 0
         for w, d in np.unique(np.stack([which, owner], axis=1), axis=0).tolist():
-            found[d] |= windows.owners[w]
+            found[d].update(windows.owners(w))
         for d in np.unique(owner).tolist():
             edges = np.diff(np.concatenate([[0], covered[firsts[d] : firsts[d + 1]], [0]]).astype(np.int8))
             spans[d] = list(zip(np.flatnonzero(edges == 1).tolist(), np.flatnonzero(edges == -1).tolist()))
     return list(zip(sizes, spans, found))
 
 
-def benchmark_blocks(benchmark: DataFrame, limit: int = BLOCK_BYTES) -> Iterator[list[tuple[str, str]]]:
-    """The items, block by block, each of about `limit` bytes: the query set is passed over the documents in blocks."""
-    items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text"))
-    size = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
+def benchmark_blocks(benchmark: DataFrame, limit: int = BLOCK_BYTES) -> Iterator[tuple[list[tuple[str, str | None]], bool]]:
+    """The items, block by block, each of about `limit` bytes, and whether a block is the last: the query set is
+    passed over the documents in blocks, and the driver holds one at a time. Repeated items are one."""
+    name = F.coalesce(F.col("item_id").cast("string"), F.lit(""))
+    items = benchmark.select(name.alias("item"), F.col("text").cast("string").alias("text")).distinct()
+    size = items.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 64)).first()[0] or 0
     blocks = int(size // limit) + 1
+    if blocks > 1:
+        items = written(items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(blocks))))
     for k in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k).collect()
-        yield [(r["item"] or "", r["text"]) for r in rows]
+        rows = (items.where(F.col("block") == k) if blocks > 1 else items).collect()
+        yield [(r["item"], r["text"]) for r in rows], k == blocks - 1
 
 
 def cut(text: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -217,21 +232,22 @@ def contamination(
 
     Null texts have no words; a benchmark item without words has no window; a null
     item_id is the empty name; empty tables give no rows or no hits; repeated rows
-    come out repeated. A hit occurrence counts once however many items share it.
+    come out repeated. A hit occurrence counts once however many items share it. Of a
+    benchmark of several blocks, each is broadcast, its hits written to a table, and released
+    before the next.
     """
     fields = [f for f in docs.schema.fields if f.name in kept]
     span = pa.struct([("s", pa.int32()), ("e", pa.int32())])
     kinds = {"_n_words": pa.int64(), "_spans": pa.list_(span), "_items": pa.list_(pa.string()), "_text": pa.string()}
     declared = {"_n_words": "long", "_spans": "array<struct<s: int, e: int>>", "_items": "array<string>", "_text": "string"}
     context = docs.sparkSession.sparkContext
-    blocks = list(benchmark_blocks(benchmark))
     frame = docs.select(*(F.col(f"`{f.name}`") for f in fields), docs["text"].cast("string").alias("_text"))
-    for k, block in enumerate(blocks):
-        last = k == len(blocks) - 1
+    for k, (block, last) in enumerate(benchmark_blocks(benchmark)):
+        shared = context.broadcast(Windows(block, window))  # a block
         names = ["_n_words", "_spans", "_items"] + ["_text"] * (clean or not last)
 
         def run(
-            batches: Iterator[pa.RecordBatch], shared=context.broadcast(Windows(block, window)), first=k == 0, last=last, names=names
+            batches: Iterator[pa.RecordBatch], shared=shared, first=k == 0, last=last, names=names
         ) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 column = batch.column(batch.schema.names.index("_text"))
@@ -260,6 +276,9 @@ def contamination(
                 )
 
         frame = frame.mapInArrow(run, schema_of(fields, ", ".join(f"{n} {declared[n]}" for n in names)))
+        if not last:
+            frame = written(frame)
+            shared.destroy()
     return frame
 
 

@@ -72,6 +72,29 @@ def test_encoding_an_empty_table(spark):
 # --- decontamination -----------------------------------------------------------
 
 
+def test_one_block_of_the_benchmark_is_held_at_a_time(spark, monkeypatch):
+    items = [(f"b{k}", prose(700 + k, 12)) for k in range(30)] + [("b0", prose(700, 12))] * 5
+    docs = frame(spark, [(k, prose(700 + k, 12) + " " + prose(800 + k, 20)) for k in range(40)])
+    benchmark = spark.createDataFrame(items, "item_id string, text string")
+    whole = sorted(map(tuple, decontaminate.report(docs, benchmark).collect()))
+    live, most, context = set(), [], spark.sparkContext
+    plain = context.broadcast
+
+    def broadcast(value):
+        made = plain(value)
+        if isinstance(value, decontaminate.Windows):
+            live.add(made)
+            most.append(len(live))
+            end = made.destroy
+            monkeypatch.setattr(made, "destroy", lambda *a: (live.discard(made), end(*a)))
+        return made
+
+    monkeypatch.setattr(context, "broadcast", broadcast)
+    monkeypatch.setattr(decontaminate.benchmark_blocks, "__defaults__", (600,))
+    assert sorted(map(tuple, decontaminate.report(docs, benchmark).collect())) == whole
+    assert len(most) > 3 and max(most) == 1
+
+
 def brute_hits(text, items, window=10):
     find = lambda t: re.findall(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered(t))
     words, found = find(text), set()
