@@ -17,7 +17,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 SHARDS = 24
-PSEUDONYM_KEY = "key of the example; a job passes its own secret"
+PSEUDONYM_SETTING = "paywarden.pseudonym.key"
+PSEUDONYM_KEY = "key of the example; a job sets its own secret"
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -66,6 +67,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
 
 
+def pseudonym_key(spark: SparkSession) -> str:
+    """The key of the pseudonyms, made of the secret in the session's settings, or of the example's."""
+    return pii.round_key(spark.conf.get(PSEUDONYM_SETTING, PSEUDONYM_KEY))
+
+
 @query()
 def op1_toxicity(spark, sf_dir):
     """All documents scored by a model that is learned from labelled rows."""
@@ -87,7 +93,7 @@ def op3_licenses(spark, sf_dir):
 @query()
 def op4_pii(spark, sf_dir):
     """All documents with pseudonyms for personal numbers, dates, addresses and secrets."""
-    return pii.pseudonymised(table(spark, sf_dir, "documents"), PSEUDONYM_KEY, ["doc_id"])
+    return pii.pseudonymised(table(spark, sf_dir, "documents"), pseudonym_key(spark), ["doc_id"])
 
 
 @query()

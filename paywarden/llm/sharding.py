@@ -6,9 +6,12 @@ the smallest draw wins; so a child is chosen in proportion to its weight. When
 weights change, only rows whose winner changes on the changed path move, and they
 move towards the heavier subtree.
 
-A shard added to the layout becomes a region of its own, with its own rack: its
-path has no other leaf, so the rows that it wins go to it alone, and no other row
-moves.
+A layout is planned for a number of shards, of which some may not be in use yet. Their
+leaves keep their place and weight in the tree, so opening one changes no draw; rows
+whose draws end there are drawn once more, among all leaves in use. A shard that is
+opened takes the rows of its leaf back and wins some of these second draws. A shard
+beyond the plan becomes a region of its own, with its own rack: its path has no other
+leaf, so the rows that it wins go to it alone. Either way no other row moves.
 """
 
 from __future__ import annotations
@@ -29,13 +32,14 @@ class Leaf(NamedTuple):
     rack: int
     shard: int
     weight: float = 1.0
+    open: bool = True  # False: planned, not in use yet
 
 
 def layout(shards: int, planned: int = 24, regions: int = 2, racks: int = 3) -> list[Leaf]:
-    """Leaves for `shards` shards: the planned ones in equal regions and racks, each further one on its own."""
+    """Leaves for `shards` shards: the planned ones in equal regions and racks, in use or not, each further one on its own."""
     per_rack = -(-planned // (regions * racks))
     per_region = per_rack * racks
-    inner = [Leaf(k // per_region, k // per_rack, k) for k in range(min(shards, planned))]
+    inner = [Leaf(k // per_region, k // per_rack, k, open=k < shards) for k in range(planned)]
     return inner + [Leaf(k, k, k) for k in range(planned, shards)]
 
 
@@ -58,17 +62,24 @@ def _weights(leaves: Sequence[Leaf], level: str) -> dict[int, float]:
     return dict(sorted(sums.items()))
 
 
-def shard_of(key: Column, leaves: Sequence[Leaf], levels: Sequence[str] = ("region", "rack", "shard")) -> Column:
-    """The shard of a key. A leaf of weight 0 gets nothing. A null key has a shard like any other value."""
+def shard_of(key: Column, leaves: Sequence[Leaf]) -> Column:
+    """The shard of a key. A leaf of weight 0 or not in use gets nothing. A null key has a shard like any other value."""
     leaves = [leaf for leaf in leaves if leaf.weight > 0]
-    if not leaves:
-        raise ValueError("no shard has a weight")
+    used = {leaf.shard: leaf.weight for leaf in leaves if leaf.open}
+    if not used:
+        raise ValueError("no shard in use has a weight")
+    drawn = _descend(key, leaves)
+    return drawn if len(used) == len(leaves) else F.coalesce(drawn, _winner(key, "stand-in", used))
+
+
+def _descend(key: Column, leaves: Sequence[Leaf], levels: Sequence[str] = ("region", "rack", "shard")) -> Column:
+    """The shard of the leaf that a key comes to; null if that is not in use."""
     level, rest = levels[0], levels[1:]
     weights = _weights(leaves, level)
     won = _winner(key, level, weights)
     if not rest:
-        return won
-    below = {name: shard_of(key, [x for x in leaves if getattr(x, level) == name], rest) for name in weights}
+        return won if all(leaf.open for leaf in leaves) else F.when(won.isin(*(leaf.shard for leaf in leaves if leaf.open)), won)
+    below = {name: _descend(key, [x for x in leaves if getattr(x, level) == name], rest) for name in weights}
     names = list(below)
     out = below[names[-1]]
     for name in names[-2::-1]:
@@ -96,7 +107,7 @@ def sharded(docs: DataFrame, leaves: Sequence[Leaf], grown: Sequence[Leaf] | Non
             (shard_of(key, grown) if grown else F.lit(None)).cast("int").alias("grown_shard"),
         )
     )
-    blocks = max(8, rows.count() // (BLOCK_ROWS * len(leaves)))
+    blocks = max(8, rows.count() // (BLOCK_ROWS * sum(leaf.open for leaf in leaves)))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text_crc32", "size"), F.lit(blocks)))
     before = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = rows.groupBy("shard", "block").count().select(

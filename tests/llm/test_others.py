@@ -1,6 +1,8 @@
 """Toxicity, pseudonyms, shards, conversations, neighbours, and the pipeline."""
 
+import datetime
 import hashlib
+import ipaddress
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -93,6 +95,111 @@ def feistel(value, kind):
     return a + b
 
 
+def spelt(pattern, signs):
+    """The signs in place of the digits and letters of the pattern."""
+    left = iter(signs)
+    return "".join(next(left) if c.isalnum() else c for c in pattern)
+
+
+def pair(a, b, sizes, kind):
+    """The permutation of pairs, spelt out."""
+    for k in range(pii.ROUNDS):
+        noise = lambda x: int(hashlib.sha256(f"{KEY}|{kind}|{k}|{x}".encode()).hexdigest()[:15], 16)  # noqa: E731, B023
+        a, b = (a, (b + noise(a)) % sizes[1]) if k % 2 else ((a + noise(b)) % sizes[0], b)
+    return a, b
+
+
+def day(value, first=datetime.date(1800, 1, 1), parts=(189, 773), kind="date"):
+    a, b = pair(*divmod((value - first).days, parts[1]), parts, kind)
+    return first + datetime.timedelta(days=a * parts[1] + b)
+
+
+def iban(value):
+    """The image of an account number, with check digits of its own."""
+    moved = spelt(value[4:], feistel(value[4:].replace(" ", ""), "iban"))
+    number = lambda text: int("".join(str(int(c, 36)) for c in text.replace(" ", "")))
+    assert number(value[4:] + value[:4]) % 97 == 1
+    return f"{value[:2]}{98 - number(moved + value[:2] + '00') % 97:02d}{moved}"
+
+
+def address6(value):
+    """The image of an IPv6 address: halves of 64 bits, each mixed with a hash of the other."""
+    a, b = divmod(int(ipaddress.IPv6Address(value)), 1 << 64)
+    for k in range(pii.ROUNDS):
+        signed = b - (1 << 64) if b >> 63 else b
+        a, b = b, a ^ int(hashlib.sha256(f"{KEY}|ipv6|{k}|{signed}".encode()).hexdigest()[:16], 16)
+    return ":".join(f"{(a << 64 | b) >> at & 0xFFFF:x}" for at in range(112, -1, -16))
+
+
+def changed(spark, cases):
+    rows = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string").coalesce(1)
+    return [tuple(r[1:]) for r in sorted(pii.pseudonymised(rows, KEY, ["doc_id"]).collect())]
+
+
+def test_further_kinds_equal_brute_force(spark):
+    d = datetime.date(1985, 3, 4)
+    m, s = day(d), day(d, datetime.date(1970, 1, 1), (75, 487), "short_date")
+    a, b = pair(122 * 99 + 44, 6788, (898 * 99, 9999), "ssn")
+    area = a // 99 + (1 if a // 99 < 665 else 2)
+    token = "ghp_" + "aB3" * 12
+    want = {
+        "on 1985/03/04.": f"on {m:%Y/%m/%d}.",
+        "on 3/4/1985.": f"on {m.month}/{m.day}/{m.year}.",
+        "on 3/4/85.": f"on {s.month}/{s.day}/{s:%y}.",
+        "on 03/04/85.": f"on {s:%m/%d/%y}.",
+        "on March 4, 1985.": f"on {m:%B} {m.day}, {m.year}.",
+        "on 4 Mar. 1985.": f"on {m.day} {m:%b}. {m.year}.",
+        "DE89 3704 0044 0532 0130 00 is": f"{iban('DE89 3704 0044 0532 0130 00')} is",
+        "GB82WEST12345698765432": iban("GB82WEST12345698765432"),
+        "ssn 123-45-6789,": f"ssn {area:03d}-{a % 99 + 1:02d}-{b + 1:04d},",
+        "call 319-555-5132": "call " + spelt("319-555-5132", feistel("3195555132", "phone")),
+        "call (319) 555-5132": "call " + spelt("(319) 555-5132", feistel("3195555132", "phone")),
+        "at 2001:db8::8a2e:370:7334": f"at {address6('2001:db8::8a2e:370:7334')}",
+        "at fe80::1": f"at {address6('fe80::1')}",
+        "at 2001:0DB8:0:0:0:FF00:0042:8329!": f"at {address6('2001:db8::ff00:42:8329')}!",
+        f"{token} x": f"ghp_{feistel(token[4:], 'secret')} x",
+    }
+    assert changed(spark, want) == [(text, 1) for text in want.values()]
+
+
+def test_no_value_without_its_check(spark):
+    plain = [
+        "DE89 3704 0044 0532 0130 01", "XX89 3704 0044", "000-12-3456", "666-12-3456", "912-34-5678", "123-00-4567", "123-45-0000",
+        "1-123-45-6789", "13/41/85", "2/30/1985", "Feb 30, 1985", "dead::beef", "std::vector", "12:30:45", "1985/13/04", "a/b/3/4/85/6", "sk-and-more-words-than-that",
+        "123-555-5132",
+    ]
+    assert changed(spark, plain) == [(text, 0) for text in plain]
+
+
+def test_spellings_share_a_pseudonym(spark):
+    groups = [
+        ["4111111111111111", "4111-1111-1111-1111", "4111 1111 1111 1111"],
+        ["+13195555132", "+1 319 555 5132", "+1 (319) 555-5132"],
+        ["+491701234567", "+49 170 1234 567"],
+        ["DE89370400440532013000", "DE89 3704 0044 0532 0130 00"],
+        ["2001:db8::1", "2001:0db8:0:0:0:0:0:1", "2001:DB8::0001"],
+    ]
+    for group in groups:
+        got = changed(spark, group)
+        bare = [x if "::" in group[0] else re.sub("[^0-9A-Z]", "", x) for x, _ in got]
+        assert len(set(bare)) == 1 and all(n == 1 for _, n in got) and bare[0] != re.sub("[^0-9A-Z]", "", group[0])
+
+
+def test_cards_before_other_values(spark):
+    card = "4111 1111 1111 1111"
+    others = ["3/4/85", "1985/03/04", "4 March 1985", "123-45-6789", "319-555-5132", "2001:db8::1"]
+    assert [n for _, n in changed(spark, [f"{card} {x}" for x in others])] == [2] * len(others)
+
+
+def test_key_of_the_session(spark):
+    first = queries.pseudonym_key(spark)
+    spark.conf.set(queries.PSEUDONYM_SETTING, "of this job")
+    try:
+        assert queries.pseudonym_key(spark) == pii.round_key("of this job") != first
+    finally:
+        spark.conf.unset(queries.PSEUDONYM_SETTING)
+
+
 def luhn(digits):
     return sum(sum(divmod(int(c) * (1 + k % 2), 10)) for k, c in enumerate(reversed(digits))) % 10 == 0
 
@@ -103,7 +210,7 @@ def one(spark, text):
 
 def test_strings_equal_brute_force(spark):
     assert one(spark, "by ab.42@mail8.example.com.")["text"] == f"by {feistel('ab.42', 'email')}@mail8.example.com."
-    assert one(spark, "+1 (319) 555-5132")["text"] == "+1" + feistel(" (319) 555-5132", "phone")
+    assert one(spark, "+1 (319) 555-5132")["text"] == "+1" + spelt(" (319) 555-5132", feistel("3195555132", "phone"))
     assert one(spark, 'token = "0641917ea4e9feb9"')["text"] == f'token = "{feistel("0641917ea4e9feb9", "secret")}"'
 
 
@@ -118,7 +225,7 @@ def test_secrets_by_keys_of_any_case_and_to_their_end(spark):
 
 def test_cards_among_other_numbers(spark):
     def card(value):
-        moved = feistel(value[:-1], "card")
+        moved = spelt(value[:-1], feistel(re.sub("[ -]", "", value[:-1]), "card"))
         return moved + next(c for c in "0123456789" if luhn(re.sub("[ -]", "", moved) + c))
 
     a, b = "4111111111111111", "4111 1111 1111 1111"
@@ -203,6 +310,22 @@ def brute_shard(doc_id, leaves):
     return leaves[0].shard
 
 
+def test_one_more_shard_takes_rows_only_into_itself(spark):
+    ids = spark.range(6000).coalesce(1)
+    shards = lambda n: np.array([r[0] for r in ids.select(sharding.shard_of(F.col("id"), sharding.layout(n))).collect()])
+    last, now = -1, None
+    for n in [*range(1, 8), *range(11, 15), *range(19, 27), 39]:
+        now = now if n == last + 1 else shards(n)
+        last = n
+        sizes = np.bincount(now, minlength=n)
+        assert len(sizes) == n and sizes.min() > 0.6 * 6000 / n and sizes.max() < 1.45 * 6000 / n
+        grown = shards(n + 1)
+        assert ((grown == now) | (grown == n)).all()
+        now = grown
+    with pytest.raises(ValueError):
+        sharding.shard_of(F.col("id"), sharding.layout(0))
+
+
 def test_shards_equal_brute_force(spark):
     old, new = sharding.layout(24), sharding.layout(25)
     docs = clashing(frame(spark, texts() + [(k, "t") for k in range(500, 900)]))
