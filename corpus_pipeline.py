@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paywarden.llm import bpe, decontaminate, jaccard, pii, toxicity
-from paywarden.llm.queries import PSEUDONYM_KEY, VOCABULARY, ship, table
+from paywarden.llm.queries import VOCABULARY, pseudonym_key, ship, table
 from paywarden.llm.storage import written
 
 SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
@@ -43,7 +43,7 @@ def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def hide_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with pseudonyms for personal data."""
-    return _counted(pii.pseudonymised(docs, PSEUDONYM_KEY))
+    return _counted(pii.pseudonymised(docs, pseudonym_key(spark)))
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
