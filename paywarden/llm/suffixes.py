@@ -10,8 +10,16 @@ Neighbouring windows with the same anchor are one context: a stretch of text tha
 holds them all. Anchors that occur once are dropped; equal contexts are merged with
 their count; the different contexts of an anchor are put side by side, and a suffix
 array over them, with the common prefixes of neighbours, shows which windows repeat.
-An anchor with very many different contexts is cut into single windows as contexts,
-which need no more than the merging.
+
+The contexts of an anchor with very many of them would be too large for one suffix array.
+Its windows hold the anchor and are told apart by the bytes beside it, so such an anchor
+is made longer: windows with enough bytes after it take half of the missing bytes there,
+all others take them in front. A context becomes two shorter ones, equal ones are merged
+again, and what is alone with its longer anchor goes. This is repeated for anchors that
+still have very many; after a few rounds an anchor would be the whole window.
+
+A key that holds more than an even part of the rows is joined where its rows lie, from a
+broadcast list that is no longer than the shuffle is wide.
 """
 
 from __future__ import annotations
@@ -23,7 +31,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paywarden.llm.storage import schema_of, written
@@ -33,7 +41,7 @@ LENGTH = 200
 GRAM = 64  # bytes of an anchor; a longer one is less often met twice by chance
 CHUNK = 1 << 20  # windows of a text looked at together; positions must fit 24 bits
 BUCKET_BYTES = 1 << 20  # of contexts in one suffix array
-HOT_CONTEXTS = 4_096  # different contexts of an anchor, beyond which they are cut into windows
+HOT_CONTEXTS = 4_096  # different contexts of an anchor, beyond which it is made longer
 
 _BYTE = mix(np.arange(256, dtype=np.uint64) + np.uint64(0x51ED270B))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -270,12 +278,104 @@ def _fetched(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     return joined.mapInArrow(cut, "anchor long, context long, n long, bucket long, bytes binary")
 
 
+def _matched(rows: DataFrame, keys: list[str], some: DataFrame, large: Column) -> DataFrame:
+    """`rows` joined with `some`, of which those that are `large` are few, and meet the rows without a shuffle."""
+    few = F.broadcast(some.where(large))
+    return rows.join(few, keys).unionByName(rows.join(few, keys, "left_anti").join(some, keys))
+
+
+def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(anchor, context, n, s, at, bytes) of whole contexts: the first window, and where in the bytes the anchor is."""
+    for batch in batches:
+        anchor, context, n, data = batch.columns
+        raw = data.cast(pa.large_binary()).to_pylist()
+        sizes = np.array([len(x) for x in raw], dtype=np.int64)
+        if not len(sizes):
+            continue
+        starts = np.cumsum(sizes) - sizes
+        hashes = gram_hashes(np.frombuffer(b"".join(raw), np.uint8)).view(np.int64)
+        hits = np.flatnonzero(hashes == np.repeat(anchor.to_numpy(), sizes)[: len(hashes)])
+        at = hits[np.searchsorted(hits, starts)] - starts
+        first = pa.array(np.zeros(len(sizes), np.int64))
+        yield pa.RecordBatch.from_arrays([anchor, context, n, first, pa.array(at), data], names=["anchor", "context", "n", "s", "at", "bytes"])
+
+
+def halves(data: bytes, at: int, width: int, length: int) -> list[tuple[int, int, int, bytes]]:
+    """(side, first window, place of the longer anchor, bytes) of the two parts of a context.
+
+    The anchor is `width` bytes from `at`. The windows that have at least half of the other
+    bytes of a window after it come first in the result, those that have them in front second.
+    """
+    more = (length - width + 1) // 2
+    windows = len(data) - length + 1
+    cut = min(max(0, at - (length - width - more)), windows)  # the first window of those that reach far enough behind
+    out = []
+    if cut < windows:
+        out.append((0, cut, at - cut, data[cut:]))
+    if cut:
+        out.append((1, 0, at - more, data[: cut + length - 1]))
+    return out
+
+
+def _halved(batches: Iterator[pa.RecordBatch], width: int, length: int) -> Iterator[pa.RecordBatch]:
+    """The parts of contexts, with the hashes of their longer anchors (longer) and of themselves (piece)."""
+    wide = width + (length - width + 1) // 2
+    for batch in batches:
+        out: list[tuple] = []
+        for anchor, context, n, s, at, data in zip(*(c.to_pylist() for c in batch.columns)):
+            for side, first, place, part in halves(data, at, width, length):
+                longer = xxhash.xxh3_64_intdigest(part[place : place + wide], side) - (1 << 63)
+                out.append((anchor, context, n, s + first, place, part, longer, xxhash.xxh3_64_intdigest(part) - (1 << 63)))
+        kinds = [*(pa.int64() for _ in range(5)), pa.binary(), pa.int64(), pa.int64()]
+        names = ["anchor", "context", "n", "s", "at", "bytes", "longer", "piece"]
+        yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in out], kind) for c, kind in enumerate(kinds)], names=names)
+
+
+def _narrowed(whole: DataFrame, length: int, buckets: int, width: int) -> tuple[list[DataFrame], list[DataFrame]]:
+    """Contexts (anchor, context, n, bytes) of crowded anchors, dealt out by ever longer anchors.
+
+    Returns frames (anchor, context, n, s, bucket, bytes) for suffix arrays, and frames
+    (anchor, context, s, e) of the windows that turned out equal on the way.
+    """
+    parts = whole.dropDuplicates(["anchor", "context"]).mapInArrow(
+        _anchored, "anchor long, context long, n long, s long, at long, bytes binary"
+    )
+    known, sortable, equal = GRAM, [], []
+    while known < length:
+        def cut(batches: Iterator[pa.RecordBatch], known: int = known) -> Iterator[pa.RecordBatch]:
+            return _halved(batches, known, length)
+
+        kind = "anchor long, context long, n long, s long, at long, bytes binary, longer long, piece long"
+        pieces = written(parts.mapInArrow(cut, kind))
+        known += (length - known + 1) // 2
+        merged = written(
+            pieces.groupBy("longer", "piece").agg(
+                F.sum("n").alias("n"), F.count("*").alias("rows"), F.min(F.struct("anchor", "context", "s", "at", "bytes")).alias("one")
+            )
+        )
+        share = pieces.count() / width
+        again = merged.where("n > 1").select("longer", "piece", "rows")
+        windows = F.octet_length("bytes") - length + 1
+        met = _matched(pieces.where("n = 1").withColumn("e", F.col("s") + windows).drop("bytes"), ["longer", "piece"], again, F.col("rows") > share)
+        equal.append(met.select("anchor", "context", "s", "e"))
+        crowds = merged.groupBy("longer").agg(F.count("*").alias("contexts"), F.min("n").alias("fewest")).where("contexts > 1 AND fewest = 1")
+        left = written(_matched(merged, ["longer"], crowds, F.col("contexts") > share).select("longer", "contexts", "n", "one.*"))
+        fits = (F.col("contexts") <= HOT_CONTEXTS) | F.lit(known >= length)
+        bucket = F.pmod(F.xxhash64("longer"), F.lit(buckets)).alias("bucket")
+        sortable.append(left.where(fits).select("anchor", "context", "n", "s", bucket, "bytes"))
+        parts = left.where(~fits).select("anchor", "context", "n", "s", "at", "bytes")
+        if parts.isEmpty():
+            break
+    return sortable, equal
+
+
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(k1, k2, spans) of the rows that hold repeated strings; spans are (start, end) in bytes, and may touch."""
     texts = _texts(docs)
+    width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     anchors = written(texts.mapInArrow(lambda b: _context_rows(b, length), "k1 long, place long, anchor long, context long"))
-    often = anchors.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    rows = written(anchors.join(often, "anchor"))
+    often = anchors.where("anchor IS NOT NULL").groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
+    rows = written(_matched(anchors, ["anchor"], often, F.col("n") > anchors.count() / width).drop("n"))
     contexts = written(
         rows.groupBy("anchor", "context").agg(F.count("*").alias("n"), F.min(F.struct("k1", "place")).alias("at"))
     )
@@ -284,43 +384,40 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         "anchor", "context", "n", F.col("at.k1").alias("k1"), F.shiftrightunsigned("at.place", 48).cast("int").alias("k2"),
         low.alias("low"), windows.alias("windows"),
     )
-    crowds = contexts.groupBy("anchor").agg(F.count("*").alias("contexts"), F.min("n").alias("fewest")).where("contexts > 1 AND fewest = 1")
-    size = contexts.agg(F.sum(F.col("windows") + length)).first()[0] or 0
-    buckets = int(size // BUCKET_BYTES) + 1
-    wanted = written(contexts.join(crowds, "anchor").withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(buckets))).drop("fewest"))
+    crowds = contexts.where("anchor IS NOT NULL").groupBy("anchor").agg(F.count("*").alias("contexts"), F.min("n").alias("fewest"))
+    crowds = crowds.where("contexts > 1 AND fewest = 1")
+    total, size = contexts.agg(F.count("*"), F.sum(F.col("windows") + length)).first()
+    buckets = int((size or 0) // BUCKET_BYTES) + 1
+    crowded = _matched(contexts, ["anchor"], crowds, F.col("contexts") > total / width)
+    wanted = written(crowded.withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(buckets))).drop("fewest"))
     hot = F.col("contexts") > HOT_CONTEXTS
 
     def sort(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.drop_duplicates(["anchor", "context"])
+        part = part.drop_duplicates(["anchor", "context", "s"])
         found = repeated(list(part["bytes"]), length)
         which = np.repeat(np.arange(len(part)), [len(x) for x in found])
-        spans = np.array([x for xs in found for x in xs], dtype=np.int64).reshape(-1, 2)
+        spans = np.array([x for xs in found for x in xs], dtype=np.int64).reshape(-1, 2) + part["s"].to_numpy()[which, None]
         return pd.DataFrame(
             {"anchor": part["anchor"].to_numpy()[which], "context": part["context"].to_numpy()[which], "s": spans[:, 0], "e": spans[:, 1]}
         )[part["n"].to_numpy()[which] == 1]
 
-    def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each window of a context as a context."""
-        for batch in batches:
-            out: list[tuple] = []
-            for anchor, context, n, _, data in zip(*(c.to_pylist() for c in batch.columns)):
-                out += [
-                    (anchor, context, n, at, xxhash.xxh3_64_intdigest(data[at : at + length]) - (1 << 63))
-                    for at in range(len(data) - length + 1)
-                ]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x[c] for x in out], pa.int64()) for c in range(5)], names=["anchor", "context", "n", "s", "window"]
-            )
-
-    some = "anchor long, context long, s long, e long"
-    sorted_spans = _fetched(texts, wanted.where(~hot), length).groupBy("bucket").applyInPandas(sort, some)
-    flagged = contexts.where("n > 1").select("anchor", "context", F.lit(0).cast("long").alias("s"), F.col("windows").alias("e")).union(sorted_spans)
-    if wanted.where(hot).limit(1).count():
-        cut = written(_fetched(texts, wanted.where(hot), length).mapInArrow(single, "anchor long, context long, n long, s long, window long"))
-        twice = cut.distinct().groupBy("anchor", "window").agg(F.sum("n").alias("all")).where("all > 1").select("anchor", "window")
-        flagged = flagged.union(cut.where("n = 1").join(twice, ["anchor", "window"]).select("anchor", "context", "s", (F.col("s") + 1).alias("e")))
+    sortable = _fetched(texts, wanted.where(~hot), length).withColumn("s", F.lit(0).cast("long"))
+    flagged = contexts.where("n > 1").select("anchor", "context", F.lit(0).cast("long").alias("s"), F.col("windows").alias("e"))
+    if not wanted.where(hot).isEmpty():
+        more, equal = _narrowed(_fetched(texts, wanted.where(hot), length).drop("bucket"), length, buckets, width)
+        for frame in more:
+            sortable = sortable.unionByName(frame)
+        for frame in equal:
+            flagged = flagged.union(frame)
+    flagged = flagged.union(sortable.groupBy("bucket").applyInPandas(sort, "anchor long, context long, s long, e long"))
     start = F.shiftright("place", 8).bitwiseAND((1 << 40) - 1)
-    spans = rows.join(flagged, ["anchor", "context"]).select(
+    # A context that holds more than an even part of the rows is repeated as a whole.
+    large = F.broadcast(contexts.where(F.col("n") > F.greatest(F.lit(1), F.lit(rows.count() / width))).select("anchor", "context"))
+    whole = rows.join(large, ["anchor", "context"], "left_semi").select(
+        "k1", "place", F.lit(0).cast("long").alias("s"), F.col("place").bitwiseAND(0xFF).alias("e")
+    )
+    other = rows.join(large, ["anchor", "context"], "left_anti").join(flagged, ["anchor", "context"]).select("k1", "place", "s", "e")
+    spans = whole.union(other).select(
         "k1", F.shiftrightunsigned("place", 48).cast("int").alias("k2"),
         (start + F.col("s")).alias("s"), (start + F.col("e") + (length - 1)).alias("e"),
     )

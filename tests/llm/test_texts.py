@@ -262,7 +262,7 @@ def brute_repeats(rows, length=200):
     return {k: sorted(v, key=repr) for k, v in out.items()}
 
 
-@pytest.mark.parametrize("hot", [suffixes.HOT_CONTEXTS, 5])
+@pytest.mark.parametrize("hot", [suffixes.HOT_CONTEXTS, 5, 1])
 def test_repeats_equal_brute_force(spark, monkeypatch, hot):
     monkeypatch.setattr(suffixes, "HOT_CONTEXTS", hot)
     rows = texts() + [(100 + k, prose(60, 60) + " " + prose(70 + k, k) + " " + prose(61, 60)) for k in range(30)]
@@ -270,6 +270,53 @@ def test_repeats_equal_brute_force(spark, monkeypatch, hot):
     assert got == brute_repeats(rows)
 
 
+def test_longer_anchors_keep_equal_windows_together():
+    rng = random.Random(4)
+    length = 20
+    for _ in range(200):
+        anchor = bytes(rng.choice(b"ab") for _ in range(4))
+        known, parts = 4, []
+        for k in range(6):
+            text = bytes(rng.choice(b"ab") for _ in range(16)) + anchor + bytes(rng.choice(b"ab") for _ in range(16))
+            a, windows = rng.randint(0, 16), rng.randint(1, 17)
+            parts.append((k, a, 16 - a, text[a : a + min(windows, 17 - a) + length - 1]))
+        every = {(k, a + w, data[w : w + length]) for k, a, _, data in parts for w in range(len(data) - length + 1)}
+        while known < length:
+            wide = known + (length - known + 1) // 2
+            parts = [
+                (k, a + first, place, part)
+                for k, a, at, data in parts
+                for _, first, place, part in suffixes.halves(data, at, known, length)
+            ]
+            known = wide
+            assert all(0 <= place and place + known <= length for *_, place, _ in parts)
+            got = [(k, a + w, data[w : w + length]) for k, a, _, data in parts for w in range(len(data) - length + 1)]
+            assert set(got) == every and len(got) == len(every)
+        assert all(len(data) == length and place == 0 for *_, place, data in parts)
+
+
+def test_no_plain_windows_for_a_crowded_anchor(spark, monkeypatch):
+    """Very many contexts of one anchor: what repeats among them comes from suffix arrays again."""
+    monkeypatch.setattr(suffixes, "HOT_CONTEXTS", 8)
+    sorted_here = []
+    plain = suffixes._narrowed
+
+    def watched(*args):
+        more, equal = plain(*args)
+        sorted_here.append(sum(x.count() for x in more))
+        return more, equal
+
+    monkeypatch.setattr(suffixes, "_narrowed", watched)
+    middle = prose(80, 14)[:90]
+    ends = [(prose(90 + k, 30), prose(190 + k, 30)) for k in range(40)]
+    rows = [(k, f"{a} {middle} {b}") for k, (a, b) in enumerate(ends)]
+    rows += [(100 + k, f"{a[k:]} {middle} {b}") for k, (a, b) in enumerate(ends[:12])]  # whole, but for some first letters
+    rows += [(200 + k, f"{a[-60:]} {middle} {ends[k + 1][1]}") for k, (a, _) in enumerate(ends[:12])]
+    got = by_id(suffixes.report(frame(spark, rows)), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert got == brute_repeats(rows)
+    assert sorted_here and sorted_here[0] > 0
+
+
 def test_suffix_order_and_repeats_of_small_stretches():
     rng = random.Random(3)
     for _ in range(150):
