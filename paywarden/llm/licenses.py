@@ -13,10 +13,14 @@ the most aligned words is reported.
 
 Whole license texts are templates as well (`license_texts`). Such a long template is
 aligned where word runs that occur once in it say that a copy of it may be.
+
+After a tag of SPDX stands an expression, which is read by its grammar: a row comes out
+for each license in it, with the whole expression beside it.
 """
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
@@ -99,11 +103,28 @@ for _kind, (_version, _place) in product(
     _long = f"This work is licensed under a Creative Commons Attribution{_kind} {_version} {_place} License."
     TEMPLATES[_id if TEMPLATES.get(_id) == _long else f"{_id}-notice"] = _long
     TEMPLATES[_id if _id == "CC-BY-NC-4.0" else f"{_id}-name"] = f"Licensed under CC {_short} {_version}."
-for _id in (
-    "MIT MIT-0 ISC 0BSD BSD-2-Clause BSD-3-Clause Apache-2.0 GPL-2.0 GPL-3.0 LGPL-2.1 LGPL-3.0 AGPL-3.0 MPL-1.1 MPL-2.0 EPL-1.0 EPL-2.0 "
-    "CC0-1.0 CC-BY-4.0 CC-BY-SA-4.0 Zlib Unlicense BSL-1.0"
-).split():
-    TEMPLATES[f"{_id}-tag"] = f"SPDX-License-Identifier: {_id}"
+for _id in ("MIT", "BSD", "ISC"):
+    TEMPLATES |= {f"{_id}-licensed": f"is {_id} licensed", f"{_id}-under": f"licensed under {_id}"}
+TEMPLATES |= {
+    "Apache-2.0-licensed": "is Apache 2.0 licensed",
+    "BSL-1.0": "Distributed under the Boost Software License, Version 1.0.",
+    "EUPL-1.1": "Licensed under the EUPL, Version 1.1.",
+    "EUPL-1.2": "Licensed under the EUPL, Version 1.2.",
+}
+TAG = "SPDX"
+TEMPLATES[TAG] = "SPDX-License-Identifier:"
+
+# Ids of licenses and exceptions without a number after a hyphen.
+PLAIN_IDS = (
+    "MIT MIT-0 MIT-CMU ISC 0BSD Zlib Unlicense X11 WTFPL NCSA curl libpng OpenSSL Ruby Beerware PostgreSQL Vim TCL Intel IJG ICU "
+    "JSON NTP FTL HPND blessing Artistic-1.0-Perl BSD-1-Clause BSD-2-Clause BSD-2-Clause-Patent BSD-3-Clause BSD-3-Clause-Clear "
+    "BSD-4-Clause BSD-4-Clause-UC Linux-syscall-note LLVM-exception Classpath-exception-2.0 Autoconf-exception-generic "
+    "OpenSSL-exception Universal-FOSS-exception-1.0 FLTK-exception"
+).split()
+_IDS = {x.lower(): x for x in PLAIN_IDS}
+_VERSIONED_ID = re.compile(r"[A-Za-z][A-Za-z0-9]*(?:-[A-Za-z]+)*-\d+(?:\.\d+)*(?:-[A-Za-z][A-Za-z0-9]*)*")
+_REFERENCE = re.compile(r"(?:DocumentRef-[A-Za-z0-9.-]+:)?LicenseRef-[A-Za-z0-9.-]+")
+_TOKEN = re.compile(r"[ \t]*([()]|[A-Za-z0-9.:-]+\+?)")
 
 # Words of which one decides between license texts that are otherwise alike: must be aligned, must not stand in a gap.
 TELLING = {
@@ -185,6 +206,62 @@ def patience(text: list[int], template: list[int]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def license_id(word: str) -> str | None:
+    """The id that a word of an expression stands for, in its usual spelling; None if it is none."""
+    word = word.rstrip(".")  # the end of a sentence
+    if _REFERENCE.fullmatch(word):
+        return word
+    return _IDS.get(word.lower(), word if _VERSIONED_ID.fullmatch(word) else None)
+
+
+def expression(line: str) -> tuple[str, list[tuple[str, int, int]]]:
+    """The longest license expression that `line` begins with, and its licenses with their places.
+
+    `OR`, `AND`, `WITH` in any case, `+` and brackets are read. `id WITH exception` and `id+`
+    are one license. Without a valid expression both results are empty.
+    """
+    tokens: list[tuple[str, int, int]] = []
+    at = 0
+    while m := _TOKEN.match(line, at):
+        tokens.append((m[1], m.start(1), m.end(1)))
+        at = m.end()
+    shown: list[str] = []
+    licenses: list[tuple[str, int, int]] = []
+    whole = 0, 0  # how much of both lists is an expression
+    depth, operand, k = 0, True, 0  # operand: a license or bracket must come next
+    while k < len(tokens):
+        word, start, end = tokens[k]
+        operator = word.upper() if word.upper() in ("AND", "OR") else None
+        if operand and word == "(":
+            depth += 1
+            shown.append("(")
+        elif operand:
+            more = word.endswith("+")
+            known = license_id(word.removesuffix("+"))
+            if known is None:
+                break
+            name = known + "+" * more
+            end = start + len(word.rstrip(".")) if not more else end
+            exception = license_id(tokens[k + 2][0]) if k + 2 < len(tokens) and tokens[k + 1][0].upper() == "WITH" else None
+            if exception:
+                name, end, k = f"{name} WITH {exception}", tokens[k + 2][1] + len(tokens[k + 2][0].rstrip(".")), k + 2
+            licenses.append((name, start, end))
+            shown.append(name)
+            operand = False
+        elif word == ")" and depth:
+            depth -= 1
+            shown.append(")")
+        elif operator:
+            shown.append(f" {operator} ")
+            operand = True
+        else:
+            break
+        if not operand and not depth:
+            whole = len(shown), len(licenses)
+        k += 1
+    return "".join(shown[: whole[0]]), licenses[: whole[1]]
+
+
 class Templates:
     """The templates as numbers of words, with the words that decide."""
 
@@ -284,7 +361,46 @@ def regions(ids: np.ndarray, need: int, reach: int) -> list[tuple[int, int]]:
     return out
 
 
-Found = tuple[str, float, int, int, int]
+def promising(ids: np.ndarray, mine: np.ndarray, template: list[int], required: set[int], need: int, reach: int) -> np.ndarray:
+    """For each position in `mine`, whether the next `reach` words can hold `need` words of the template and all required ones."""
+    held = np.zeros(len(mine), np.int64)
+    whole = np.ones(len(mine), bool)
+    here = ids[mine]
+    must = Counter(template[k] for k in required)
+    for word, most in Counter(template).items():
+        at = mine[here == word]
+        count = np.searchsorted(at, mine + reach) - np.searchsorted(at, mine)
+        held += np.minimum(count, most)
+        whole &= count >= must[word]
+    return whole & (held >= need)
+
+
+Found = tuple[str, float, int, int, int, str | None]
+TIGHT = 3  # words, up to which a template must stand without other words in it
+
+
+def tagged(text: bytes, found: list[Found]) -> list[Found]:
+    """The licenses of the expressions after the tags in `found`, each with its expression."""
+    if not found:
+        return []
+    marks = [m.end() for m in re.finditer(rb"(?<![0-9A-Za-z\x80-\xff])spdx-license-identifier[ \t]*:", text.lower())]
+    ends = {}  # the number of words up to each mark
+    words = at = 0
+    for m in marks:
+        words, at = words + len(split_words(text[at:m])), m
+        ends[words] = m
+    out = []
+    for _, _, _, last, *_ in found:
+        if last not in ends:
+            continue
+        stop = text.find(b"\n", ends[last])
+        line = text[ends[last] : stop if stop >= 0 else len(text)].decode("utf-8", "replace")
+        whole, licenses = expression(line)
+        for name, start, end in licenses:
+            a = last + len(split_words(line[:start].encode()))
+            b = last + len(split_words(line[:end].encode()))
+            out.append((f"{name}-tag", 1.0, a, b, b - a, whole))
+    return out
 
 
 def best_per_place(found: list[Found]) -> list[Found]:
@@ -298,7 +414,9 @@ def best_per_place(found: list[Found]) -> list[Found]:
 
 
 def scan_text(text: bytes, templates: Templates, least: float = COVERAGE) -> list[Found]:
-    """(template, coverage, first word, end word, aligned words) of each place where a template is covered.
+    """(template, coverage, first word, end word, aligned words, expression) of each place where a template is covered.
+
+    The expression is that of a tag, else None; a tag gives each license in it as `id-tag`.
 
     A text may hold a notice more than once, and any other words around and between:
     only stretches that hold enough of a template's words in few enough words are
@@ -326,7 +444,7 @@ def scan_text(text: bytes, templates: Templates, least: float = COVERAGE) -> lis
                 back = min(s, TITLE)  # the title may stand before
                 if len(pairs) < need or not templates.holds(name, numbers[s - back : e + 1], [(x + back, k) for x, k in pairs]):
                     return []
-                return [(name, len(pairs) / len(template), s + pairs[0][0], s + pairs[-1][0] + 1, len(pairs))]
+                return [(name, len(pairs) / len(template), s + pairs[0][0], s + pairs[-1][0] + 1, len(pairs), None)]
 
             spans = copies(numbers, templates.runs[name], len(template))
             each = [copy_in(s, e) for s, e in spans]
@@ -334,7 +452,7 @@ def scan_text(text: bytes, templates: Templates, least: float = COVERAGE) -> lis
                 if k and not found and not each[k - 1]:  # a repeated run in the middle of a copy must not cut it in two
                     found = copy_in(spans[k - 1][0], spans[k][1])
                 out += found
-                for _, _, first, last, _ in found:
+                for _, _, first, last, *_ in found:
                     taken[first:last] = True
             continue
         mine = known[np.isin(ids[known], template) & ~taken[known]]
@@ -345,15 +463,20 @@ def scan_text(text: bytes, templates: Templates, least: float = COVERAGE) -> lis
             # The wide window is for stretched notices; the narrow one for repeated ones, whose words are not unique in the wide.
             for end in (min(e, p + len(template)), min(e, p + reach)):
                 trial = patience(ids[p:end].tolist(), template)
+                if len(template) <= TIGHT and trial and trial[-1][0] - trial[0][0] >= len(trial):
+                    continue
                 if len(trial) >= need and len(trial) > len(pairs) and templates.holds(name, ids[p : end + 1].tolist(), trial):
                     pairs = trial
                 if len(pairs) == len(template):
                     break
             return pairs
 
-        for s, e in regions(mine, need, reach):
+        spans = regions(mine, need, reach)
+        if spans:
+            starts = mine[promising(ids, mine, template, templates.required[name], need, reach)]
+        for s, e in spans:
             at = s
-            for p in mine[(mine >= s) & (mine < e)].tolist():  # one notice after the other, from each word it may begin with
+            for p in starts[np.searchsorted(starts, s) : np.searchsorted(starts, e)].tolist():  # one notice after the other, from each word it may begin with
                 if p < at:
                     continue
                 pairs = aligned_from(p, e)
@@ -362,16 +485,19 @@ def scan_text(text: bytes, templates: Templates, least: float = COVERAGE) -> lis
                     again = aligned_from(p + pairs[0][0], e)
                     p, pairs = (p + pairs[0][0], again) if len(again) > len(pairs) else (p, pairs)
                     first, last = p + pairs[0][0], p + pairs[-1][0] + 1
-                    out.append((name, len(pairs) / len(template), first, last, len(pairs)))
+                    out.append((name, len(pairs) / len(template), first, last, len(pairs), None))
                     at = last
-    return best_per_place(out)
+    tags = tagged(text, [x for x in out if x[0] == TAG])
+    return sorted(best_per_place([x for x in out if x[0] != TAG]) + tags, key=lambda x: (x[2], x[3]))
 
 
 def scan(docs: DataFrame, texts: dict[str, str] | None = None, least: float = COVERAGE, kept: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns `kept`, then license, coverage, first_word, end_word, n_aligned: a row for each place found.
+    """The columns `kept`, then license, coverage, first_word, end_word, n_aligned, expression: a row for each place found.
 
     A place is reported once, by its best template, and only if all words that name the
-    license are there and no words of another one among them.
+    license are there and no words of another one among them. After a tag of SPDX each
+    license of its expression is a row, named `id-tag`, with the whole expression; other
+    rows have none. A tag without a valid expression gives no row.
 
     Null and empty texts hold no license; a template without words is never found;
     repeated rows come out repeated; an empty table gives no rows; other columns are
@@ -389,12 +515,12 @@ def scan(docs: DataFrame, texts: dict[str, str] | None = None, least: float = CO
                 for k, (a, b) in enumerate(zip(offsets[:-1], offsets[1:])):
                     found += [(first + k, x) for x in scan_text(data[a:b].tobytes(), templates, least)]
             taken = pa.RecordBatch.from_arrays(batch.columns[:-1], names=batch.schema.names[:-1]).take(pa.array([i for i, _ in found], pa.int64()))
-            kinds = [pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.int64()]
+            kinds = [pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
             yield pa.RecordBatch.from_arrays(
                 [*taken.columns, *(pa.array([x[c] for _, x in found], kind) for c, kind in enumerate(kinds))],
-                names=[*taken.schema.names, "license", "coverage", "first_word", "end_word", "n_aligned"],
+                names=[*taken.schema.names, "license", "coverage", "first_word", "end_word", "n_aligned", "expression"],
             )
 
-    schema = schema_of(fields, "license string, coverage double, first_word long, end_word long, n_aligned long")
+    schema = schema_of(fields, "license string, coverage double, first_word long, end_word long, n_aligned long, expression string")
     source = docs.select(*(F.col(f"`{f.name}`") for f in fields), docs["text"].cast("string").alias(unused(docs, "_text")))
     return source.mapInArrow(run, schema)
