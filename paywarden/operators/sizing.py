@@ -38,6 +38,13 @@ def group_numbers(shares: Mapping[str, float], width: int) -> dict[str, int]:
     return {k: max(2, 1 << math.ceil(math.log2(max(1.0, s * width)))) for k, s in shares.items()}
 
 
+def pass_partitions(size: int, cores: int, least: int = 8 << 20, most: int = BROADCAST_BYTES) -> int:
+    """Partitions of a frame of `size` bytes that is read in many passes: one per
+    `least` bytes up to one per core, beyond that one per `most` bytes. Each pass
+    starts a task, and sends the driver a result, for each of them."""
+    return max(1, min(cores, -(-size // least)), -(-size // most))
+
+
 @contextmanager
 def kept(df: DataFrame) -> Iterator[DataFrame]:
     """`df`, persisted meanwhile (spilling to disk) unless it is already."""

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from paywarden.operators.prepare import LABEL, columns_by_kind
 from paywarden.operators.profile import is_missing
-from paywarden.operators.sizing import kept
+from paywarden.operators.sizing import kept, measured_bytes, pass_partitions
 
 # Class fractions of the training and of the export sample, seeds,
 # split weights, and the parameter grid.
@@ -108,17 +108,21 @@ def fit(
 
     The training rows are read several times: for the features, and by each fold.
     First they, then their features are therefore kept, in memory as far as it goes
-    and else on disk. A sample comes in as many partitions as its source: it is
-    rebalanced first, or each of many iterations would start a task for each of them.
+    and else on disk. A sample comes in as many partitions as its source, and each of
+    many iterations starts a task, and sends the driver a result, for each of them: the
+    features are made in partitions by the measured size of the rows. A rebalance hint
+    does not do that, as what is persisted is planned without adaptive execution, in
+    the whole shuffle width.
     Without tuning the plain, unpenalised regression is fitted.
     """
     if max_categories is not None:
         check_categories(train if seen is None else seen, columns_by_kind(train)[0], max_categories)
-    train = train.hint("rebalance")
     with ExitStack() as meanwhile:
         with kept(train):
             featuriser = formula_featuriser().fit(train if seen is None else seen.select(*train.columns))
-            features = featuriser.transform(train).select(LABEL, "features")
+            cores = train.sparkSession.sparkContext.defaultParallelism
+            spread = train.repartition(pass_partitions(measured_bytes(train), cores))
+            features = featuriser.transform(spread).select(LABEL, "features")
             meanwhile.enter_context(kept(features))
             features.count()  # once the features are there, the rows are let go
         if tuning is None:

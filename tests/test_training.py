@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from paywarden import inputs
 from paywarden.operators.prepare import training_frame
 from paywarden.operators.sample import split_by_key
+from paywarden.operators.sizing import pass_partitions
 from paywarden.plans import training
 from paywarden.schemas import FEATURES
 from paywarden.sources.writers import load_model, materialise, save_model
@@ -132,6 +133,47 @@ def test_categories_come_from_all_rows_and_from_a_saved_model(spark, layout):
     assert training.known_categories(load_model(layout.model)) == fitted.categories
 
 
+def labelled_sizes(spark, n=400):
+    return spark.range(n).select(
+        F.concat(F.lit("k"), (F.col("id") % 3).cast("string")).alias("name"), (F.col("id") % 41).cast("double").alias("size"),
+        (F.col("id") * 7 % 60 < F.col("id") % 41).cast("int").alias("label"),
+    )
+
+
+def test_passes_over_a_small_sample_start_few_tasks(spark):
+    """Neither the shuffle width nor the partitions of the source decide what each iteration starts."""
+    width, group = spark.conf.get("spark.sql.shuffle.partitions"), "passes over a small sample"
+    spark.conf.set("spark.sql.shuffle.partitions", "30")
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        training.fit(labelled_sizes(spark).repartition(20), tuning=None)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", width)
+        for key in ("spark.jobGroup.id", "spark.job.description"):
+            spark.sparkContext.setLocalProperty(key, None)
+    tracker = spark.sparkContext.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(group)]
+    stages = [tracker.getStageInfo(s) for j in jobs if j for s in j.stageIds]
+    assert {s.numTasks for s in stages if s and "treeAggregate" in s.name} == {1}
+
+
+def test_partitions_of_many_passes_follow_the_size():
+    mb = 1 << 20
+    found = [pass_partitions(s * mb, 12) for s in (0, 1, 8, 9, 90, 500, 768, 769, 7680)]
+    assert found == [1, 1, 1, 2, 12, 12, 12, 13, 120]
+    assert pass_partitions(30 * mb, 2) == 2
+
+
+def test_the_fit_is_the_same_in_any_number_of_partitions(spark, monkeypatch):
+    models = []
+    for n in (1, 5):
+        monkeypatch.setattr(training, "pass_partitions", lambda size, cores: n)
+        models.append(training.fit(labelled_sizes(spark), tuning=None).model.stages[1])
+    one, more = models
+    assert np.allclose(one.coefficients.toArray(), more.coefficients.toArray(), atol=1e-6)
+    assert math.isclose(one.intercept, more.intercept, abs_tol=1e-6)
+
+
 def test_tuning_picks_the_best_of_the_whole_grid(spark, parts):
     small = training.Tuning(reg_params=(0.01, 1.0), elastic_net_params=(0.0, 1.0), folds=2)
     result = training.fit(parts[0].drop("event_id"), small)
